@@ -106,16 +106,19 @@ def log_event(
     inline(spark, [row], RUN_LOG).coalesce(1).write.mode("append").parquet(path)
 
 
-def run_log(spark: SparkSession, path: str) -> DataFrame:
-    """Latest status of every run."""
-    return (
-        spark.read.schema(RUN_LOG)
-        .parquet(path)
-        .groupBy(RUN, "load_name")
-        .agg(F.max_by("load_status", F.struct("event_at_utc", F.col("load_status") != "STARTED")).alias("load_status"))
+def latest_status(events: DataFrame) -> DataFrame:
+    """Status of every run after its last event; an outcome beats its own start."""
+    last = F.struct("event_at_utc", F.col("load_status") != "STARTED")
+    return events.groupBy(RUN, "load_name").agg(
+        F.max_by("load_status", last).alias("load_status")
     )
 
 
+def run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Latest status of every run in the log."""
+    return latest_status(spark.read.schema(RUN_LOG).parquet(path))
+
+
 def current_run(log: DataFrame, load_name: str = LOAD_NAME) -> DataFrame:
     """Highest completed run, as one row."""
     return log.filter(
