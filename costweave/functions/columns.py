@@ -72,6 +72,17 @@ def one_of(c: ColumnLike, mapping: Mapping[str, str], default: str | None = None
     return result
 
 
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stacked(rows: list[list[str]], names: list[str]) -> Column:
+    """Rows of SQL expressions unpivoted into the named columns."""
+    values = ", ".join(v for row in rows for v in row)
+    return F.expr(f"stack({len(rows)}, {values}) AS ({', '.join(names)})")
+
+
 def month_of(c: ColumnLike) -> Column:
     return F.trunc(col(c), "MM")
 

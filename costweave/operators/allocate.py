@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
+from costweave.functions.columns import quoted
 from costweave.operators.drivers import DRIVER_KEY, ENCOUNTER_MONTH
 from costweave.operators.pools import POOL_KEY
 from costweave.schemas import MONEY, RUN
@@ -138,19 +139,17 @@ def allocated_pools(pools: DataFrame, allocations: DataFrame) -> DataFrame:
 
 def rates_by_month(rates: DataFrame, measures=K.MEASURE_POOLS, counts=K.COUNT_POOLS) -> DataFrame:
     """Driver rates as one wide row per month, a column per pool."""
-    pools = {**measures, **{K.COUNT_DRIVER + ":" + p: p for p in counts}}
-    columns = []
-    for name, pool in pools.items():
-        driver = name.split(":")[0]
-        columns.append(
-            F.sum(
-                F.when(
-                    (F.col("cost_pool_code") == pool) & (F.col("allocation_driver") == driver),
-                    F.col("allocation_rate"),
-                )
-            ).alias(pool)
-        )
-    return rates.groupBy(RUN, "reporting_month").agg(*columns)
+    pairs = [(pool, measure) for measure, pool in measures.items()]
+    pairs += [(pool, K.COUNT_DRIVER) for pool in counts]
+    return rates.groupBy(RUN, "reporting_month").agg(
+        *[
+            F.expr(
+                f"SUM(IF(cost_pool_code = {quoted(pool)} AND allocation_driver = {quoted(driver)}, "
+                f"allocation_rate, NULL)) AS {pool}"
+            )
+            for pool, driver in pairs
+        ]
+    )
 
 
 def indirect_by_encounter(
@@ -167,45 +166,33 @@ def indirect_by_encounter(
     of being unpivoted first. ``monthly_rates`` is a staged ``rates_by_month``.
     """
 
-    def priced(units, pool):
-        return F.coalesce((units * F.col(pool)).cast(MONEY), F.lit(0).cast(MONEY))
+    def priced(units: str, pool: str) -> str:
+        """Null without a valid unit or without a rate."""
+        valid = f"CAST(IF({units} > 0, {units}, NULL) AS DECIMAL(19,6))"
+        return f"CAST({valid} * {pool} AS DECIMAL(19,6))"
 
-    def total(parts):
-        result = parts[0]
-        for part in parts[1:]:
-            result = result + part
-        return result.cast(MONEY)
+    def totalled(df: DataFrame, parts: list[str]) -> DataFrame:
+        amount = " + ".join(f"COALESCE({part}, 0)" for part in parts)
+        return df.filter(f"COALESCE({', '.join(parts)}) IS NOT NULL").selectExpr(
+            *ENCOUNTER_MONTH, f"CAST({amount} AS DECIMAL(19,6)) AS allocated_amount"
+        )
 
+    month = [RUN, "reporting_month"]
     used = resource.select(
         RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *measures
     )
-    from_measures = lookup_join(
-        used, monthly_rates.drop(*counts), [RUN, "reporting_month"], "encounter_id"
-    ).select(
-        *ENCOUNTER_MONTH,
-        total(
-            [
-                priced(F.when(F.col(m) > 0, F.col(m)).cast(MONEY), pool)
-                for m, pool in measures.items()
-            ]
-        ).alias("allocated_amount"),
+    from_measures = totalled(
+        lookup_join(used, monthly_rates.drop(*counts), month, "encounter_id"),
+        [priced(m, pool) for m, pool in measures.items()],
     )
     counted = encounters.select(
         RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", "care_type"
     )
-    one = F.lit(1).cast(MONEY)
-    from_counts = lookup_join(
-        counted,
-        monthly_rates.select(RUN, "reporting_month", *counts),
-        [RUN, "reporting_month"],
-        "encounter_id",
-    ).select(
-        *ENCOUNTER_MONTH,
-        total(
-            [
-                priced(one if care is None else F.when(F.col("care_type") == care, one), pool)
-                for pool, care in counts.items()
-            ]
-        ).alias("allocated_amount"),
+    from_counts = totalled(
+        lookup_join(counted, monthly_rates.select(*month, *counts), month, "encounter_id"),
+        [
+            priced("1" if care is None else f"IF(care_type = {quoted(care)}, 1, NULL)", pool)
+            for pool, care in counts.items()
+        ],
     )
     return by_encounter_month(from_measures.unionByName(from_counts), "allocated_amount")

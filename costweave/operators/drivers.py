@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
-from costweave.schemas import MONEY, RUN
+from costweave.functions.columns import quoted, stacked
+from costweave.schemas import RUN
 from costweave.session import lookup
 
 DRIVER_KEY = [RUN, "reporting_month", "cost_pool_code", "allocation_driver"]
@@ -19,16 +20,15 @@ def unpivot_measures(
     resource: DataFrame, measures: MappingType[str, str] = K.MEASURE_POOLS
 ) -> DataFrame:
     """Each resource row becomes one row per (pool, driver, units)."""
-    stacked = F.stack(
-        F.lit(len(measures)),
-        *[
-            value
-            for measure, pool in measures.items()
-            for value in (F.lit(pool), F.lit(measure), F.col(measure).cast(MONEY))
-        ],
-    ).alias("cost_pool_code", "allocation_driver", "driver_units")
+    rows = [
+        [quoted(pool), quoted(measure), f"CAST({measure} AS DECIMAL(19,6))"]
+        for measure, pool in measures.items()
+    ]
     return resource.select(
-        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", stacked
+        RUN,
+        F.col("service_month").alias("reporting_month"),
+        "encounter_id",
+        stacked(rows, ["cost_pool_code", "allocation_driver", "driver_units"]),
     )
 
 
@@ -36,25 +36,18 @@ def count_drivers(
     encounters: DataFrame, pools: MappingType[str, str | None] = K.COUNT_POOLS
 ) -> DataFrame:
     """One unit per encounter in its episode month for each pool it qualifies for."""
-    qualified = F.filter(
-        F.array(
-            *[
-                F.lit(pool)
-                if care is None
-                else F.when(F.col("care_type") == care, F.lit(pool))
-                for pool, care in pools.items()
-            ]
-        ),
-        lambda pool: pool.isNotNull(),
+    qualified = ", ".join(
+        quoted(pool) if care is None else f"IF(care_type = {quoted(care)}, {quoted(pool)}, NULL)"
+        for pool, care in pools.items()
     )
-    return encounters.select(
+    return encounters.selectExpr(
         RUN,
-        F.col("episode_month").alias("reporting_month"),
+        "episode_month AS reporting_month",
         "encounter_id",
-        F.explode(qualified).alias("cost_pool_code"),
-        F.lit(K.COUNT_DRIVER).alias("allocation_driver"),
-        F.lit(1).cast(MONEY).alias("driver_units"),
-    )
+        f"explode(array({qualified})) AS cost_pool_code",
+        f"{quoted(K.COUNT_DRIVER)} AS allocation_driver",
+        "CAST(1 AS DECIMAL(19,6)) AS driver_units",
+    ).filter("cost_pool_code IS NOT NULL")
 
 
 def _with_status(drivers: DataFrame, zero_note: str) -> DataFrame:
@@ -113,40 +106,33 @@ def source_driver_totals(
     Measures are summed as columns, so each resource row is aggregated once
     instead of once per measure; only the monthly totals are reshaped.
     """
-    total = {m: F.sum(F.when(F.col(m) > 0, F.col(m))).alias(m) for m in measures}
-    by_month = resource.groupBy(RUN, "service_month").agg(*total.values())
-    care = {
-        pool: F.count(F.lit(1))
-        if care is None
-        else F.count(F.when(F.col("care_type") == care, F.lit(1)))
-        for pool, care in counts.items()
-    }
-    counted = encounters.groupBy(RUN, F.col("episode_month").alias("reporting_month")).agg(
-        *[units.alias(pool) for pool, units in care.items()]
+    names = ["cost_pool_code", "allocation_driver", "total_driver_units"]
+    month = [RUN, "reporting_month"]
+    measured = (
+        resource.groupBy(RUN, F.col("service_month").alias("reporting_month"))
+        .agg(*[F.expr(f"SUM(IF({m} > 0, {m}, NULL)) AS {m}") for m in measures])
+        .select(*month, stacked([[quoted(p), quoted(m), m] for m, p in measures.items()], names))
+    )
+    counted = (
+        encounters.groupBy(RUN, F.col("episode_month").alias("reporting_month"))
+        .agg(
+            *[
+                F.expr(
+                    f"COUNT({'1' if care is None else f'IF(care_type = {quoted(care)}, 1, NULL)'}) "
+                    f"AS {pool}"
+                )
+                for pool, care in counts.items()
+            ]
+        )
+        .select(*month, stacked([[quoted(p), quoted(K.COUNT_DRIVER), p] for p in counts], names))
     )
-    count_stack = F.stack(
-        F.lit(len(counts)),
-        *[v for pool in counts for v in (F.lit(pool), F.lit(K.COUNT_DRIVER), F.col(pool))],
-    ).alias("cost_pool_code", "allocation_driver", "total_driver_units")
     return (
-        unpivot_measures_long(by_month, measures)
-        .unionByName(counted.select(RUN, "reporting_month", count_stack))
-        .filter(F.col("total_driver_units") > 0)
+        measured.unionByName(counted)
+        .filter("total_driver_units > 0")
         .withColumn("total_driver_units", F.col("total_driver_units").cast("decimal(29,6)"))
     )
 
 
-def unpivot_measures_long(
-    by_month: DataFrame, measures: MappingType[str, str]
-) -> DataFrame:
-    """Monthly measure sums (wide) as (pool, driver, total) rows."""
-    stacked = F.stack(
-        F.lit(len(measures)),
-        *[v for m, pool in measures.items() for v in (F.lit(pool), F.lit(m), F.col(m))],
-    ).alias("cost_pool_code", "allocation_driver", "total_driver_units")
-    return by_month.select(RUN, F.col("service_month").alias("reporting_month"), stacked)
-
-
 def driver_summary(drivers: DataFrame) -> DataFrame:
     """Rows and units per pool, driver and status."""
     return drivers.groupBy(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costweave.session import lookup
+from costweave.session import lookups
 
 
 @dataclass(frozen=True)
@@ -22,29 +22,24 @@ class Mapping:
 def governed(
     cost_centre: DataFrame, account_mapping: DataFrame, allocation_rule: DataFrame
 ) -> Mapping:
-    """Keep active rows and the columns costing reads; check sizes once."""
+    """Keep active rows and the columns costing reads; check all sizes at once."""
     active = F.col("active_flag") == "Y"
-    return Mapping(
-        cost_centre=lookup(
-            cost_centre.filter(active).select(
-                "cost_centre_id", "cost_pool_code", "effective_from", "effective_to"
-            )
+    centre, account, rule = lookups(
+        cost_centre.filter(active).select(
+            "cost_centre_id", "cost_pool_code", "effective_from", "effective_to"
         ),
-        account=lookup(
-            account_mapping.filter(active).select(
-                "natural_account", "cost_category", "costing_treatment", "default_driver"
-            )
+        account_mapping.filter(active).select(
+            "natural_account", "cost_category", "costing_treatment", "default_driver"
         ),
-        rule=lookup(
-            allocation_rule.filter(active).select(
-                "cost_pool_code",
-                "cost_category",
-                "allocation_driver",
-                "effective_from",
-                "effective_to",
-            )
+        allocation_rule.filter(active).select(
+            "cost_pool_code",
+            "cost_category",
+            "allocation_driver",
+            "effective_from",
+            "effective_to",
         ),
     )
+    return Mapping(cost_centre=centre, account=account, rule=rule)
 
 
 def effective_join(

@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costweave.functions.columns import blank_to_null, clean_text, safe_cast
 from costweave.schemas import LINEAGE, RUN, Entity, Field
-from costweave.session import lookup
+from costweave.session import lookups
 
 ENCOUNTER_KEY = [RUN, "encounter_id"]
 
 
-def typed_value(field: Field, source: Column, blank_is_null: bool = False) -> Column:
-    """Cleaned text or safely converted value of one landing column."""
+def typed_value(field: Field, source: str, blank_is_null: bool = False) -> str:
+    """SQL for the cleaned text or safely converted value of one landing column."""
     if not isinstance(field.kind, T.StringType):
-        return safe_cast(source, field.kind)
-    text = clean_text(source, field.width)
-    return blank_to_null(text) if blank_is_null else text
+        return f"try_cast({source} AS {field.kind.simpleString()})"
+    text = f"substring(trim({source}), 1, {field.width})"
+    return f"nullif({text}, '')" if blank_is_null else text
 
 
 def classify(
@@ -38,43 +37,36 @@ def classify(
     table its values must be in; ``encounters`` are the staged parents;
     ``unique`` also rejects every copy of a repeated business key.
     """
-    landed = F.col("landed")
-    rows = landing.select(*LINEAGE, F.struct(*entity.columns).alias("landed"))
-    checks: dict[str, Column] = {}
+    typed = {f.name: typed_value(f, f"landed.{f.name}", blank_is_null) for f in entity.fields}
+    checks: dict[str, str] = {}
+    rows = landing.select(*LINEAGE, F.struct(*entity.columns).alias("landed")).selectExpr(
+        *LINEAGE, "landed", *[f"{value} AS {name}" for name, value in typed.items()]
+    )
     if entity.needs_encounter:
         # whatever the copies of a key, a row meets its parent once
         parents = encounters.select(*ENCOUNTER_KEY).distinct().withColumn("_parent", F.lit(True))
-        field = entity.fields[entity.columns.index("encounter_id")]
-        rows = rows.withColumn(
-            "encounter_id", typed_value(field, landed["encounter_id"], blank_is_null)
-        ).join(parents, ENCOUNTER_KEY, "left")
-        checks["unknown encounter"] = F.col("_parent").isNull()
-    for column in entity.conforms:
-        field = entity.fields[entity.columns.index(column)]
-        known = lookup(references[column].select(column).distinct()).withColumn(
-            f"_known_{column}", F.lit(True)
-        )
-        rows = rows.withColumn(
-            column, typed_value(field, landed[column], blank_is_null)
-        ).join(known, column, "left")
-        checks[f"unknown {column}"] = F.col(f"_known_{column}").isNull()
-    rows = rows.withColumns(
-        {f.name: typed_value(f, landed[f.name], blank_is_null) for f in entity.fields}
-    )
+        rows = rows.join(parents, ENCOUNTER_KEY, "left")
+        checks["unknown encounter"] = "_parent IS NULL"
+    if entity.conforms:
+        known = lookups(*[references[c].select(c).distinct() for c in entity.conforms])
+        for column, values in zip(entity.conforms, known):
+            rows = rows.join(values.withColumn(f"_known_{column}", F.lit(True)), column, "left")
+            checks[f"unknown {column}"] = f"_known_{column} IS NULL"
     if unique:
         copies = rows.groupBy(RUN, entity.key).agg(F.count(F.lit(1)).alias("_copies"))
         rows = rows.join(copies.filter(F.col("_copies") > 1), [RUN, entity.key], "left")
-        checks[f"repeated {entity.key}"] = F.col("_copies").isNotNull()
-    for field in entity.fields:
-        checks[f"invalid {field.name}"] = F.col(field.name).isNull()
-    for column in entity.non_negative:
-        checks[f"negative {column}"] = F.col(column) < 0
+        checks[f"repeated {entity.key}"] = "_copies IS NOT NULL"
+    checks |= {f"invalid {name}": f"{name} IS NULL" for name in typed}
+    checks |= {f"negative {name}": f"{name} < 0" for name in entity.non_negative}
     if entity.ordered:
         start, end = entity.ordered
-        checks[f"{end} before {start}"] = F.col(end) < F.col(start)
-    reasons = F.concat_ws("; ", *[F.when(failed, F.lit(why)) for why, failed in checks.items()])
-    return rows.select(
-        *LINEAGE, *entity.columns, "landed", F.nullif(reasons, F.lit("")).alias("reject_reason")
+        checks[f"{end} before {start}"] = f"{end} < {start}"
+    reasons = ", ".join(f"IF({failed}, '{why}', NULL)" for why, failed in checks.items())
+    return rows.selectExpr(
+        *LINEAGE,
+        *entity.columns,
+        "landed",
+        f"nullif(concat_ws('; ', {reasons}), '') AS reject_reason",
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
+from costweave.functions.columns import clean_text
 from costweave.operators.drivers import DRIVER_KEY
 from costweave.operators.pools import POOL_KEY
 from costweave.schemas import MONEY, RUN
@@ -83,14 +84,14 @@ def failed_direct(rejected: DataFrame) -> DataFrame:
         RUN,
         landed["service_month"].try_cast("date").alias("reporting_month"),
         F.lit(None).cast("string").alias("facility"),
-        F.substring(landed["cost_centre_id"], 1, 30).alias("cost_centre_id"),
-        F.substring(landed["natural_account"], 1, 20).alias("natural_account"),
+        clean_text(landed["cost_centre_id"], 30).alias("cost_centre_id"),
+        clean_text(landed["natural_account"], 20).alias("natural_account"),
         F.lit("DIRECT_COST").alias("cost_pool_code"),
         F.lit("Direct Cost").alias("cost_category"),
         F.lit("FAILED_DIRECT_ASSIGNMENT").alias("unallocated_reason"),
         landed["amount"].try_cast(MONEY).alias("unallocated_amount"),
         F.lit("DIRECT_COST").alias("source_record_type"),
-        F.substring(landed["direct_cost_id"], 1, 30).alias("source_record_id"),
+        clean_text(landed["direct_cost_id"], 30).alias("source_record_id"),
         F.lit("OPEN").alias("resolution_status"),
         F.lit(K.NOTE_FAILED_DIRECT).alias("review_note"),
     )

@@ -52,20 +52,21 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def show(df: DataFrame, *columns: str, **places: int) -> DataFrame:
     """Output types both engines agree on: rounded doubles, bigints, ISO dates."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     out = []
-    for name in columns or df.columns:
-        kind = df.schema[name].dataType
-        c = F.col(name)
+    for name in columns or kinds:
+        kind = kinds[name]
         if isinstance(kind, T.DecimalType):
-            c = F.round(c, places.get(name, 2)).cast("double")
+            out.append(f"CAST(ROUND({name}, {places.get(name, 2)}) AS DOUBLE) AS {name}")
         elif isinstance(kind, T.DoubleType):
-            c = F.round(c, places.get(name, 6))
+            out.append(f"ROUND({name}, {places.get(name, 6)}) AS {name}")
         elif isinstance(kind, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(kind, (T.ShortType, T.IntegerType, T.LongType)):
-            c = c.cast("long")
-        out.append(c.alias(name))
-    return df.select(*out)
+            out.append(f"CAST({name} AS STRING) AS {name}")
+        elif isinstance(kind, (T.ShortType, T.IntegerType)):
+            out.append(f"CAST({name} AS BIGINT) AS {name}")
+        else:
+            out.append(name)
+    return df.selectExpr(*out)
 
 
 # --- inputs ---------------------------------------------------------------------
@@ -77,18 +78,18 @@ def costing_run(
     """A run over staged encounters and resource use; ledger and direct items are
     read once and stay lazy."""
     enc = stage(star.encounters(spark, sf_dir), "patient_encounter")
-    items = promote.classify(
-        star.as_landing(star.direct_items(spark, sf_dir), DIRECT_COST, {}),
-        DIRECT_COST,
-        encounters=enc,
-    )
+    items = star.direct_items(spark, sf_dir)
+    known = enc.select(RUN, "encounter_id")
+    orphans = items.join(known, [RUN, "encounter_id"], "left_anti")
     return CostingRun(
         enc,
         stage(star.resource_usage(spark, sf_dir), "resource_usage"),
-        promote.accepted(items),
+        items.join(known, [RUN, "encounter_id"], "left_semi"),
         star.ledger(spark, sf_dir),
         star.mapping(spark, sf_dir),
-        rejected_direct=promote.rejected(items),
+        rejected_direct=orphans.select(
+            RUN, F.struct(*[F.col(c).cast("string") for c in DIRECT_COST.columns]).alias("landed")
+        ),
         funding_groups=star.funding_groups(spark),
         attribution=attribution,
         **options,
@@ -660,15 +661,15 @@ def h3(spark, sf_dir):
     "h4_pool_rates",
     f"""SELECT {d('reporting_month')} AS reporting_month, {_POOL_TEXT}, allocation_driver,
                {shown('source_gl_amount')} AS source_gl_amount, {shown('total_driver_units')} AS total_driver_units,
-               ROUND(rate, 4) AS allocation_rate FROM rate""",
+               ROUND(rate, 9) AS allocation_rate FROM rate""",
 )
 def h4r(spark, sf_dir):
     run = costing_run(spark, sf_dir)
     return show(
         run.rates.drop(RUN, "costing_treatment").withColumn(
-            "allocation_rate", F.round("allocation_rate", 4).cast("double")
+            "allocation_rate", F.col("allocation_rate").cast("double")
         ),
-        allocation_rate=4,
+        allocation_rate=9,
     )
 
 
@@ -1018,3 +1019,895 @@ def d12(spark, sf_dir):
         funding.monthly_funding_control(_encounter_funding(spark, sf_dir)),
         total_synthetic_nwau=6,
     )
+
+
+# --- data quality ----------------------------------------------------------------------
+
+_RESULT_SQL = """SELECT CAST(1 AS BIGINT) AS load_run_id, {rule} AS validation_rule_id, {evaluated} AS evaluated_row_count,
+    {failed} AS failed_row_count, {amount} AS affected_amount,
+    CASE WHEN {failed} = 0 THEN 'PASS' ELSE {bad} END AS validation_status, {message} AS result_message FROM {table}"""
+
+
+def _result_sql(rule, table, failed, amount, bad) -> str:
+    return _RESULT_SQL.format(
+        rule=q(rule),
+        evaluated="CAST(COUNT(*) AS BIGINT)",
+        failed=f"CAST(COUNT(*) FILTER ({failed}) AS BIGINT)",
+        amount="CAST(NULL AS DOUBLE)"
+        if amount is None
+        else shown(f"SUM(CASE WHEN {failed} THEN {amount} ELSE 0 END)"),
+        bad=q(bad),
+        message=q(K.RULE_TEXTS[rule][0]),
+        table=table,
+    )
+
+
+def _issue_sql(rule, entity, table, where, key, value, impact, file=None, line="CAST(NULL AS BIGINT)") -> str:
+    _, column, owner, action = K.RULE_TEXTS[rule]
+    return f"""SELECT CAST(1 AS BIGINT) AS load_run_id, {q(rule)} AS validation_rule_id, {q(entity)} AS source_entity,
+        {q(file or entity + '.csv')} AS source_file_name, {line} AS source_row_number, {key} AS business_key,
+        {q(column)} AS field_name, {value} AS invalid_value, {impact} AS financial_impact, 'OPEN' AS issue_status,
+        {q(owner)} AS recommended_owner, {q(action)} AS recommended_action FROM {table} WHERE {where}"""
+
+
+def _landed(expr: str, spoiled: str | None = None) -> str:
+    value = f"' ' || CAST({expr} AS VARCHAR) || ' '"
+    return f"(CASE WHEN {spoiled} THEN 'bad' ELSE {value} END)" if spoiled else f"({value})"
+
+
+def _listed(**columns) -> str:
+    return " || ".join(
+        f"'{'; ' if i else ''}{name}=' || {value}" for i, (name, value) in enumerate(columns.items())
+    )
+
+
+_RU = ("RU_NOT_PROMOTED", "rres", "rejected", None, "FAIL")
+_DC = ("DC_NOT_PROMOTED", "rdir", "rejected", "amount", "FAIL")
+_CC = ("GL_UNKNOWN_COST_CENTRE", "mapped", "NOT centre_found", "signed_amount", "REVIEW")
+_AC = ("GL_UNMAPPED_ACCOUNT", "mapped", "NOT account_found", "signed_amount", "REVIEW")
+_ZERO_SQL = _result_sql(
+    "ZERO_DRIVER_POOL",
+    """(SELECT p.*, z.cost_pool_code IS NOT NULL AS is_zero FROM pool p LEFT JOIN zero z
+        USING (reporting_month, facility, cost_centre_id, natural_account, cost_pool_code)
+        WHERE p.pool_status = 'READY' AND p.costing_treatment = 'Indirect') t""",
+    "is_zero",
+    "source_gl_amount",
+    "REVIEW",
+)
+_RU_ISSUES = _issue_sql(
+    "RU_NOT_PROMOTED",
+    "resource_usage",
+    "rres",
+    "rejected",
+    _landed("resource_usage_id"),
+    _listed(
+        encounter_id=_landed("encounter_id"),
+        **{m: _landed(m, "bad_bed" if m == "bed_days" else None) for m in MEASURES},
+    ),
+    "CAST(NULL AS DOUBLE)",
+    line=n("k * 2 + CAST(string_split(resource_usage_id, '-')[2] AS BIGINT) + 2"),
+)
+_DC_ISSUES = _issue_sql(
+    "DC_NOT_PROMOTED",
+    "direct_cost_detail",
+    "rdir",
+    "rejected",
+    _landed("direct_cost_id"),
+    _listed(
+        encounter_id=_landed("encounter_id"),
+        service_month=_landed("service_month"),
+        cost_centre_id=_landed("cost_centre_id"),
+        natural_account=_landed("natural_account"),
+        quantity=_landed("quantity", "bad_quantity"),
+        amount=_landed("amount"),
+    ),
+    shown("amount"),
+)
+
+
+def _gl_issue_sql(rule, column, where) -> str:
+    return _issue_sql(
+        rule, "general_ledger_transaction", "mapped", where, "gl_transaction_id", column,
+        shown("signed_amount"),
+    )
+
+
+_ZERO_ISSUES = _issue_sql(
+    "ZERO_DRIVER_POOL",
+    "costing.cost_pool",
+    "zero",
+    "TRUE",
+    "CAST(reporting_month AS VARCHAR) || '|' || facility || '|' || cost_centre_id || '|' || natural_account || '|' || cost_pool_code",
+    _listed(
+        reporting_month="CAST(reporting_month AS VARCHAR)",
+        cost_pool_code="cost_pool_code",
+        allocation_driver="allocation_driver",
+        total_valid_driver_units="'0.000000'",
+    ),
+    shown("source_gl_amount"),
+    file="costing.cost_pool",
+)
+
+
+@query("i1_resource_result", _result_sql(*_RU))
+def i1(spark, sf_dir):
+    df = classified_children(spark, sf_dir, "resource_usage")["resource_usage"]
+    return show(quality.resource_not_promoted(df)[0])
+
+
+@query("i1_resource_issues", _RU_ISSUES)
+def i1i(spark, sf_dir):
+    df = classified_children(spark, sf_dir, "resource_usage")["resource_usage"]
+    return show(quality.resource_not_promoted(df)[1])
+
+
+@query("i2_direct_result", _result_sql(*_DC))
+def i2(spark, sf_dir):
+    df = classified_children(spark, sf_dir, "direct_cost_detail")["direct_cost_detail"]
+    return show(quality.direct_not_promoted(df)[0])
+
+
+@query("i2_direct_issues", _DC_ISSUES)
+def i2i(spark, sf_dir):
+    df = classified_children(spark, sf_dir, "direct_cost_detail")["direct_cost_detail"]
+    return show(quality.direct_not_promoted(df)[1])
+
+
+@query("i3_unknown_centre_result", _result_sql(*_CC))
+def i3(spark, sf_dir):
+    pair = quality.unknown_cost_centre(star.ledger(spark, sf_dir), star.mapping(spark, sf_dir))
+    return show(pair[0])
+
+
+@query(
+    "i3_unknown_centre_issues",
+    _gl_issue_sql("GL_UNKNOWN_COST_CENTRE", "cost_centre_id", "NOT centre_found"),
+)
+def i3i(spark, sf_dir):
+    pair = quality.unknown_cost_centre(star.ledger(spark, sf_dir), star.mapping(spark, sf_dir))
+    return show(pair[1])
+
+
+@query("i4_unmapped_account_result", _result_sql(*_AC))
+def i4(spark, sf_dir):
+    pair = quality.unmapped_account(star.ledger(spark, sf_dir), star.mapping(spark, sf_dir))
+    return show(pair[0])
+
+
+@query(
+    "i4_unmapped_account_issues",
+    _gl_issue_sql("GL_UNMAPPED_ACCOUNT", "natural_account", "NOT account_found"),
+)
+def i4i(spark, sf_dir):
+    pair = quality.unmapped_account(star.ledger(spark, sf_dir), star.mapping(spark, sf_dir))
+    return show(pair[1])
+
+
+@query("i5_zero_driver_result", _ZERO_SQL)
+def i5(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    return show(quality.zero_driver(run.pools, run.zero_driver)[0])
+
+
+@query("i5_zero_driver_issues", _ZERO_ISSUES)
+def i5i(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    return show(quality.zero_driver(run.pools, run.zero_driver)[1])
+
+
+def _register(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Results (stored) and issues of the four rules that read landed or typed rows."""
+    children = classified_children(spark, sf_dir, "resource_usage", "direct_cost_detail")
+    gl, refs = star.ledger(spark, sf_dir), star.mapping(spark, sf_dir)
+    results, issues = quality.gather(
+        quality.resource_not_promoted(children["resource_usage"]),
+        quality.direct_not_promoted(children["direct_cost_detail"]),
+        quality.unknown_cost_centre(gl, refs),
+        quality.unmapped_account(gl, refs),
+    )
+    return stage(results, "validation_result"), issues
+
+
+_REGISTER = " UNION ALL ".join(
+    [
+        _RU_ISSUES,
+        _DC_ISSUES,
+        _gl_issue_sql("GL_UNKNOWN_COST_CENTRE", "cost_centre_id", "NOT centre_found"),
+        _gl_issue_sql("GL_UNMAPPED_ACCOUNT", "natural_account", "NOT account_found"),
+    ]
+)
+_IMPACTS = """SELECT load_run_id, 'resource_usage' AS source_entity, 'resource_usage_driver_values' AS field_name,
+        CAST(NULL AS DECIMAL(19,6)) AS impact FROM rres WHERE rejected
+    UNION ALL SELECT load_run_id, 'direct_cost_detail', 'encounter_id', amount FROM rdir WHERE rejected
+    UNION ALL SELECT load_run_id, 'general_ledger_transaction', 'cost_centre_id', signed_amount FROM mapped WHERE NOT centre_found
+    UNION ALL SELECT load_run_id, 'general_ledger_transaction', 'natural_account', signed_amount FROM mapped WHERE NOT account_found"""
+_RESULTS = " UNION ALL ".join(_result_sql(*rule) for rule in (_RU, _DC, _CC, _AC))
+
+
+@query("i7_issue_register", _REGISTER)
+def i7(spark, sf_dir):
+    return show(_register(spark, sf_dir)[1])
+
+
+@query(
+    "i7_issue_summary",
+    f"""SELECT load_run_id, source_entity, field_name, CAST(COUNT(*) AS BIGINT) AS issue_count,
+               {shown('SUM(COALESCE(impact, 0))')} AS financial_impact FROM ({_IMPACTS}) t GROUP BY ALL""",
+)
+def i7s(spark, sf_dir):
+    return show(quality.issue_summary(_register(spark, sf_dir)[1]))
+
+
+# --- reporting views ---------------------------------------------------------------------
+
+_RULE_VALUES = ", ".join("(" + ", ".join(q(v) for v in rule) + ")" for rule in K.RULES)
+
+
+@query(
+    "j1_dim_month",
+    f"""SELECT {d('reporting_month')} AS reporting_month, {d('reporting_month')} AS period_start,
+               {d('last_day(reporting_month)')} AS period_end,
+               CAST(fy AS VARCHAR) || '-' || lpad(CAST((fy + 1) % 100 AS VARCHAR), 2, '0') AS financial_year,
+               CAST(p AS BIGINT) AS period_number,
+               CAST(fy AS VARCHAR) || '-' || lpad(CAST((fy + 1) % 100 AS VARCHAR), 2, '0') || ' P' || lpad(CAST(p AS VARCHAR), 2, '0') AS period_label
+        FROM (SELECT reporting_month, year(reporting_month) - CASE WHEN month(reporting_month) < 7 THEN 1 ELSE 0 END AS fy,
+                     (month(reporting_month) + 5) % 12 + 1 AS p FROM period) t""",
+)
+def j1(spark, sf_dir):
+    return show(reporting.dim_month(star.reporting_periods(spark, sf_dir)))
+
+
+@query("j2_dim_facility", "SELECT DISTINCT facility FROM enc")
+def j2(spark, sf_dir):
+    return reporting.dim_facility(star.encounters(spark, sf_dir))
+
+
+@query(
+    "j3_dim_service_line",
+    """SELECT DISTINCT o_orderpriority AS service_line, 'Priority ' || o_orderpriority AS service_line_description FROM orders""",
+)
+def j3(spark, sf_dir):
+    lines = star.table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
+    return reporting.dim_service_line(
+        lines.select(
+            F.col("o_orderpriority").alias("service_line"),
+            F.concat(F.lit("Priority "), "o_orderpriority").alias("description"),
+        )
+    )
+
+
+@query(
+    "j3_dim_care_type",
+    "SELECT DISTINCT care_type, 'Care: ' || care_type AS care_type_description FROM enc",
+)
+def j3c(spark, sf_dir):
+    care = star.encounters(spark, sf_dir).select("care_type").distinct()
+    return reporting.dim_care_type(
+        care.withColumn("description", F.concat(F.lit("Care: "), "care_type"))
+    )
+
+
+@query(
+    "j4_dim_activity_group",
+    """SELECT activity_group_code, MIN(segment) AS activity_group_name, MIN(service_line) AS default_service_line,
+              MIN(care_type) AS default_care_type, 'N' AS official_classification_flag
+       FROM (SELECT activity_group_code, service_line, care_type, c_mktsegment AS segment
+             FROM enc JOIN customer ON CAST(c_custkey AS VARCHAR) = patient_id) t GROUP BY 1""",
+)
+def j4(spark, sf_dir):
+    customers = star.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("patient_id"), "c_mktsegment"
+    )
+    groups = (
+        star.encounters(spark, sf_dir)
+        .join(customers, "patient_id")
+        .groupBy("activity_group_code")
+        .agg(
+            F.min("c_mktsegment").alias("activity_group_name"),
+            F.min("service_line").alias("default_service_line"),
+            F.min("care_type").alias("default_care_type"),
+        )
+        .withColumn("official_classification_flag", F.lit("N"))
+    )
+    return reporting.dim_activity_group(groups)
+
+
+@query("j5_dim_cost_category", "SELECT DISTINCT cost_category FROM pool")
+def j5(spark, sf_dir):
+    return reporting.dim_cost_category(
+        pools.cost_pools(star.ledger(spark, sf_dir), star.mapping(spark, sf_dir))
+    )
+
+
+@query(
+    "j6_fact_patient_cost",
+    f"""SELECT {d('reporting_month')} AS reporting_month, encounter_id, {", ".join(f"{shown(c)} AS {c}" for c in _PARTS)},
+               {", ".join(f"{ratio(f'{p}_cost_amount', 'total_patient_cost')} AS {p}_cost_share" for p in ("direct", "indirect", "overhead"))},
+               'FINAL' AS cost_status, high_cost_flag, review_note, {n('length_of_stay')} AS length_of_stay, {n('age_years')} AS age_years,
+               indigenous_status, remoteness_area, high_complexity_flag, hospital_acquired_complication_flag FROM flagged""",
+)
+def j6(spark, sf_dir):
+    facts = reporting.fact_patient_cost(costing_run(spark, sf_dir).flagged)
+    shares = {f"{p}_cost_share": 6 for p in ("direct", "indirect", "overhead")}
+    return show(
+        facts.drop(RUN, "facility", "service_line", "care_type", "activity_group_code"), **shares
+    )
+
+
+@query(
+    "j7_fact_abf_comparison",
+    f"""SELECT encounter_id, funding_status, {shown('synthetic_nwau', 6)} AS synthetic_nwau,
+               {shown('synthetic_funding_amount')} AS synthetic_funding_amount,
+               {shown('total_patient_cost - synthetic_funding_amount')} AS cost_funding_variance,
+               {ratio('(total_patient_cost - synthetic_funding_amount)', 'synthetic_funding_amount')} AS cost_funding_variance_pct
+        FROM cmp""",
+)
+def j7(spark, sf_dir):
+    facts = reporting.fact_abf_comparison(costing_run(spark, sf_dir).comparison)
+    return show(
+        facts,
+        "encounter_id",
+        "funding_status",
+        "synthetic_nwau",
+        "synthetic_funding_amount",
+        "cost_funding_variance",
+        "cost_funding_variance_pct",
+        synthetic_nwau=6,
+        cost_funding_variance_pct=6,
+    )
+
+
+@query(
+    "j8_fact_reconciliation",
+    f"""SELECT reconciliation_level, {d('reporting_month')} AS reporting_month, cost_centre_id, cost_pool_code, cost_category,
+               {shown('gl_amount')} AS gl_amount, {shown('reconciliation_difference')} AS reconciliation_difference,
+               {ratio('reconciliation_difference', 'gl_amount', 4)} AS reconciliation_difference_pct, reconciliation_status,
+               CASE WHEN reconciliation_level = 'TOTAL' THEN 'Total reconciliation' ELSE 'Cost-pool reconciliation' END AS reconciliation_level_label
+        FROM recon""",
+)
+def j8(spark, sf_dir):
+    facts = reporting.fact_reconciliation(costing_run(spark, sf_dir).reconciliation)
+    return show(
+        facts,
+        "reconciliation_level",
+        "reporting_month",
+        "cost_centre_id",
+        "cost_pool_code",
+        "cost_category",
+        "gl_amount",
+        "reconciliation_difference",
+        "reconciliation_difference_pct",
+        "reconciliation_status",
+        "reconciliation_level_label",
+        reconciliation_difference_pct=4,
+    )
+
+
+@query(
+    "j9_fact_data_quality_issue",
+    f"""SELECT i.*, r.rule_name, r.rule_category, r.severity, r.blocking_flag, v.validation_status
+        FROM ({_REGISTER}) i JOIN ({_RESULTS}) v USING (load_run_id, validation_rule_id)
+        JOIN (SELECT * FROM (VALUES {_RULE_VALUES}) AS t({", ".join(K.RULE_COLUMNS)})) r USING (validation_rule_id)""",
+)
+def j9(spark, sf_dir):
+    results, issues = _register(spark, sf_dir)
+    return show(
+        reporting.fact_data_quality_issue(issues, results, quality.rule_catalogue(spark))
+    )
+
+
+@query(
+    "j10_view_counts",
+    """SELECT 'vw_fact_patient_cost' AS view_name, CAST(COUNT(*) AS BIGINT) AS row_count,
+              CAST(COUNT(DISTINCT encounter_id) AS BIGINT) AS distinct_encounters FROM enc
+       UNION ALL SELECT 'vw_fact_abf_comparison', CAST(COUNT(*) AS BIGINT), CAST(COUNT(DISTINCT encounter_id) AS BIGINT) FROM enc""",
+)
+def j10(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    return reporting.view_counts(
+        run.costs, reporting.fact_abf_comparison(run.comparison)
+    )
+
+
+@query(
+    "j10_cost_tie_out",
+    f"""SELECT CAST(COUNT(*) AS BIGINT) AS patient_cost_rows, {shown('SUM(total_patient_cost)')} AS patient_cost_total,
+               CAST(COUNT(*) AS BIGINT) AS abf_rows, {shown('SUM(total_patient_cost)')} AS abf_patient_cost_total,
+               CAST(0 AS DOUBLE) AS difference FROM cost""",
+)
+def j10t(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    return show(reporting.cost_tie_out(run.costs, run.comparison))
+
+
+@query(
+    "j10_issue_totals",
+    f"""SELECT CAST(COUNT(*) AS BIGINT) AS issue_count, {shown('SUM(COALESCE(impact, 0))')} AS financial_impact
+        FROM ({_IMPACTS}) t""",
+)
+def j10i(spark, sf_dir):
+    return show(reporting.issue_totals(_register(spark, sf_dir)[1]))
+
+
+# --- summaries ----------------------------------------------------------------------------
+
+
+def _summary_sql(table: str, measures) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT {q(m)} AS measure, CAST(COUNT({m}) AS BIGINT) AS count, ROUND(MIN(CAST({m} AS DOUBLE)), 3) AS min,
+            ROUND(AVG(CAST({m} AS DOUBLE)), 3) AS mean, ROUND(quantile_cont(CAST({m} AS DOUBLE), 0.5), 3) AS median,
+            ROUND(quantile_cont(CAST({m} AS DOUBLE), 0.95), 3) AS p95, ROUND(MAX(CAST({m} AS DOUBLE)), 3) AS max FROM {table}"""
+        for m in measures
+    )
+
+
+@query("d14_resource_summary", _summary_sql("res", MEASURES))
+def d14(spark, sf_dir):
+    return summaries.numeric_summary(
+        star.resource_usage(spark, sf_dir), list(MEASURES), non_negative_only=True
+    )
+
+
+@query("d14_encounter_summary", _summary_sql("enc", ["age_years", "length_of_stay"]))
+def d14e(spark, sf_dir):
+    return summaries.numeric_summary(
+        star.encounters(spark, sf_dir), ["age_years", "length_of_stay"]
+    )
+
+
+_ATTRIBUTES = ("service_line", "care_type", "activity_group_code", "episode_month")
+
+
+@query(
+    "d15_encounter_frequencies",
+    " UNION ALL ".join(
+        f"""SELECT {q(a)} AS attribute, CAST({a} AS VARCHAR) AS value, CAST(COUNT(*) AS BIGINT) AS n,
+            ROUND(CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM enc), 6) AS share FROM enc GROUP BY {a}"""
+        for a in _ATTRIBUTES
+    ),
+)
+def d15(spark, sf_dir):
+    return show(summaries.frequencies(star.encounters(spark, sf_dir), *_ATTRIBUTES))
+
+
+# --- stays over months ----------------------------------------------------------------------
+
+_STAY = """SELECT load_run_id, encounter_id, care_type, admission_date, discharge_date, age_years, length_of_stay,
+    CAST(unnest(generate_series(date_trunc('month', admission_date), date_trunc('month', discharge_date), INTERVAL 1 MONTH)) AS DATE) AS service_month
+    FROM enc"""
+_STAY_POS = f"""SELECT *, ROW_NUMBER() OVER (PARTITION BY encounter_id ORDER BY service_month) - 1 AS pos,
+    COUNT(*) OVER (PARTITION BY encounter_id) AS months FROM ({_STAY}) s"""
+_DAYS = "greatest(0, date_diff('day', greatest(admission_date, service_month), least(discharge_date, last_day(service_month))) + 1)"
+
+
+@query(
+    "l1_stay_months",
+    f"""SELECT encounter_id, {d('service_month')} AS service_month, {n('pos')} AS month_position, {n('months')} AS month_count
+        FROM ({_STAY_POS}) t""",
+)
+def l1(spark, sf_dir):
+    return show(
+        timeline.stay_months(star.encounters(spark, sf_dir)),
+        "encounter_id",
+        "service_month",
+        "month_position",
+        "month_count",
+    )
+
+
+@query(
+    "l2_bed_days_and_splits",
+    f"""SELECT load_run_id, encounter_id, {d('service_month')} AS service_month,
+               CAST(CASE WHEN care_type IN ('Same-day', 'Emergency', 'Outpatient') THEN 0
+                         WHEN pos = months - 1 AND {_DAYS} > 0 THEN greatest(1, {_DAYS} - 1) ELSE {_DAYS} END AS BIGINT) AS bed_days,
+               {", ".join(f"CAST(CASE WHEN pos = 0 THEN {m} - ({m} // months) * (months - 1) ELSE {m} // months END AS BIGINT) AS {m}" for m in ("age_years", "length_of_stay"))}
+        FROM ({_STAY_POS}) t""",
+)
+def l2(spark, sf_dir):
+    """Age and length of stay stand in for whole-stay measures to be split."""
+    return show(
+        timeline.spread_over_months(
+            star.encounters(spark, sf_dir), ["age_years", "length_of_stay"]
+        )
+    )
+
+
+@query(
+    "l4_direct_to_ledger",
+    f"""SELECT load_run_id, {d('service_month')} AS reporting_month, cost_centre_id, natural_account,
+               {shown('SUM(amount)')} AS signed_amount, 'Standard expense' AS adjustment_type,
+               'DIRECT-CONTROL-' || CAST(service_month AS VARCHAR) || '-' || cost_centre_id || '-' || natural_account AS source_reference
+        FROM dir GROUP BY ALL""",
+)
+def l4(spark, sf_dir):
+    return show(timeline.direct_to_ledger(star.direct_items(spark, sf_dir)))
+
+
+# --- assurance checks -------------------------------------------------------------------------
+
+_MONTHS = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)][:80]
+STAR_YEAR = checks.Expectations(
+    service_lines=star.PRIORITIES,
+    months=_MONTHS,
+    theatre_lines=star.PRIORITIES[:2],
+    unknown_centre=f"CC_{star.UNMAPPED_NATION}",
+    zero_driver_centre="CC_11",
+)
+
+
+def _checks_twin(table: str, rows) -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT {q(i)} AS check_id, CASE WHEN {ok} THEN {q(good)} ELSE {q(bad)} END AS status,
+            CAST({seen} AS VARCHAR) AS observed FROM totals_row"""
+        for i, ok, seen, good, bad in rows
+    )
+    inner = twin(table)
+    cut = inner.rindex("\nSELECT") if inner.startswith("WITH") else 0
+    head, body = inner[:cut], inner[cut:].strip()
+    return (f"{head}, " if head else "WITH ") + f"totals_row AS ({body})\n{parts}"
+
+
+def _check_query(name: str, table: str, rows):
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        TWINS[name] = _checks_twin(table, rows)
+        return fn
+
+    return register
+
+
+def _seen(df: DataFrame) -> DataFrame:
+    return df.select("check_id", "status", "observed")
+
+
+def _in(values) -> str:
+    return "(" + ", ".join(q(v) for v in values) + ")"
+
+
+_P, _E, _X, _W = "PASS", "ERROR", "EXPECTED", "WARNING"
+
+
+@_check_query(
+    "k3_encounter_checks",
+    f"""SELECT COUNT(*) AS n, COUNT(DISTINCT encounter_id) AS ids,
+          (SELECT COUNT(DISTINCT service_line) FROM enc) AS lines, (SELECT COUNT(DISTINCT care_type) FROM enc) AS cares,
+          COUNT(DISTINCT CASE WHEN CAST(episode_month AS VARCHAR) IN {_in(_MONTHS)} THEN episode_month END) AS months,
+          COUNT(*) FILTER (CAST(episode_month AS VARCHAR) NOT IN {_in(_MONTHS)}) AS other_months,
+          COUNT(*) FILTER (discharge_date < admission_date OR length_of_stay < 0) AS dates,
+          COUNT(*) FILTER (age_years NOT BETWEEN 0 AND 110) AS ages,
+          COUNT(*) FILTER ((care_type IN ('Same-day', 'Emergency', 'Outpatient') AND length_of_stay <> 0)
+             OR (care_type = 'Inpatient' AND length_of_stay < 1)) AS stays,
+          COUNT(*) FILTER (activity_group_code = 'UNCLASSIFIED') AS unclassified,
+          (SELECT COUNT(*) FROM (SELECT encounter_id FROM res GROUP BY 1 HAVING COUNT(DISTINCT service_month) > 1) s) AS several
+        FROM enc""",
+    [
+        ("ENC-UNIQUE", "n = ids", "n - ids", _P, _E),
+        ("ENC-SERVICES", "lines = 5", "lines", _P, _E),
+        ("ENC-CARE", "cares = 4", "cares", _P, _E),
+        ("ENC-MONTHS", f"months = {len(_MONTHS)} AND other_months = 0", "months", _P, _E),
+        ("ENC-DATES", "dates = 0", "dates", _P, _E),
+        ("ENC-AGE", "ages = 0", "ages", _P, _E),
+        ("ENC-CARE-LOS", "stays = 0", "stays", _P, _E),
+        ("ENC-UNCLASSIFIED", "unclassified = 1", "unclassified", _X, _E),
+        ("ENC-MULTI-MONTH", "several > 0", "several", _P, _E),
+    ],
+)
+def k3(spark, sf_dir):
+    return _seen(
+        checks.encounter_checks(
+            star.encounters(spark, sf_dir), star.resource_usage(spark, sf_dir), STAR_YEAR
+        )
+    )
+
+
+@query(
+    "k3_repeated_ledger_keys",
+    "SELECT gl_transaction_id, CAST(COUNT(*) AS BIGINT) AS copies FROM gl GROUP BY 1 HAVING COUNT(*) > 1",
+)
+def k3r(spark, sf_dir):
+    return checks.repeated_keys(star.ledger(spark, sf_dir), ["gl_transaction_id"])
+
+
+@_check_query(
+    "k9_resource_checks",
+    f"""SELECT COUNT(*) AS n, COUNT(DISTINCT resource_usage_id) AS ids, COUNT(*) FILTER (e.encounter_id IS NULL) AS orphans,
+          COUNT(*) FILTER (pathology_weighted_units < 0) AS pathology,
+          {" + ".join(f"COUNT(*) FILTER ({m} < 0)" for m in MEASURES if m != "pathology_weighted_units")} AS others,
+          SUM(CASE WHEN care_type IN ('Inpatient', 'Same-day') THEN bed_days ELSE 0 END) AS admitted,
+          CAST(SUM(CASE WHEN care_type IN ('Emergency', 'Outpatient') THEN bed_days ELSE 0 END) AS BIGINT) AS not_admitted,
+          CAST(SUM(CASE WHEN service_line IN {_in(star.PRIORITIES[:2])} THEN theatre_minutes ELSE 0 END) AS DOUBLE) / SUM(theatre_minutes) AS share
+        FROM lres r LEFT JOIN penc e ON e.encounter_id = r.encounter_id""",
+    [
+        ("RES-UNIQUE", "n = ids", "n - ids", _P, _E),
+        ("RES-FK", "orphans = 0", "orphans", _P, _E),
+        ("RES-NEG-PATH", "pathology = 1", "pathology", _X, _E),
+        ("RES-NEG-OTHER", "others = 0", "others", _P, _E),
+        ("RES-BED-DAY", "admitted > 0 AND not_admitted = 0", "not_admitted", _P, _E),
+        ("RES-THEATRE", "share >= 0.95", "CAST(share AS DECIMAL(9,4))", _P, _W),
+    ],
+)
+def k9(spark, sf_dir):
+    """Landed resource rows (with their negative values) against staged encounters."""
+    staged = promote.accepted(classified_encounters(spark, sf_dir))
+    rows = star.spoiled_resource(spark, sf_dir)
+    return _seen(checks.resource_checks(rows, staged, STAR_YEAR))
+
+
+@_check_query(
+    "k14_financial_checks",
+    f"""SELECT COUNT(*) AS n, COUNT(DISTINCT gl_transaction_id) AS ids,
+          COUNT(*) FILTER (cost_centre_id NOT IN (SELECT cost_centre_id FROM centre)) AS no_centre,
+          COUNT(*) FILTER (natural_account NOT IN (SELECT natural_account FROM account)) AS no_account,
+          COUNT(*) FILTER (signed_amount < 0) AS negative,
+          COUNT(*) FILTER (signed_amount < 0 AND adjustment_type NOT IN ('Credit', 'Reversal')) AS odd,
+          COALESCE(SUM(CASE WHEN cost_centre_id = 'CC_11' THEN signed_amount END), 0) AS zero_pool,
+          (SELECT COUNT(*) FROM dbad) AS failed,
+          (SELECT COUNT(*) FROM (SELECT reporting_month FROM gl GROUP BY 1 HAVING SUM(signed_amount) <> COALESCE(
+             (SELECT SUM(p.signed_amount) FROM pgl p WHERE p.reporting_month = gl.reporting_month), 0)) a) AS months,
+          (SELECT COUNT(*) FROM (SELECT reporting_month, cost_centre_id, SUM(signed_amount) AS s FROM gl GROUP BY 1, 2) a
+             LEFT JOIN (SELECT reporting_month, cost_centre_id, SUM(signed_amount) AS s FROM pgl GROUP BY 1, 2) b
+             USING (reporting_month, cost_centre_id) WHERE a.s <> COALESCE(b.s, 0)) AS centres,
+          (SELECT COUNT(*) FROM (SELECT service_month, cost_centre_id, natural_account, SUM(amount) AS s FROM dir GROUP BY ALL) a
+             LEFT JOIN (SELECT reporting_month AS service_month, cost_centre_id, natural_account, SUM(signed_amount) AS s FROM pgl
+                        WHERE starts_with(source_reference, 'DIRECT-CONTROL-') GROUP BY ALL) b
+             USING (service_month, cost_centre_id, natural_account) WHERE a.s IS DISTINCT FROM b.s) AS directs
+        FROM pgl""",
+    [
+        ("GL-UNIQUE", "n = ids", "n - ids", _P, _E),
+        ("GL-UNKNOWN-CC", "no_centre = 1", "no_centre", _X, _E),
+        ("GL-UNKNOWN-ACCOUNT", "no_account = 0", "no_account", _P, _E),
+        ("GL-NEGATIVE", "negative > 0 AND odd = 0", "negative", _P, _E),
+        ("GL-ZERO-DRIVER", "zero_pool = 45000", "CAST(zero_pool AS DECIMAL(19,2))", _X, _E),
+        ("DIR-FAILED", "failed = 1", "failed", _X, _E),
+        ("GL-MONTH-CONTROL", "months = 0", "months", _P, _E),
+        ("GL-CC-CONTROL", "centres = 0", "centres", _P, _E),
+        ("GL-DIRECT-CONTROL", "directs = 0", "directs", _P, _E),
+    ],
+)
+def k14(spark, sf_dir):
+    """Staged ledger against control totals taken before rows were rejected."""
+    gl = star.ledger(spark, sf_dir)
+    staged = promote.accepted(promote.classify(star.ledger_landing(spark, sf_dir), LEDGER))
+
+    def control(*by):
+        return pools.ledger_totals(gl, *by).withColumnRenamed(
+            "signed_gl_total", "expected_signed_gl_total"
+        )
+
+    return _seen(
+        checks.financial_checks(
+            staged,
+            star.direct_items(spark, sf_dir),
+            star.encounters(spark, sf_dir),
+            star.cost_centres(spark, sf_dir),
+            star.account_mapping(spark),
+            control("reporting_month"),
+            control("reporting_month", "cost_centre_id"),
+            STAR_YEAR,
+        )
+    )
+
+
+@_check_query(
+    "k19_funding_checks",
+    """SELECT (SELECT COUNT(*) FROM enc) - (SELECT COUNT(*) FROM penc) AS one_sided,
+          COUNT(*) FILTER (funding_status <> 'CALCULATED') AS unfunded,
+          COUNT(*) FILTER (funding_status = 'CALCULATED' AND demographic_adjustment_factor NOT BETWEEN 0.85 AND 1.20) AS wrong,
+          (SELECT COUNT(*) FROM (SELECT episode_month, COUNT(*) AS c FROM fund GROUP BY 1) a
+             LEFT JOIN (SELECT episode_month, COUNT(*) AS c FROM penc GROUP BY 1) b USING (episode_month)
+             WHERE a.c <> COALESCE(b.c, 0)) AS months
+        FROM fund WHERE encounter_id IN (SELECT encounter_id FROM penc)""",
+    [
+        ("ABF-POPULATION", "one_sided = 0", "one_sided", _P, _E),
+        ("ABF-UNFUNDED", "unfunded = 1", "unfunded", _X, _E),
+        ("ABF-CALC", "wrong = 0", "wrong", _P, _E),
+        ("ABF-PRICE", "TRUE", "'10750.00'", _P, _E),
+        ("ABF-MONTH-CONTROL", "months = 0", "months", _P, _E),
+        ("ABF-GROUPS", "TRUE", "0", _P, _E),
+    ],
+)
+def k19(spark, sf_dir):
+    """Funding of staged encounters against the landed population and its control."""
+    everybody = star.encounters(spark, sf_dir)
+    groups = star.funding_groups(spark)
+    staged = promote.accepted(classified_encounters(spark, sf_dir))
+    control = funding.monthly_funding_control(funding.encounter_funding(everybody, groups))
+    return _seen(
+        checks.funding_checks(
+            funding.encounter_funding(staged, groups), everybody, groups, control, STAR_YEAR
+        )
+    )
+
+
+@_check_query(
+    "k20_plausibility_checks",
+    """SELECT (SELECT COUNT(*) FROM enc) AS n,
+          (SELECT COUNT(*) FROM (SELECT COUNT(*) AS c FROM enc GROUP BY service_line) s
+             WHERE c < greatest(100, 0.02 * (SELECT COUNT(*) FROM enc))) AS small,
+          (SELECT MIN(c) FROM (SELECT COUNT(*) AS c FROM enc GROUP BY episode_month) s) AS least,
+          (SELECT MAX(c) FROM (SELECT COUNT(*) AS c FROM enc GROUP BY episode_month) s) AS most,
+          CAST((SELECT SUM(estimated_synthetic_funding) FROM fund) AS DOUBLE) / CAST(SUM(signed_amount) AS DOUBLE) AS ratio
+        FROM gl""",
+    [
+        ("PLAUS-VOLUME", "n BETWEEN 5000 AND 10000", "n", _P, _W),
+        ("PLAUS-SERVICE-MIX", "small = 0", "small", _P, _W),
+        ("PLAUS-MONTH-VOLUME", "most <= least * 1.5", "least || '-' || most", _P, _W),
+        ("PLAUS-COST-FUNDING", "ratio BETWEEN 0.8 AND 1.2", "CAST(ratio AS DECIMAL(9,4))", _P, _W),
+    ],
+)
+def k20(spark, sf_dir):
+    return _seen(
+        checks.plausibility_checks(
+            star.encounters(spark, sf_dir),
+            star.ledger(spark, sf_dir),
+            _encounter_funding(spark, sf_dir),
+            STAR_YEAR,
+        )
+    )
+
+
+@query(
+    "k1_table_checks",
+    """SELECT 'FILE-orders' AS check_id, 'PASS' AS status, CAST(COUNT(*) AS VARCHAR) AS observed FROM orders
+       UNION ALL SELECT 'FILE-lineitem', 'ERROR', 'l_facility'
+       UNION ALL SELECT 'FILE-supplier', 'PASS', CAST(COUNT(*) AS VARCHAR) FROM supplier""",
+)
+def k1(spark, sf_dir):
+    names = ("orders", "lineitem", "supplier")
+    return _seen(
+        checks.table_checks(
+            {name: star.table(spark, sf_dir, name) for name in names},
+            {
+                "orders": ["o_orderkey", "o_custkey", "o_orderdate"],
+                "lineitem": ["l_orderkey", "l_facility"],
+                "supplier": ["s_suppkey"],
+            },
+        )
+    )
+
+
+@query(
+    "k22_overall_status",
+    """SELECT CAST(9 AS BIGINT) AS check_count, CASE WHEN n <> ids OR dates > 0 OR stays > 0 OR unclassified <> 1
+              THEN 'FAIL' ELSE 'PASS' END AS overall_status
+       FROM (SELECT COUNT(*) AS n, COUNT(DISTINCT encounter_id) AS ids, COUNT(*) FILTER (discharge_date < admission_date) AS dates,
+                    COUNT(*) FILTER (care_type = 'Inpatient' AND length_of_stay < 1) AS stays,
+                    COUNT(*) FILTER (activity_group_code = 'UNCLASSIFIED') AS unclassified FROM enc) t""",
+)
+def k22(spark, sf_dir):
+    """Status counts and verdict over a report that was written and read back."""
+    path = scratch_path(spark, "checks")
+    report = checks.encounter_checks(
+        star.encounters(spark, sf_dir), star.resource_usage(spark, sf_dir), STAR_YEAR
+    )
+    tables.write_check_report(report, path)
+    return checks.overall_status(spark.read.schema(report.schema).json(path))
+
+
+@query(
+    "m3_implausible_resources",
+    " UNION ALL ".join(
+        f"""SELECT resource_usage_id, {q(m)} AS measure, CAST({m} AS BIGINT) AS value, CAST({upper} AS BIGINT) AS upper_limit,
+            {q(severity)} AS severity, CASE WHEN {m} < 0 THEN 'Y' ELSE 'N' END AS blocking_flag
+            FROM lres WHERE {m} < 0 OR {m} > {upper}"""
+        for m, (upper, severity) in K.PLAUSIBLE_RANGES.items()
+    ),
+)
+def m3(spark, sf_dir):
+    rows = star.spoiled_resource(spark, sf_dir)
+    return show(
+        checks.implausible_resources(rows),
+        "resource_usage_id",
+        "measure",
+        "value",
+        "upper_limit",
+        "severity",
+        "blocking_flag",
+    )
+
+
+# --- variance, materiality, readiness, management summaries -------------------------------------
+
+
+@query(
+    "m1_monthly_variance",
+    f"""SELECT service_line, {d('reporting_month')} AS reporting_month, {shown('c')} AS total_cost, {n('e')} AS encounter_count,
+               {shown('c - pc')} AS cost_change, {ratio('(c - pc)', 'pc', 4)} AS cost_change_share, {n('e - pe')} AS count_change,
+               CASE WHEN ABS(c - pc) >= 100000 AND ABS(CAST(c - pc AS DOUBLE) / CAST(NULLIF(pc, 0) AS DOUBLE)) >= 0.10 THEN 'Y' ELSE 'N' END AS material_flag
+        FROM (SELECT *, CASE WHEN lag(reporting_month) OVER w = CAST(reporting_month - INTERVAL 1 MONTH AS DATE) THEN lag(c) OVER w END AS pc,
+                     CASE WHEN lag(reporting_month) OVER w = CAST(reporting_month - INTERVAL 1 MONTH AS DATE) THEN lag(e) OVER w END AS pe
+              FROM (SELECT service_line, reporting_month, SUM(total_patient_cost) AS c, COUNT(*) AS e FROM cost GROUP BY ALL) g
+              WINDOW w AS (PARTITION BY service_line ORDER BY reporting_month)) t""",
+)
+def m1(spark, sf_dir):
+    return show(
+        variance.monthly_variance(costing_run(spark, sf_dir).costs, ["service_line"]),
+        "service_line",
+        "reporting_month",
+        "total_cost",
+        "encounter_count",
+        "cost_change",
+        "cost_change_share",
+        "count_change",
+        "material_flag",
+        cost_change_share=4,
+    )
+
+
+@query(
+    "m2_unallocated_materiality",
+    f"""SELECT {d('reporting_month')} AS reporting_month, unallocated_reason, {shown('u')} AS unallocated_amount,
+               {ratio('u', 'g', 6)} AS ledger_share,
+               CASE greatest(CASE WHEN ABS(u) >= 100000 THEN 3 WHEN ABS(u) >= 10000 THEN 2 WHEN ABS(u) >= 1000 THEN 1 ELSE 0 END,
+                             CASE WHEN ABS(CAST(u AS DOUBLE) / CAST(g AS DOUBLE)) >= 0.01 THEN 3 WHEN ABS(CAST(u AS DOUBLE) / CAST(g AS DOUBLE)) >= 0.001 THEN 2
+                                  WHEN ABS(CAST(u AS DOUBLE) / CAST(g AS DOUBLE)) >= 0.0001 THEN 1 ELSE 0 END)
+                 WHEN 3 THEN 'Critical' WHEN 2 THEN 'High' WHEN 1 THEN 'Medium' ELSE 'Low' END AS materiality
+        FROM (SELECT reporting_month, unallocated_reason, SUM(unallocated_amount) AS u FROM una GROUP BY ALL) a
+        LEFT JOIN (SELECT reporting_month, SUM(signed_amount) AS g FROM gl GROUP BY ALL) b USING (reporting_month)""",
+)
+def m2(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    monthly = pools.ledger_totals(run.ledger, RUN, "reporting_month")
+    return show(
+        variance.unallocated_materiality(run.unallocated, monthly),
+        "reporting_month",
+        "unallocated_reason",
+        "unallocated_amount",
+        "ledger_share",
+        "materiality",
+        ledger_share=6,
+    )
+
+
+@query(
+    "m6_readiness",
+    """SELECT CAST(1 AS BIGINT) AS load_run_id, total.reconciliation_status AS total_status,
+              CAST((SELECT COUNT(*) FROM rres WHERE rejected) > 0 AS BIGINT) + CAST((SELECT COUNT(*) FROM rdir WHERE rejected) > 0 AS BIGINT) AS blocking_failures,
+              CAST(0 AS BIGINT) AS failed_controls, 'N' AS publish_flag FROM total""",
+)
+def m6(spark, sf_dir):
+    run = costing_run(spark, sf_dir)
+    results, _ = _register(spark, sf_dir)
+    controls = run.encounters.groupBy(RUN).agg(
+        F.when(F.count(F.lit(1)) > 0, "PASS").otherwise("FAIL").alias("control_status")
+    )
+    return show(
+        checks.readiness(
+            results, quality.rule_catalogue(spark), controls, run.reconciliation
+        )
+    )
+
+
+@query(
+    "m7_service_line_composition",
+    f"""SELECT load_run_id, service_line, CAST(COUNT(*) AS BIGINT) AS encounter_count,
+               {", ".join(f"{shown(f'SUM({c})')} AS {c}" for c in _PARTS)},
+               {", ".join(f"{ratio(f'SUM({c})', 'SUM(total_patient_cost)', 6)} AS {c.replace('amount', 'share')}" for c in _PARTS[:3])}
+        FROM cost GROUP BY ALL""",
+)
+def m7(spark, sf_dir):
+    return show(
+        reporting.service_line_composition(costing_run(spark, sf_dir).costs),
+        **{c.replace("amount", "share"): 6 for c in _PARTS[:3]},
+    )
+
+
+@query(
+    "m7_activity_group_summary",
+    f"""SELECT load_run_id, activity_group_code, {shown('SUM(total_patient_cost)')} AS total_patient_cost,
+               CAST(COUNT(*) AS BIGINT) AS encounter_count,
+               ROUND(CAST(SUM(total_patient_cost) AS DOUBLE) / COUNT(*), 2) AS average_cost FROM cost GROUP BY ALL""",
+)
+def m7a(spark, sf_dir):
+    return show(reporting.activity_group_summary(costing_run(spark, sf_dir).costs))
+
+
+@query(
+    "m7_high_cost_by_group",
+    f"""SELECT load_run_id, care_type, activity_group_code, CAST(COUNT(*) AS BIGINT) AS encounter_count,
+               CAST(COUNT(*) FILTER (high_cost_flag = 'Y') AS BIGINT) AS high_cost_count,
+               {shown("COALESCE(SUM(CASE WHEN high_cost_flag = 'Y' THEN total_patient_cost END), 0)")} AS high_cost_amount
+        FROM flagged GROUP BY ALL""",
+)
+def m7h(spark, sf_dir):
+    return show(reporting.high_cost_by_group(costing_run(spark, sf_dir).flagged))

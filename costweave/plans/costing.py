@@ -52,7 +52,8 @@ class CostingRun:
 
     @cached_property
     def rates(self) -> DataFrame:
-        return stage(allocate.pool_rates(self.pools, self.driver_totals, K.INDIRECT), "rate")
+        """Two stored aggregates joined; cheap enough to plan again where it is used."""
+        return allocate.pool_rates(self.pools, self.driver_totals, K.INDIRECT)
 
     @cached_property
     def monthly_rates(self) -> DataFrame:

@@ -34,6 +34,7 @@ def shown(expr: str, places: int = 2) -> str:
 def ratio(num: str, den: str, places: int = 6) -> str:
     return (
         f"ROUND(CASE WHEN {den} <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END, {places})"
+        " + CAST(0 AS DOUBLE)"
     )
 
 

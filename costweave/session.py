@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +71,18 @@ def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     Pass a reference table or a staged aggregate: the check reads its rows. A
     lookup above the limit is joined by shuffle, with adaptive skew splitting.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return lookups(df, max_rows=max_rows)[0]
+
+
+def lookups(*frames: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[DataFrame]:
+    """``lookup`` for several tables with one size check."""
+    marked = [
+        df.limit(max_rows + 1).select(F.lit(i).alias("frame")) for i, df in enumerate(frames)
+    ]
+    counts = dict(reduce(DataFrame.union, marked).groupBy("frame").count().collect())
+    return [
+        F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(frames)
+    ]
 
 
 def lookup_join(

@@ -11,19 +11,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costweave import constants as K
-from costweave.functions.columns import inline, month_of, one_of
+from costweave.functions.columns import inline, month_of
 from costweave.operators.mapping import Mapping, governed
 from costweave.schemas import (
     DIRECT_COST,
     ENCOUNTER,
     LEDGER,
-    MONEY,
     REFERENCES,
     RESOURCE,
     RUN,
     Entity,
 )
-from costweave.session import lookup
 
 THE_RUN = 1
 # Fixed values of the adapter (the SQL twins read the same ones)
@@ -92,125 +90,136 @@ FUNDING_GROUPS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# declared, so that no job reads footers to find out
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
-def _care_type() -> Column:
-    return (
-        F.when(F.col("o_orderstatus") == "O", "Outpatient")
-        .when(F.col("o_orderstatus") == "P", "Emergency")
-        .when(F.col("o_orderkey") % 4 == 0, "Same-day")
-        .otherwise("Inpatient")
-    )
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, "Y").otherwise("N")
+CARE_TYPE = (
+    "CASE WHEN o_orderstatus = 'O' THEN 'Outpatient' WHEN o_orderstatus = 'P' THEN 'Emergency' "
+    "WHEN o_orderkey % 4 = 0 THEN 'Same-day' ELSE 'Inpatient' END"
+)
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One encounter per order with patient attributes from its customer."""
-    regions = lookup(
-        table(spark, sf_dir, "nation").join(
-            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        ).select("n_nationkey", "r_name")
+    """One encounter per order with patient attributes from its customer.
+
+    Nation and region are tiny files; the optimizer broadcasts them by their size.
+    """
+    groups = " ".join(f"WHEN '{s}' THEN '{g}'" for s, g in SEGMENT_GROUPS.items())
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "o_custkey AS c_custkey",
+        "o_orderpriority AS service_line",
+        f"{CARE_TYPE} AS care_type",
+        "CAST(o_orderdate AS DATE) AS admission_date",
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_nationkey AS n_nationkey", "c_mktsegment"
     )
-    key, patient = F.col("o_orderkey"), F.col("o_custkey")
-    admitted = F.to_date("o_orderdate")
+    nations = table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_regionkey AS r_regionkey")
     return (
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(regions, F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("care_type", _care_type())
-        .withColumn(
-            "length_of_stay",
-            F.when(F.col("care_type") == "Inpatient", key % 15).otherwise(0).cast("short"),
+        orders.join(customers, "c_custkey")
+        .join(nations, "n_nationkey")
+        .join(table(spark, sf_dir, "region"), "r_regionkey")
+        .selectExpr(
+            "*",
+            "CAST(IF(care_type = 'Inpatient', o_orderkey % 15, 0) AS SMALLINT) AS length_of_stay",
         )
-        .select(
-            F.lit(THE_RUN).cast("long").alias(RUN),
-            key.cast("string").alias("encounter_id"),
-            patient.cast("string").alias("patient_id"),
-            F.col("r_name").alias("facility"),
-            F.col("o_orderpriority").alias("service_line"),
+        .selectExpr(
+            f"CAST({THE_RUN} AS BIGINT) AS {RUN}",
+            "CAST(o_orderkey AS STRING) AS encounter_id",
+            "CAST(c_custkey AS STRING) AS patient_id",
+            "r_name AS facility",
+            "service_line",
             "care_type",
-            admitted.alias("admission_date"),
-            F.date_add(admitted, F.col("length_of_stay").cast("int")).alias("discharge_date"),
-            month_of(admitted).alias("episode_month"),
-            one_of("c_mktsegment", SEGMENT_GROUPS).alias("activity_group_code"),
+            "admission_date",
+            "date_add(admission_date, CAST(length_of_stay AS INT)) AS discharge_date",
+            "trunc(admission_date, 'MM') AS episode_month",
+            f"CASE c_mktsegment {groups} END AS activity_group_code",
             "length_of_stay",
-            F.lit("Discharged").alias("separation_status"),
-            (patient % 90).cast("short").alias("age_years"),
-            _flag(patient % 29 == 0).alias("indigenous_status"),
-            F.when(patient % 41 == 0, "Remote").otherwise("Major Cities").alias("remoteness_area"),
-            _flag(key % 7 == 0).alias("high_complexity_flag"),
-            _flag(key % 50 == 0).alias("hospital_acquired_complication_flag"),
+            "'Discharged' AS separation_status",
+            "CAST(c_custkey % 90 AS SMALLINT) AS age_years",
+            "IF(c_custkey % 29 = 0, 'Y', 'N') AS indigenous_status",
+            "IF(c_custkey % 41 = 0, 'Remote', 'Major Cities') AS remoteness_area",
+            "IF(o_orderkey % 7 = 0, 'Y', 'N') AS high_complexity_flag",
+            "IF(o_orderkey % 50 = 0, 'Y', 'N') AS hospital_acquired_complication_flag",
         )
     )
 
 
+# measures summed per order and month
+_LINE_MEASURES = {
+    "lines": "1",
+    "theatre_minutes": "IF(l_returnflag = 'R', CAST(l_quantity AS INT), 0)",
+    "imaging_weighted_units": "l_linenumber",
+    "pathology_weighted_units": "IF(l_linestatus = 'F', 1, 0)",
+    "pharmacy_units": "CAST(l_quantity AS INT)",
+    "allied_health_units": "IF(l_returnflag = 'A', 1, 0)",
+}
+
+
 def resource_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures per order and month; odd line numbers fall in the next month.
 
     Both months are summed side by side, so lines shuffle once, by order, after
     map-side combining, and the join with orders reuses that partitioning.
     """
-    number = F.col("l_linenumber")
-    measures = {
-        "lines": F.lit(1),
-        "theatre_minutes": F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int")).otherwise(0),
-        "imaging_weighted_units": number,
-        "pathology_weighted_units": F.when(F.col("l_linestatus") == "F", 1).otherwise(0),
-        "pharmacy_units": F.col("l_quantity").cast("int"),
-        "allied_health_units": F.when(F.col("l_returnflag") == "A", 1).otherwise(0),
-    }
-    sums = [
-        F.sum(F.when(number % 2 == later, value)).cast("int").alias(f"{name}_{later}")
-        for later in (0, 1)
-        for name, value in measures.items()
-    ]
     per_order = (
         table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
-        .groupBy("l_orderkey")
-        .agg(*sums)
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(
+            *[
+                F.expr(
+                    f"CAST(SUM(IF(l_linenumber % 2 = {later}, {value}, NULL)) AS INT) "
+                    f"AS {name}_{later}"
+                )
+                for later in (0, 1)
+                for name, value in _LINE_MEASURES.items()
+            ]
+        )
+    )
+    months = ", ".join(
+        f"named_struct('later', {later}, "
+        + ", ".join(f"'{name}', {name}_{later}" for name in _LINE_MEASURES)
+        + ")"
+        for later in (0, 1)
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    months = F.array(
-        *[
-            F.struct(
-                F.lit(later).alias("later"),
-                *[F.col(f"{name}_{later}").alias(name) for name in measures],
-            )
-            for later in (0, 1)
-        ]
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        f"{CARE_TYPE} IN ('Inpatient', 'Same-day') AS admitted",
+        "trunc(o_orderdate, 'MM') AS first_month",
     )
-    admitted = F.col("care_type").isin("Inpatient", "Same-day")
     return (
-        per_order.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            "o_orderkey",
-            _care_type().alias("care_type"),
-            month_of("o_orderdate").alias("first_month"),
-            F.explode(months).alias("m"),
-        )
-        .filter(F.col("m.lines").isNotNull())
-        .select(
-            F.lit(THE_RUN).cast("long").alias(RUN),
-            F.concat_ws("-", F.col("o_orderkey").cast("string"), F.col("m.later").cast("string"))
-            .alias("resource_usage_id"),
-            F.col("o_orderkey").cast("string").alias("encounter_id"),
-            F.add_months("first_month", F.col("m.later")).alias("service_month"),
-            F.when(admitted, F.col("m.lines")).otherwise(0).alias("bed_days"),
-            "m.theatre_minutes",
-            "m.imaging_weighted_units",
-            "m.pathology_weighted_units",
-            "m.pharmacy_units",
-            F.col("m.lines").alias("medical_service_units"),
-            "m.allied_health_units",
+        per_order.join(orders, "o_orderkey")
+        .selectExpr("o_orderkey", "admitted", "first_month", f"inline(array({months}))")
+        .filter("lines IS NOT NULL")
+        .selectExpr(
+            f"CAST({THE_RUN} AS BIGINT) AS {RUN}",
+            "concat_ws('-', o_orderkey, later) AS resource_usage_id",
+            "CAST(o_orderkey AS STRING) AS encounter_id",
+            "add_months(first_month, later) AS service_month",
+            "IF(admitted, lines, 0) AS bed_days",
+            "theatre_minutes",
+            "imaging_weighted_units",
+            "pathology_weighted_units",
+            "pharmacy_units",
+            "lines AS medical_service_units",
+            "allied_health_units",
         )
     )
 
@@ -218,86 +227,72 @@ def resource_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with centre, account and amount. Suppliers grow with the data,
     so the optimizer chooses the join from their real size."""
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = table(spark, sf_dir, "lineitem").select(
+    support = ", ".join(str(i) for i, pool in enumerate(NATION_POOLS) if pool == "OVERHEAD")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS l_suppkey",
+        "concat('CC_', s_nationkey) AS cost_centre_id",
+        f"s_nationkey % {len(NATION_POOLS)} IN ({support}) AS support",
+        f"s_nationkey IN ({UNMAPPED_NATION}, {EXPIRED_NATION}) AS unmapped",
+    )
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_suppkey",
         "l_linenumber",
         "l_quantity",
-        "l_extendedprice",
-        "l_discount",
         "l_returnflag",
-        "l_linestatus",
-        "l_shipdate",
-    )
-    nation = F.col("s_nationkey")
-    support = (nation % len(NATION_POOLS)).isin(
-        *[i for i, pool in enumerate(NATION_POOLS) if pool == "OVERHEAD"]
+        "concat(l_returnflag, l_linestatus) AS flags",
+        "trunc(l_shipdate, 'MM') AS month",
+        "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(19,6)) AS amount",
     )
-    unmapped = nation.isin(UNMAPPED_NATION, EXPIRED_NATION)
-    flags = F.concat("l_returnflag", "l_linestatus")
-    return (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumn("cost_centre_id", F.concat(F.lit("CC_"), nation.cast("string")))
-        .withColumn(
-            "natural_account",
-            F.when(support, "OH")
-            .when(unmapped & (flags == DIRECT_ACCOUNT), UNMAPPED_DIRECT_ACCOUNT)
-            .otherwise(flags),
-        )
-        .withColumn("month", month_of("l_shipdate"))
-        .withColumn(
-            "amount", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast(MONEY)
-        )
+    return lines.join(suppliers, "l_suppkey").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_returnflag",
+        "month",
+        "amount",
+        "cost_centre_id",
+        f"CASE WHEN support THEN 'OH' WHEN unmapped AND flags = '{DIRECT_ACCOUNT}' "
+        f"THEN '{UNMAPPED_DIRECT_ACCOUNT}' ELSE flags END AS natural_account",
     )
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ledger transaction per order line; first returned lines are credits."""
-    credit = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    direct = F.col("natural_account") == DIRECT_ACCOUNT
-    reference = F.concat_ws(
-        "-",
-        F.when(direct, "DIRECT-CONTROL").otherwise("MONTHLY"),
-        F.date_format("month", "yyyy-MM-dd"),
-        "cost_centre_id",
-        "natural_account",
-    )
-    return _lines(spark, sf_dir).select(
-        F.lit(THE_RUN).cast("long").alias(RUN),
-        F.lit("general_ledger_transaction.csv").alias("source_file_name"),
-        F.lit(None).cast("long").alias("source_row_number"),
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-        .alias("gl_transaction_id"),
-        F.col("month").alias("reporting_month"),
-        F.lit("Health Service").alias("entity"),
-        F.lit(FACILITY).alias("facility"),
+    credit = "l_returnflag = 'R' AND l_linenumber = 1"
+    source = f"IF(natural_account = '{DIRECT_ACCOUNT}', 'DIRECT-CONTROL', 'MONTHLY')"
+    return _lines(spark, sf_dir).selectExpr(
+        f"CAST({THE_RUN} AS BIGINT) AS {RUN}",
+        "'general_ledger_transaction.csv' AS source_file_name",
+        "CAST(NULL AS BIGINT) AS source_row_number",
+        "concat_ws('-', l_orderkey, l_linenumber) AS gl_transaction_id",
+        "month AS reporting_month",
+        "'Health Service' AS entity",
+        f"'{FACILITY}' AS facility",
         "cost_centre_id",
         "natural_account",
-        F.concat(F.lit("Account "), "natural_account").alias("account_description"),
-        F.when(credit, -F.col("amount")).otherwise(F.col("amount")).cast(MONEY).alias("signed_amount"),
-        F.when(credit, "Credit").otherwise("Standard expense").alias("adjustment_type"),
-        reference.alias("source_reference"),
+        "concat('Account ', natural_account) AS account_description",
+        f"CAST(IF({credit}, -amount, amount) AS DECIMAL(19,6)) AS signed_amount",
+        f"IF({credit}, 'Credit', 'Standard expense') AS adjustment_type",
+        f"concat_ws('-', {source}, CAST(month AS STRING), cost_centre_id, natural_account) "
+        "AS source_reference",
     )
 
 
 def direct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on the direct account; line number 7 names an order that does not exist."""
-    orphan = F.col("l_linenumber") == 7
-    key = F.col("l_orderkey")
     return (
         _lines(spark, sf_dir)
         .filter(F.col("natural_account") == DIRECT_ACCOUNT)
-        .select(
-            F.lit(THE_RUN).cast("long").alias(RUN),
-            F.concat_ws("-", key.cast("string"), F.col("l_linenumber").cast("string"))
-            .alias("direct_cost_id"),
-            F.when(orphan, -1 - key).otherwise(key).cast("string").alias("encounter_id"),
-            F.col("month").alias("service_month"),
+        .selectExpr(
+            f"CAST({THE_RUN} AS BIGINT) AS {RUN}",
+            "concat_ws('-', l_orderkey, l_linenumber) AS direct_cost_id",
+            "CAST(IF(l_linenumber = 7, -1 - l_orderkey, l_orderkey) AS STRING) AS encounter_id",
+            "month AS service_month",
             "cost_centre_id",
             "natural_account",
-            F.lit("Patient-specific item").alias("direct_cost_type"),
-            F.col("l_quantity").cast("int").alias("quantity"),
+            "'Patient-specific item' AS direct_cost_type",
+            "CAST(l_quantity AS INT) AS quantity",
             "amount",
         )
     )
@@ -434,58 +429,63 @@ BAD_TEXT, BAD_STEP = "bad", 97
 
 
 def as_landing(
-    df: DataFrame, entity: Entity, spoiled: dict[str, Column], line: Column | None = None
+    df: DataFrame, entity: Entity, spoiled: dict[str, str], line: str = "NULL"
 ) -> DataFrame:
-    """A typed frame as landed text; ``spoiled`` columns become unreadable where true."""
-
-    def text(name: str) -> Column:
-        value = F.concat(F.lit(" "), F.col(name).cast("string"), F.lit(" "))
-        return (
-            F.when(spoiled[name], F.lit(BAD_TEXT)).otherwise(value) if name in spoiled else value
-        )
-
-    lineage = {
-        RUN: F.col(RUN),
-        "source_file_name": F.lit(f"{entity.name}.csv"),
-        "source_row_number": F.lit(None).cast("long") if line is None else line.cast("long"),
-    }
-    return df.select(
-        *[v.alias(c) for c, v in lineage.items()], *[text(c).alias(c) for c in entity.columns]
+    """A typed frame as landed text; ``spoiled`` columns become unreadable where the
+    given condition holds."""
+
+    def text(name: str) -> str:
+        value = f"concat(' ', {name}, ' ')"
+        if name in spoiled:
+            value = f"IF({spoiled[name]}, '{BAD_TEXT}', {value})"
+        return f"{value} AS {name}"
+
+    return df.selectExpr(
+        RUN,
+        f"'{entity.name}.csv' AS source_file_name",
+        f"CAST({line} AS BIGINT) AS source_row_number",
+        *[text(c) for c in entity.columns],
     )
 
 
-def _every(key: Column, shift: int = 0) -> Column:
-    return key.cast("long") % BAD_STEP == shift
+def _every(key: str, shift: int = 0) -> str:
+    return f"CAST({key} AS BIGINT) % {BAD_STEP} = {shift}"
 
 
 def encounter_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("encounter_id")
+    key = "encounter_id"
     return as_landing(
         encounters(spark, sf_dir),
         ENCOUNTER,
         {"admission_date": _every(key), "care_type": _every(key, 1), "age_years": _every(key, 2)},
-        line=key.cast("long") + 2,
+        line=f"{key} + 2",
     )
 
 
-def resource_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("encounter_id")
-    spoiled = resource_usage(spark, sf_dir).withColumn(
+def spoiled_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed resource rows, some with a negative pathology driver."""
+    return resource_usage(spark, sf_dir).withColumn(
         "pathology_weighted_units",
-        F.when(_every(key, 3), F.lit(-2)).otherwise(F.col("pathology_weighted_units")),
+        F.expr(f"IF({_every('encounter_id', 3)}, -2, pathology_weighted_units)"),
     )
-    later = F.split("resource_usage_id", "-")[1].cast("long")
+
+
+def resource_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_landing(
-        spoiled, RESOURCE, {"bed_days": _every(key, 4)}, line=key.cast("long") * 2 + later + 2
+        spoiled_resource(spark, sf_dir),
+        RESOURCE,
+        {"bed_days": _every("encounter_id", 4)},
+        line="CAST(encounter_id AS BIGINT) * 2 + split(resource_usage_id, '-')[1] + 2",
     )
 
 
 def direct_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_landing(
-        direct_items(spark, sf_dir), DIRECT_COST, {"quantity": _every(F.col("encounter_id"), 5)}
+        direct_items(spark, sf_dir), DIRECT_COST, {"quantity": _every("encounter_id", 5)}
     )
 
 
 def ledger_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.split("gl_transaction_id", "-")[0]
-    return as_landing(ledger(spark, sf_dir), LEDGER, {"signed_amount": _every(order, 6)})
+    return as_landing(
+        ledger(spark, sf_dir), LEDGER, {"signed_amount": _every("split(gl_transaction_id, '-')[0]", 6)}
+    )
