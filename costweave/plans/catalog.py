@@ -50,6 +50,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# integers that may be missing are shown as text, which every reader compares alike
+NULLABLE = ("source_row_number", "actual_row_count", "count_change")
+
+
 def show(df: DataFrame, *columns: str, **places: int) -> DataFrame:
     """Output types both engines agree on: rounded doubles, bigints, ISO dates."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -60,7 +64,7 @@ def show(df: DataFrame, *columns: str, **places: int) -> DataFrame:
             out.append(f"CAST(ROUND({name}, {places.get(name, 2)}) AS DOUBLE) AS {name}")
         elif isinstance(kind, T.DoubleType):
             out.append(f"ROUND({name}, {places.get(name, 6)}) AS {name}")
-        elif isinstance(kind, T.DateType):
+        elif isinstance(kind, T.DateType) or name in NULLABLE:
             out.append(f"CAST({name} AS STRING) AS {name}")
         elif isinstance(kind, (T.ShortType, T.IntegerType)):
             out.append(f"CAST({name} AS BIGINT) AS {name}")
@@ -88,7 +92,7 @@ def costing_run(
         star.ledger(spark, sf_dir),
         star.mapping(spark, sf_dir),
         rejected_direct=orphans.select(
-            RUN, F.struct(*[F.col(c).cast("string") for c in DIRECT_COST.columns]).alias("landed")
+            RUN, F.struct(*[F.col(c).cast("string").alias(c) for c in DIRECT_COST.columns]).alias("landed")
         ),
         funding_groups=star.funding_groups(spark),
         attribution=attribution,
@@ -168,7 +172,7 @@ def a2(spark, sf_dir):
 
 @query(
     "a3_file_row_control",
-    """SELECT f AS file_name, CAST(e AS BIGINT) AS expected_row_count, CAST(a AS BIGINT) AS actual_row_count,
+    """SELECT f AS file_name, CAST(e AS BIGINT) AS expected_row_count, CAST(a AS VARCHAR) AS actual_row_count,
               CASE WHEN e = a THEN 'PASS' ELSE 'FAIL' END AS control_status
        FROM (SELECT 'patient_encounter.csv' AS f, (SELECT COUNT(*) FROM orders) AS e, (SELECT COUNT(*) FROM enc) AS a
              UNION ALL SELECT 'resource_usage.csv', (SELECT COUNT(DISTINCT (l_orderkey, l_linenumber % 2)) FROM lineitem), (SELECT COUNT(*) FROM res)
@@ -481,13 +485,13 @@ def c3(spark, sf_dir):
 
 @query(
     "c6_not_staged",
-    f"""SELECT {n('k + 2')} AS source_row_number, ' ' || encounter_id || ' ' AS encounter_id
+    f"""SELECT CAST(k + 2 AS VARCHAR) AS source_row_number, ' ' || encounter_id || ' ' AS encounter_id
         FROM enc WHERE k % {star.BAD_STEP} IN (0, 1, 2)""",
 )
 def c6(spark, sf_dir):
     landed = star.encounter_landing(spark, sf_dir)
     staged = promote.accepted(classified_encounters(spark, sf_dir))
-    return promote.not_staged(landed, staged).select("source_row_number", "encounter_id")
+    return show(promote.not_staged(landed, staged), "source_row_number", "encounter_id")
 
 
 @query(
@@ -1045,7 +1049,7 @@ def _result_sql(rule, table, failed, amount, bad) -> str:
 def _issue_sql(rule, entity, table, where, key, value, impact, file=None, line="CAST(NULL AS BIGINT)") -> str:
     _, column, owner, action = K.RULE_TEXTS[rule]
     return f"""SELECT CAST(1 AS BIGINT) AS load_run_id, {q(rule)} AS validation_rule_id, {q(entity)} AS source_entity,
-        {q(file or entity + '.csv')} AS source_file_name, {line} AS source_row_number, {key} AS business_key,
+        {q(file or entity + '.csv')} AS source_file_name, CAST({line} AS VARCHAR) AS source_row_number, {key} AS business_key,
         {q(column)} AS field_name, {value} AS invalid_value, {impact} AS financial_impact, 'OPEN' AS issue_status,
         {q(owner)} AS recommended_owner, {q(action)} AS recommended_action FROM {table} WHERE {where}"""
 
@@ -1812,7 +1816,7 @@ def m3(spark, sf_dir):
 @query(
     "m1_monthly_variance",
     f"""SELECT service_line, {d('reporting_month')} AS reporting_month, {shown('c')} AS total_cost, {n('e')} AS encounter_count,
-               {shown('c - pc')} AS cost_change, {ratio('(c - pc)', 'pc', 4)} AS cost_change_share, {n('e - pe')} AS count_change,
+               {shown('c - pc')} AS cost_change, {ratio('(c - pc)', 'pc', 4)} AS cost_change_share, CAST(e - pe AS VARCHAR) AS count_change,
                CASE WHEN ABS(c - pc) >= 100000 AND ABS(CAST(c - pc AS DOUBLE) / CAST(NULLIF(pc, 0) AS DOUBLE)) >= 0.10 THEN 'Y' ELSE 'N' END AS material_flag
         FROM (SELECT *, CASE WHEN lag(reporting_month) OVER w = CAST(reporting_month - INTERVAL 1 MONTH AS DATE) THEN lag(c) OVER w END AS pc,
                      CASE WHEN lag(reporting_month) OVER w = CAST(reporting_month - INTERVAL 1 MONTH AS DATE) THEN lag(e) OVER w END AS pe

@@ -24,7 +24,8 @@ def read_reference(spark: SparkSession, name: str, folder: str) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows win on ``keys``; rows only the target has are kept."""
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
+    return kept.unionByName(source)
 
 
 def numeric_factor(rules: DataFrame) -> DataFrame:
