@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,12 @@ def stacked(rows: list[list[str]], names: list[str]) -> Column:
     return F.expr(f"stack({len(rows)}, {values}) AS ({', '.join(names)})")
 
 
+def side_by_side(*totals: DataFrame) -> DataFrame:
+    """One-row frames with different columns as a single row."""
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)
+    return union.agg(*[F.max(c).alias(c) for c in union.columns])
+
+
 def month_of(c: ColumnLike) -> Column:
     return F.trunc(col(c), "MM")
 

@@ -14,7 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
-from costweave.functions.columns import count_when, safe_ratio, zero_if_null
+from costweave.functions.columns import (
+    count_when,
+    quoted,
+    safe_ratio,
+    side_by_side,
+    stacked,
+    zero_if_null,
+)
 from costweave.schemas import MEASURES, MONEY, RUN
 from costweave.session import lookup
 
@@ -185,7 +192,7 @@ def encounter_checks(
         .agg(count_when(F.col("a") < F.col("b")).alias("several"))
     )
     return verdicts(
-        totals.crossJoin(several),  # one row each
+        side_by_side(totals, several),
         "Encounters",
         [
             Check("ENC-UNIQUE", F.col("n") == F.col("ids"), "Encounter IDs are unique", F.col("n") - F.col("ids"), "0"),
@@ -413,7 +420,7 @@ def funding_checks(
         .agg(count_when(differs).alias("months"))
     )
     return verdicts(
-        totals.crossJoin(both).crossJoin(monthly),  # one row each
+        side_by_side(totals, both, monthly),
         "ABF",
         [
             Check("ABF-POPULATION", (F.col("n") == F.col("ids")) & (F.col("one_sided") == 0), "Funding and encounter populations agree", F.col("one_sided"), "0"),
@@ -434,21 +441,17 @@ def plausibility_checks(
     lines = counts.groupBy("service_line").agg(F.sum("n").alias("n"))
     months = counts.groupBy("episode_month").agg(F.sum("n").alias("n"))
     volume = counts.agg(F.sum("n").alias("n"))
-    floor = F.greatest(F.lit(100), F.col("total") * F.lit(Decimal("0.02")))
-    small = (
-        lines.crossJoin(volume.withColumnRenamed("n", "total"))  # one row
-        .agg(count_when(F.col("n") < floor).alias("small"))
-    )
+    floor = F.greatest(F.lit(100), volume.scalar() * F.lit(Decimal("0.02")))
+    small = lines.filter(F.col("n") < floor).agg(F.count(F.lit(1)).alias("small"))
     spread = months.agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    money = ledger.agg(F.sum("signed_amount").alias("gl")).crossJoin(  # one row each
-        funding.filter(F.col("funding_status") == "CALCULATED").agg(
-            F.sum("estimated_synthetic_funding").alias("funding")
-        )
+    spent = ledger.agg(F.sum("signed_amount").alias("gl"))
+    funded = funding.filter(F.col("funding_status") == "CALCULATED").agg(
+        F.sum("estimated_synthetic_funding").alias("funding")
     )
     ratio = safe_ratio(F.col("funding").cast(MONEY), F.col("gl").cast(MONEY))
     low, high = expect.funding_range
     return verdicts(
-        volume.crossJoin(small).crossJoin(spread).crossJoin(money).withColumn("ratio", ratio),
+        side_by_side(volume, small, spread, spent, funded).withColumn("ratio", ratio),
         "Plausibility",
         [
             Check("PLAUS-VOLUME", F.col("n").between(*expect.volume), "Encounter volume", F.col("n"), f"{expect.volume[0]}-{expect.volume[1]}", bad="WARNING"),
@@ -477,17 +480,15 @@ def implausible_resources(resource: DataFrame) -> DataFrame:
 
     Described by the quality design and not part of its stored procedures.
     """
-    measures = list(K.PLAUSIBLE_RANGES)
-    stacked = F.stack(
-        F.lit(len(measures)),
-        *[
-            v
-            for m, (upper, severity) in K.PLAUSIBLE_RANGES.items()
-            for v in (F.lit(m), F.col(m), F.lit(upper), F.lit(severity))
-        ],
-    ).alias("measure", "value", "upper_limit", "severity")
+    rows = [
+        [quoted(m), m, str(upper), quoted(severity)]
+        for m, (upper, severity) in K.PLAUSIBLE_RANGES.items()
+    ]
+    names = ["measure", "value", "upper_limit", "severity"]
     return (
-        resource.select(RUN, "resource_usage_id", "encounter_id", "service_month", stacked)
+        resource.select(
+            RUN, "resource_usage_id", "encounter_id", "service_month", stacked(rows, names)
+        )
         .filter((F.col("value") < 0) | (F.col("value") > F.col("upper_limit")))
         .withColumn("blocking_flag", F.when(F.col("value") < 0, "Y").otherwise("N"))
     )

@@ -5,51 +5,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costweave.functions.columns import quoted, stacked
+from costweave.operators.percentiles import BUFFER_ROWS, group_percentile
+from costweave.session import stage
+
 
 def numeric_summary(
-    df: DataFrame, measures: list[str], non_negative_only: bool = False, places: int = 3
+    df: DataFrame,
+    measures: list[str],
+    non_negative_only: bool = False,
+    places: int = 3,
+    buffer_rows: int = BUFFER_ROWS,
 ) -> DataFrame:
     """Count, min, mean, median, p95 and max of each measure.
 
     Equal values are counted before anything is ranked, so the exact percentiles
-    work on (value, frequency) pairs; use it for counts, days, ages and weights.
+    of days, ages and units work on a few (value, frequency) pairs. A measure
+    with too many distinct values for one buffer is ranked by bracket instead.
     """
-    stacked = F.stack(
-        F.lit(len(measures)),
-        *[v for m in measures for v in (F.lit(m), F.col(m).cast("double"))],
-    ).alias("measure", "value")
-    values = df.select(stacked).filter(F.col("value").isNotNull())
+    rows = [[quoted(m), f"CAST({m} AS DOUBLE)"] for m in measures]
+    values = df.select(stacked(rows, ["measure", "value"])).filter(F.col("value").isNotNull())
     if non_negative_only:
         values = values.filter(F.col("value") >= 0)
-    counted = values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
-    q = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95)), F.col("n"))
+    counted = stage(
+        values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n")), "frequency"
+    )
+    distinct = counted.groupBy("measure").count().agg(F.max("count")).first()[0] or 0
+    if distinct <= buffer_rows:
+        q = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95)), F.col("n"))
+        ranked = counted.groupBy("measure").agg(q.alias("q")).select(
+            "measure", F.col("q")[0].alias("median"), F.col("q")[1].alias("p95")
+        )
+    else:
+        values = stage(values, "values")
+        median, p95 = (
+            group_percentile(values, ["measure"], "value", p, name, buffer_rows).drop("cohort_count")
+            for p, name in ((0.5, "median"), (0.95, "p95"))
+        )
+        ranked = median.join(p95, "measure")
     return (
         counted.groupBy("measure")
         .agg(
             F.sum("n").alias("count"),
             F.min("value").alias("min"),
             (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-            q.alias("q"),
             F.max("value").alias("max"),
         )
+        .join(ranked, "measure")
         .select(
             "measure",
             "count",
-            *[F.round(c, places).alias(c) for c in ("min", "mean")],
-            F.round(F.col("q")[0], places).alias("median"),
-            F.round(F.col("q")[1], places).alias("p95"),
-            F.round("max", places).alias("max"),
+            *[F.round(c, places).alias(c) for c in ("min", "mean", "median", "p95", "max")],
         )
     )
 
 
 def frequencies(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per value of each column and their share of all rows, in one pass."""
-    stacked = F.stack(
-        F.lit(len(columns)),
-        *[v for c in columns for v in (F.lit(c), F.col(c).cast("string"))],
-    ).alias("attribute", "value")
-    counts = df.select(stacked).groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = [[quoted(c), f"CAST({c} AS STRING)"] for c in columns]
+    values = df.select(stacked(rows, ["attribute", "value"]))
+    counts = values.groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("attribute").agg(F.sum("n").alias("total"))
     return counts.join(totals, "attribute").select(
         "attribute", "value", "n", (F.col("n") / F.col("total")).alias("share")

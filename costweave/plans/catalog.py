@@ -79,21 +79,25 @@ def show(df: DataFrame, *columns: str, **places: int) -> DataFrame:
 def costing_run(
     spark: SparkSession, sf_dir: str, attribution: str = patient.EPISODE_MONTH, **options
 ) -> CostingRun:
-    """A run over staged encounters and resource use; ledger and direct items are
-    read once and stay lazy."""
+    """A run over staged encounters, resource use and direct items.
+
+    Direct items meet their encounters in one join whose result is stored, so a
+    hot encounter can be split there and is pre-aggregated wherever it is summed.
+    """
     enc = stage(star.encounters(spark, sf_dir), "patient_encounter")
-    items = star.direct_items(spark, sf_dir)
-    known = enc.select(RUN, "encounter_id")
-    orphans = items.join(known, [RUN, "encounter_id"], "left_anti")
+    known = enc.select(RUN, "encounter_id", F.lit(True).alias("known"))
+    items = stage(
+        star.direct_items(spark, sf_dir).join(known, [RUN, "encounter_id"], "left"),
+        "direct_cost_detail",
+    )
+    landed = F.struct(*[F.col(c).cast("string").alias(c) for c in DIRECT_COST.columns])
     return CostingRun(
         enc,
         stage(star.resource_usage(spark, sf_dir), "resource_usage"),
-        items.join(known, [RUN, "encounter_id"], "left_semi"),
+        items.filter("known"),
         star.ledger(spark, sf_dir),
         star.mapping(spark, sf_dir),
-        rejected_direct=orphans.select(
-            RUN, F.struct(*[F.col(c).cast("string").alias(c) for c in DIRECT_COST.columns]).alias("landed")
-        ),
+        rejected_direct=items.filter("known IS NULL").select(RUN, landed.alias("landed")),
         funding_groups=star.funding_groups(spark),
         attribution=attribution,
         **options,
@@ -170,16 +174,38 @@ def a2(spark, sf_dir):
     )
 
 
+_CONTROLS = """(SELECT 'patient_encounter.csv' AS f, (SELECT COUNT(*) FROM orders) AS e, (SELECT COUNT(*) FROM enc) AS a
+             UNION ALL SELECT 'resource_usage.csv', (SELECT COUNT(DISTINCT (l_orderkey, l_linenumber % 2)) FROM lineitem), (SELECT COUNT(*) FROM res)
+             UNION ALL SELECT 'general_ledger_transaction.csv', (SELECT COUNT(*) FROM lineitem) + 1, (SELECT COUNT(*) FROM gl)
+             UNION ALL SELECT 'never_landed.csv', (SELECT COUNT(*) FROM customer), NULL) t"""
+
+
 @query(
     "a3_file_row_control",
-    """SELECT f AS file_name, CAST(e AS BIGINT) AS expected_row_count, CAST(a AS VARCHAR) AS actual_row_count,
+    f"""SELECT f AS file_name, CAST(e AS BIGINT) AS expected_row_count, CAST(a AS VARCHAR) AS actual_row_count,
               CASE WHEN e = a THEN 'PASS' ELSE 'FAIL' END AS control_status
-       FROM (SELECT 'patient_encounter.csv' AS f, (SELECT COUNT(*) FROM orders) AS e, (SELECT COUNT(*) FROM enc) AS a
-             UNION ALL SELECT 'resource_usage.csv', (SELECT COUNT(DISTINCT (l_orderkey, l_linenumber % 2)) FROM lineitem), (SELECT COUNT(*) FROM res)
-             UNION ALL SELECT 'general_ledger_transaction.csv', (SELECT COUNT(*) FROM lineitem) + 1, (SELECT COUNT(*) FROM gl)
-             UNION ALL SELECT 'never_landed.csv', (SELECT COUNT(*) FROM customer), NULL) t""",
+       FROM {_CONTROLS}""",
 )
 def a3(spark, sf_dir):
+    return show(
+        _file_controls(spark, sf_dir),
+        "file_name",
+        "expected_row_count",
+        "actual_row_count",
+        "control_status",
+    )
+
+
+@query(
+    "k2_row_control_check",
+    f"""SELECT 'SRC-ROW-CONTROL' AS check_id, CASE WHEN COUNT(*) FILTER (e IS DISTINCT FROM a) = 0 THEN 'PASS' ELSE 'ERROR' END AS status,
+               CAST(COUNT(*) AS VARCHAR) AS observed FROM {_CONTROLS}""",
+)
+def k2(spark, sf_dir):
+    return _seen(checks.row_control_check(_file_controls(spark, sf_dir)))
+
+
+def _file_controls(spark, sf_dir) -> DataFrame:
     landed = None
     for frame in (star.encounter_landing, star.resource_landing, star.ledger_landing):
         part = frame(spark, sf_dir).select(RUN, "source_file_name")
@@ -202,13 +228,7 @@ def a3(spark, sf_dir):
         .unionByName(expect("general_ledger_transaction.csv", lines, more=1))
         .unionByName(expect("never_landed.csv", star.table(spark, sf_dir, "customer")))
     )
-    return show(
-        landing.file_row_control(landed, expected),
-        "file_name",
-        "expected_row_count",
-        "actual_row_count",
-        "control_status",
-    )
+    return landing.file_row_control(landed, expected)
 
 
 _LOG_SQL = """SELECT CAST(o_orderkey AS BIGINT) AS load_run_id,
@@ -950,6 +970,27 @@ def d9(spark, sf_dir):
     return show(recon.reconciliation_summary(costing_run(spark, sf_dir).reconciliation))
 
 
+@query(
+    "h12_unmatched_rows",
+    f"""SELECT {d('reporting_month')} AS reporting_month, cost_centre_id, cost_pool_code, cost_category,
+               CAST(0 AS DOUBLE) AS gl_amount, {shown('SUM(unallocated_amount)')} AS unallocated_amount,
+               {shown('-SUM(unallocated_amount)')} AS reconciliation_difference, 'REVIEW' AS reconciliation_status
+        FROM una WHERE source_record_type <> 'COST_POOL' GROUP BY reporting_month, cost_centre_id, cost_pool_code, cost_category""",
+)
+def h12(spark, sf_dir):
+    return show(
+        recon.reconcile_unmatched(costing_run(spark, sf_dir).unallocated),
+        "reporting_month",
+        "cost_centre_id",
+        "cost_pool_code",
+        "cost_category",
+        "gl_amount",
+        "unallocated_amount",
+        "reconciliation_difference",
+        "reconciliation_status",
+    )
+
+
 @query(
     "c12_shared_direct_keys",
     f"""SELECT load_run_id, {d('reporting_month')} AS reporting_month, cost_centre_id, natural_account,
@@ -1788,6 +1829,51 @@ def k22(spark, sf_dir):
     return checks.overall_status(spark.read.schema(report.schema).json(path))
 
 
+@query(
+    "k22_status_counts",
+    """SELECT status, CAST(COUNT(*) AS BIGINT) AS check_count
+       FROM (SELECT CASE WHEN COUNT(*) = COUNT(DISTINCT encounter_id) THEN 'PASS' ELSE 'ERROR' END AS status FROM enc
+             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (discharge_date < admission_date OR length_of_stay < 0) = 0 THEN 'PASS' ELSE 'ERROR' END FROM enc
+             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (care_type = 'Inpatient' AND length_of_stay < 1) = 0 THEN 'PASS' ELSE 'ERROR' END FROM enc
+             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (activity_group_code = 'UNCLASSIFIED') = 1 THEN 'EXPECTED' ELSE 'ERROR' END FROM enc) t GROUP BY 1""",
+)
+def k22s(spark, sf_dir):
+    report = checks.encounter_checks(
+        star.encounters(spark, sf_dir), star.resource_usage(spark, sf_dir), STAR_YEAR
+    )
+    kept = ("ENC-UNIQUE", "ENC-DATES", "ENC-CARE-LOS", "ENC-UNCLASSIFIED")
+    return checks.status_counts(report.filter(F.col("check_id").isin(*kept)))
+
+
+@query(
+    "m4_overlapping_periods",
+    f"""SELECT encounter_id AS allocation_rule_id, patient_id AS cost_pool_code, {d('admission_date')} AS effective_from,
+               {d('discharge_date')} AS effective_to, {d('earlier')} AS earlier_effective_to
+        FROM (SELECT *, MAX(discharge_date) OVER (PARTITION BY patient_id ORDER BY admission_date, encounter_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM enc) t
+        WHERE admission_date <= earlier""",
+)
+def m4(spark, sf_dir):
+    """Stays as effective-dated rules of their patient: overlapping stays are found."""
+    rules = star.encounters(spark, sf_dir).select(
+        F.col("encounter_id").alias("allocation_rule_id"),
+        F.col("patient_id").alias("cost_pool_code"),
+        F.lit("Stay").alias("cost_category"),
+        F.lit("All").alias("eligible_scope"),
+        F.col("admission_date").alias("effective_from"),
+        F.col("discharge_date").alias("effective_to"),
+        F.lit("Y").alias("active_flag"),
+    )
+    return show(
+        mapped.overlapping_rules(rules),
+        "allocation_rule_id",
+        "cost_pool_code",
+        "effective_from",
+        "effective_to",
+        "earlier_effective_to",
+    )
+
+
 @query(
     "m3_implausible_resources",
     " UNION ALL ".join(

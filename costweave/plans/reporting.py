@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costweave.functions.columns import count_when, safe_ratio
+from costweave.functions.columns import count_when, safe_ratio, side_by_side
 from costweave.operators.quality import ISSUE_COLUMNS
 from costweave.schemas import MONEY, RUN
 from costweave.session import lookup
@@ -167,7 +167,7 @@ def view_counts(patient_cost: DataFrame, comparison: DataFrame) -> DataFrame:
 
 
 def cost_tie_out(patient_cost: DataFrame, comparison: DataFrame) -> DataFrame:
-    """Both facts hold the same encounters and the same cost. Two one-row sides."""
+    """Both facts hold the same encounters and the same cost."""
     left = patient_cost.agg(
         F.count(F.lit(1)).alias("patient_cost_rows"),
         F.sum("total_patient_cost").cast(MONEY).alias("patient_cost_total"),
@@ -176,7 +176,7 @@ def cost_tie_out(patient_cost: DataFrame, comparison: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("abf_rows"),
         F.sum("total_patient_cost").cast(MONEY).alias("abf_patient_cost_total"),
     )
-    return left.crossJoin(right).withColumn(
+    return side_by_side(left, right).withColumn(
         "difference",
         (F.col("patient_cost_total") - F.col("abf_patient_cost_total")).cast(MONEY),
     )

@@ -33,20 +33,34 @@ def build_session(app: str = "costweave", master: str | None = None, **conf) ->
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a private one only in local mode."""
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_DIR
+    context = spark.sparkContext
+    root = (
+        spark.conf.get(CHECKPOINT_DIR, None)
+        or context.getConf().get(CHECKPOINT_DIR)
+        or context.getCheckpointDir()
     )
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="costweave-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return root.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/costweave/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
-    return f"{staging_root(spark)}/costweave/{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Remove what this application staged. Call it once its results are stored."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

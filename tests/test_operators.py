@@ -438,3 +438,22 @@ def test_control_totals_ignore_keys_without_control(spark):
     control = inline(spark, [("a", Decimal(5)), ("b", Decimal(1)), ("c", Decimal(0))], "k string, expected_signed_gl_total decimal(19,6)")
     actual = inline(spark, [("a", Decimal(5)), ("b", Decimal(2)), ("d", Decimal(9))], "k string, signed_gl_total decimal(19,6)")
     assert values(checks.control_differences(control, actual, ["k"]), "k") == [("b",)]
+
+
+def test_numeric_summary_with_too_many_values_for_a_buffer(spark):
+    df = inline(spark, [(float(i), float(i % 3)) for i in range(2001)], "x double, y double")
+    small = summaries.numeric_summary(df, ["x", "y"], buffer_rows=100)
+    assert values(small) == values(summaries.numeric_summary(df, ["x", "y"]))
+    assert values(small, "measure", "median", "p95") == [("x", 1000.0, 1900.0), ("y", 1.0, 2.0)]
+
+
+def test_clear_staging_removes_only_own_files(spark, tmp_path):
+    from costweave import session
+
+    df = stage(inline(spark, [(1,)], "x int"), "thing")
+    path = df.inputFiles()[0].removeprefix("file:")
+    from pathlib import Path
+
+    assert Path(path).exists()
+    session.clear_staging(spark)
+    assert not Path(path).exists()
