@@ -91,23 +91,29 @@ def map_ledger(ledger: DataFrame, mapping: Mapping) -> DataFrame:
 
 def overlapping_rules(rules: DataFrame) -> DataFrame:
     """Active rules that start before an earlier rule of the same pool, category
-    and scope has ended. One window pass, no pairs."""
-    earlier = (
-        Window.partitionBy("cost_pool_code", "cost_category", "eligible_scope")
-        .orderBy("effective_from", "allocation_rule_id")
+    and scope has ended.
+
+    Start dates are summarised first and only those are put in order, so a key
+    with very many versions is never lined up in one task, nor paired.
+    """
+    keys = ["cost_pool_code", "cost_category", "eligible_scope"]
+    active = rules.filter(F.col("active_flag") == "Y")
+    starts = active.groupBy(*keys, "effective_from").agg(
+        F.min("allocation_rule_id").alias("first_id"), F.max("effective_to").alias("latest_to")
+    )
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy("effective_from")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    timeline = starts.select(
+        *keys, "effective_from", "first_id", F.max("latest_to").over(before).alias("earlier_to")
+    )
+    overlaps = (F.col("effective_from") <= F.col("earlier_to")) | (
+        F.col("allocation_rule_id") > F.col("first_id")
+    )
     return (
-        rules.filter(F.col("active_flag") == "Y")
-        .withColumn("earlier_effective_to", F.max("effective_to").over(earlier))
-        .filter(F.col("effective_from") <= F.col("earlier_effective_to"))
-        .select(
-            "allocation_rule_id",
-            "cost_pool_code",
-            "cost_category",
-            "eligible_scope",
-            "effective_from",
-            "effective_to",
-            "earlier_effective_to",
-        )
+        active.join(timeline, [*keys, "effective_from"])
+        .filter(overlaps)
+        .select("allocation_rule_id", *keys, "effective_from", "effective_to")
     )

@@ -1848,7 +1848,7 @@ def k22s(spark, sf_dir):
 @query(
     "m4_overlapping_periods",
     f"""SELECT encounter_id AS allocation_rule_id, patient_id AS cost_pool_code, {d('admission_date')} AS effective_from,
-               {d('discharge_date')} AS effective_to, {d('earlier')} AS earlier_effective_to
+               {d('discharge_date')} AS effective_to
         FROM (SELECT *, MAX(discharge_date) OVER (PARTITION BY patient_id ORDER BY admission_date, encounter_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM enc) t
         WHERE admission_date <= earlier""",
@@ -1870,7 +1870,6 @@ def m4(spark, sf_dir):
         "cost_pool_code",
         "effective_from",
         "effective_to",
-        "earlier_effective_to",
     )
 
 
