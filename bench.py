@@ -7,7 +7,7 @@ import os
 import time
 
 from costweave.plans.catalog import QUERIES
-from costweave.session import build_session
+from costweave.session import build_session, clear_staging
 
 HEADLINE = [
     "b6_promote_encounter",
@@ -50,6 +50,7 @@ def main() -> None:
         started = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    clear_staging(spark)
     spark.stop()
     print(
         json.dumps(

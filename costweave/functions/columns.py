@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
 from functools import reduce
 
 import pyarrow as pa
@@ -65,14 +64,6 @@ def count_when(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def one_of(c: ColumnLike, mapping: Mapping[str, str], default: str | None = None) -> Column:
-    """Replace listed values, everything else becomes ``default``."""
-    result = F.lit(default)
-    for value, label in mapping.items():
-        result = F.when(col(c) == value, F.lit(label)).otherwise(result)
-    return result
-
-
 def quoted(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

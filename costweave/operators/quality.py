@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from costweave import constants as K
 from costweave.functions.columns import describe, inline
-from costweave.operators.drivers import DRIVER_KEY
 from costweave.operators.mapping import Mapping, effective_join
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import LINEAGE, MEASURES, MONEY, RUN
+from costweave.schemas import MEASURES, MONEY, RUN
 
 RESULT_COLUMNS = [
     RUN,
@@ -122,7 +121,7 @@ def direct_not_promoted(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _ledger_rule(
-    ledger: DataFrame, rule: str, column: str, with_flag: DataFrame
+    with_flag: DataFrame, rule: str, column: str
 ) -> tuple[DataFrame, DataFrame]:
     missing = F.col("_found").isNull()
     issues = _issues(
@@ -139,7 +138,7 @@ def _ledger_rule(
 def unknown_cost_centre(ledger: DataFrame, mapping: Mapping) -> tuple[DataFrame, DataFrame]:
     """Ledger rows whose centre has no active reference row in their month."""
     flagged = effective_join(ledger, mapping.cost_centre, ["cost_centre_id"])
-    return _ledger_rule(ledger, "GL_UNKNOWN_COST_CENTRE", "cost_centre_id", flagged)
+    return _ledger_rule(flagged, "GL_UNKNOWN_COST_CENTRE", "cost_centre_id")
 
 
 def unmapped_account(ledger: DataFrame, mapping: Mapping) -> tuple[DataFrame, DataFrame]:
@@ -149,7 +148,7 @@ def unmapped_account(ledger: DataFrame, mapping: Mapping) -> tuple[DataFrame, Da
         "natural_account",
         "left",
     )
-    return _ledger_rule(ledger, "GL_UNMAPPED_ACCOUNT", "natural_account", flagged)
+    return _ledger_rule(flagged, "GL_UNMAPPED_ACCOUNT", "natural_account")
 
 
 def zero_driver(pools: DataFrame, zero_pools: DataFrame) -> tuple[DataFrame, DataFrame]:

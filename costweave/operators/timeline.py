@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costweave import constants as K
 from costweave.functions.columns import ColumnLike, col, month_of
 from costweave.schemas import MONEY, RUN
 

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave import constants as K
-from costweave.functions.columns import zero_if_null
 from costweave.operators import (
     allocate,
     checks,

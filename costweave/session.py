@@ -43,7 +43,7 @@ def staging_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="costweave-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from costweave.functions.columns import blank_to_null
 from costweave.schemas import REFERENCES
@@ -26,10 +25,3 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows win on ``keys``; rows only the target has are kept."""
     kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(source)
-
-
-def numeric_factor(rules: DataFrame) -> DataFrame:
-    """Adjustment rules whose factor is a number."""
-    return rules.withColumn("factor_value", F.col("factor").try_cast("decimal(12,6)")).filter(
-        F.col("factor_value").isNotNull()
-    )

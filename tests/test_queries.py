@@ -77,3 +77,71 @@ def test_plan_keeps_drivers_in_place(spark):
     plan = queries()["d4_indirect_by_encounter"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    """A third of all lines on one order, a third on one supplier, a third of all
+    orders on one customer and day."""
+    folder = tmp_path_factory.mktemp("skewed")
+    con = duckdb.connect()
+    changes = {
+        "orders": """* REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 5 ELSE o_custkey END AS o_custkey,
+            CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '1997-03-05' ELSE o_orderdate END AS o_orderdate)""",
+        "lineitem": """* REPLACE (CASE WHEN l_partkey % 3 = 0 THEN 11 ELSE l_orderkey END AS l_orderkey,
+            CASE WHEN l_partkey % 3 = 1 THEN 5 ELSE l_suppkey END AS l_suppkey)""",
+    }
+    for name in TABLES:
+        columns = changes.get(name, "*")
+        con.sql(
+            f"COPY (SELECT {columns} FROM '{SF_DIR}/{name}.parquet') TO '{folder}/{name}.parquet' (FORMAT parquet)"
+        )
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["b7_promote_resource", "h7_patient_level_cost", "h13_reconciliation_total", "m4_overlapping_periods"],
+)
+def test_hot_keys_change_nothing(spark, skewed, name):
+    folder, con = skewed
+    relation = con.sql(oracle_sql()[name])
+    names = sorted(relation.columns)
+    picked = ", ".join(f'"{n}"' for n in names)
+    expected = normal(con.sql(f"SELECT {picked} FROM relation").fetchall())
+    assert result(queries()[name](spark, folder)) == expected
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.checkpoint = master, None
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint = folder
+
+
+class FakeSession:
+    def __init__(self, master):
+        self.conf, self.sparkContext = {}, FakeContext(master)
+
+
+def test_staging_folder(spark):
+    from costweave.session import CHECKPOINT_DIR, stage, staging_root
+
+    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    if configured:
+        df = stage(spark.range(3), "numbers")
+        assert df.inputFiles()[0].split("file:")[-1].lstrip("/").startswith(
+            f"{configured.strip('/')}/costweave/"
+        )
+    with pytest.raises(RuntimeError):
+        staging_root(FakeSession("spark://master:7077"))
+    local = FakeSession("local[2]")
+    assert staging_root(local) == staging_root(local) == local.sparkContext.checkpoint
