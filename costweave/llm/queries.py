@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import language, quality
+from costweave.llm import chat, fingerprint, html, language, mix, quality
 from costweave.llm.common import held_out, table
+from costweave.session import stage
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +27,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = stage(docs.select("doc_id", "source", mix.size().alias("size")), "sized")
+    rates = stage(mix.targets(sized), "rates")
+    return mix.with_copies(sized, rates).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "text"
@@ -29,8 +51,58 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_fingerprints": op3_fingerprints,
+    "op4_html_extraction": op4_html_extraction,
     "op5_language_id": op5_language_id,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_source_mixing": op7_source_mixing,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {
+    "op6_chat_formatting": """
+        WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+        logs AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   list({'role': role, 'text': text}
+                        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS said,
+                   string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), ''
+                              ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS shown
+            FROM turns GROUP BY conv_id),
+        whole AS (
+            SELECT min(conv_id) AS conv_id, n_turns, said, count(*) AS n_logged, min(shown) AS text
+            FROM logs GROUP BY n_turns, said)
+        SELECT conv_id, n_turns, n_logged, text FROM whole a
+        WHERE NOT EXISTS (
+            SELECT 1 FROM whole b
+            WHERE b.said[1] = a.said[1] AND b.n_turns > a.n_turns AND b.said[1:a.n_turns] = a.said)
+    """,
+    "op7_source_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+            FROM sized GROUP BY source),
+        ranked AS (
+            SELECT *, 2 * source_size AS cap, (2 * source_size)::DOUBLE / weight AS full_at FROM sources),
+        levels AS (
+            SELECT a.full_at,
+                   (1.5 * (SELECT sum(source_size) FROM sources)::DOUBLE
+                    - coalesce((SELECT sum(b.cap) FROM ranked b WHERE b.full_at < a.full_at), 0)::DOUBLE)
+                   / (SELECT sum(b.weight) FROM ranked b WHERE b.full_at >= a.full_at)::DOUBLE AS level
+            FROM ranked a),
+        target AS (
+            SELECT source, source_size,
+                   least(cap::DOUBLE, weight * (SELECT min_by(level, full_at) FROM levels WHERE level <= full_at))
+                       AS target
+            FROM ranked)
+        SELECT doc_id, size, source_size, target,
+               (floor(target / source_size)::BIGINT
+                + (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496
+                   < target / source_size - floor(target / source_size))::BIGINT) * size AS taken
+        FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source
+    """,
+}
