@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import chat, fingerprint, html, language, mix, quality
+from costweave.llm import chat, contamination, fingerprint, html, language, mix, neardup, quality, spans
 from costweave.llm.common import held_out, table
 from costweave.session import stage
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,11 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.dedup(docs).select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "text"
@@ -50,16 +59,42 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, weights).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
+
+
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_extraction": op4_html_extraction,
     "op5_language_id": op5_language_id,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_source_mixing": op7_source_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 TWINS: dict[str, str] = {
+    "op2_benchmark_decontamination": r"""
+        WITH doc_words AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents),
+        item_words AS (
+            SELECT row_number() OVER () AS r, item_id,
+                   regexp_extract_all(lower(text), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+        held AS (
+            SELECT DISTINCT r, doc_id, list_slice(w, i, i + 4) AS s
+            FROM doc_words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0),
+        wanted AS (
+            SELECT DISTINCT r, item_id, list_slice(w, i, i + 4) AS s
+            FROM item_words, unnest(range(1, greatest(len(w) - 3, 2))) AS u(i) WHERE len(w) > 0),
+        sizes AS (SELECT r, count(*) AS n_shingles FROM wanted GROUP BY r)
+        SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*)::DOUBLE / n_shingles AS containment
+        FROM held JOIN wanted USING (s) JOIN sizes ON sizes.r = wanted.r
+        GROUP BY held.r, wanted.r, doc_id, item_id, n_shingles
+        HAVING 10 * count(*) >= 8 * n_shingles
+    """,
     "op6_chat_formatting": """
         WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
         logs AS (
