@@ -188,10 +188,10 @@ def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """``key, class_id, n_copies, n_links``: the class of every row.
+    """``key, class_id, n_copies, n_links, node, label``: the class of every row.
 
     ``n_copies`` counts rows with an equal text, ``n_links`` the verified links of the text
-    to other texts.
+    to other texts; ``node`` names the text and ``label`` the class.
     """
     read = docs.select(F.col(key).alias("key"), F.xxhash64("text").alias("node"), "text")
     key_type = docs.schema[key].dataType.simpleString()
@@ -250,7 +250,7 @@ def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD)
         .select("node", "least_key", "n_copies", "n_links", F.coalesce("label", "node").alias("label"))
     )
     smallest = classed.groupBy("label").agg(F.min("least_key").alias("class_id"))
-    named = classed.join(smallest, "label").select("node", "class_id", "n_copies", "n_links")
+    named = classed.join(smallest, "label").select("node", "class_id", "n_copies", "n_links", "label")
     rows = signed.select("key", "node", (F.size("bands") > 0).alias("worded"))
     return rows.join(named.withColumn("worded", F.lit(True)), ["node", "worded"], "left").select(
         F.col("key").alias(key),
@@ -258,4 +258,22 @@ def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD)
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "node",
+        F.coalesce("label", "node").alias("label"),
+    )
+
+
+def representatives(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row for each class: the one with the smallest key.
+
+    Of several such rows the one with the smallest text hash stays, and of rows equal in
+    both, one. Texts without words are no copies of each other and all stay.
+    """
+    found = classes(docs, key).where(F.col(key).eqNullSafe(F.col("class_id")))
+    kept = found.groupBy("label").agg(F.min(F.struct(F.col("node"), F.col(key).alias("key"))).alias("least"))
+    digest = F.xxhash64(F.col(key), F.xxhash64("text"))
+    return (
+        docs.withColumn("_digest", digest)
+        .join(kept.select(F.xxhash64("least.key", "least.node").alias("_digest")), "_digest", "left_semi")
+        .dropDuplicates(["_digest"])
+        .select(*docs.columns)
     )
