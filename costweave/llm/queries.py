@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import chat, contamination, fingerprint, html, language, mix, neardup, quality, spans
+from costweave.llm import chat, contamination, fingerprint, html, language, lm, mix, neardup, quality, spans
 from costweave.llm.common import held_out, table
 from costweave.session import stage
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,6 +68,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_html_extraction": op4_html_extraction,
