@@ -139,17 +139,17 @@ def fit(docs: DataFrame) -> Model:
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     languages.sort()
+    if not languages:
+        none = np.zeros(0)
+        return Model([], np.zeros((0, 0), np.int8), np.zeros((0, 1 << FEATURE_BITS), np.float32), none, none)
+    sums = (
+        known.mapInArrow(lambda batches: _counted(batches, languages), "language int, feature int, n long")
+        .groupBy("language", "feature")
+        .agg(F.sum("n").alias("n"))
+        .toPandas()
+    )
     counts = np.zeros((len(languages), 1 << FEATURE_BITS))
-    if languages:
-        sums = (
-            known.mapInArrow(
-                lambda batches: _counted(batches, languages), "language int, feature int, n long"
-            )
-            .groupBy("language", "feature")
-            .agg(F.sum("n").alias("n"))
-            .toPandas()
-        )
-        counts[sums["language"], sums["feature"]] = sums["n"]
+    counts[sums["language"], sums["feature"]] = sums["n"]
     counts[:, 0] = 0
     share = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
     code = codebook(len(languages))
@@ -158,13 +158,12 @@ def fit(docs: DataFrame) -> Model:
     log_odds = [
         np.log(w @ share / max(w.sum(), 1)) if w.sum() else np.zeros(share.shape[1]) for w in np.vstack((yes, no))
     ]
-    bits = code.shape[1] if len(languages) else 0
-    weights = np.array([log_odds[b] - log_odds[bits + b] for b in range(bits)]).reshape(bits, -1)
+    bits = code.shape[1]
+    weights = np.array([log_odds[b] - log_odds[bits + b] for b in range(bits)])
     weights[:, 0] = 0
     # how far a bit separates its two sides on average: weak bits count for less
-    apart = np.abs((share @ weights.T) * code) if bits else np.zeros((0, 0))
-    strength = apart.mean(axis=0) if bits else np.zeros(0)
-    importance = strength / strength.mean() if bits and strength.mean() > 0 else np.ones(bits)
+    strength = np.abs((share @ weights.T) * code).mean(axis=0)
+    importance = strength / strength.mean() if strength.mean() > 0 else np.ones(bits)
     scale = 6.0 / np.maximum(strength, 1e-6)
     return Model(languages, code, weights.astype(np.float32), importance, scale)
 
@@ -191,7 +190,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             grams = features(data)
             informative = sum((g != 0).astype(np.int64) for g in grams)
             total = np.maximum(_summed(informative, offsets), 1)
-            lean = np.zeros((sizes.size, model.code.shape[1] if model.languages else 0))
+            lean = np.zeros((sizes.size, model.code.shape[1]))
             for b in range(lean.shape[1]):
                 weight = model.weights[b]
                 value = weight[grams[0]]

@@ -258,7 +258,7 @@ def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD)
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "node",
-        F.coalesce("label", "node").alias("label"),
+        F.when(F.col("worded"), F.col("label")).otherwise(F.xxhash64("key", "node")).alias("label"),
     )
 
 

@@ -109,7 +109,7 @@ def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Rec
             data, offsets = column(piece.column("text"))
             s = Sentences(data, offsets)
             n = s.last.size
-            lost = piece.column("lost")
+            lost = piece.column("__lost")
             lost_of = np.repeat(np.arange(piece.num_rows), pc.fill_null(pc.list_value_length(lost), 0).to_numpy(zero_copy_only=False))
             lost_hash = pc.list_flatten(lost).to_numpy(zero_copy_only=False).astype(np.int64)
             # the place of a span that was met before in the same text
@@ -159,11 +159,11 @@ def dedup(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     lost = (
         spans.join(owners.select("span", "first"), "span")
         .where("key > first")
-        .groupBy(F.col("key").alias("_key"))
-        .agg(F.collect_set("span").alias("lost"))
+        .groupBy(F.col("key").alias("__key"))
+        .agg(F.collect_set("span").alias("__lost"))
     )
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    joined = docs.select(*names).join(lost, whole == F.col("_key"), "left").select(*names, "lost")
+    joined = docs.select(*names).join(lost, whole == F.col("__key"), "left").select(*names, "__lost")
     schema = T.StructType(
         [
             *[docs.schema[c] for c in names],
