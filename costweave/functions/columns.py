@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costweave.schemas import MONEY
+from costweave.schemas import MONEY, TOTAL
 
 ColumnLike = Column | str
 
@@ -57,7 +57,7 @@ def zero_if_null(c: ColumnLike) -> Column:
 
 def total_when(condition: Column, amount: ColumnLike) -> Column:
     """Sum of ``amount`` over rows that meet ``condition``; 0 when none does."""
-    return F.coalesce(F.sum(F.when(condition, col(amount))), F.lit(0)).cast(MONEY)
+    return F.coalesce(F.sum(F.when(condition, col(amount))), F.lit(0)).cast(TOTAL)
 
 
 def count_when(condition: Column) -> Column:

@@ -9,7 +9,7 @@ from costweave import constants as K
 from costweave.functions.columns import quoted
 from costweave.operators.drivers import DRIVER_KEY, ENCOUNTER_MONTH
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, RUN, TOTAL
 from costweave.session import lookup_join
 
 
@@ -118,7 +118,7 @@ def allocated_by_pool(
         *POOL_KEY,
         "costing_treatment",
         (F.col("allocation_rate") * F.col("reached_units"))
-        .cast(MONEY)
+        .cast(TOTAL)
         .alias("allocated_amount"),
     )
 

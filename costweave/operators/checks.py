@@ -23,7 +23,7 @@ from costweave.functions.columns import (
     zero_if_null,
 )
 from costweave.operators.funding import monthly_funding_control
-from costweave.schemas import MEASURES, MONEY, RUN
+from costweave.schemas import MEASURES, MONEY, POOL_AMOUNT, RUN, TOTAL
 from costweave.session import lookup
 
 CHECK_COLUMNS = ["check_id", "area", "status", "message", "observed", "expected"]
@@ -278,12 +278,12 @@ def direct_control_differences(direct: DataFrame, ledger: DataFrame) -> DataFram
     items = (
         direct.withColumnRenamed("service_month", "reporting_month")
         .groupBy(*keys)
-        .agg(F.sum("amount").cast(MONEY).alias("direct_total"))
+        .agg(F.sum("amount").cast(TOTAL).alias("direct_total"))
     )
     posted = (
         ledger.filter(F.col("source_reference").startswith("DIRECT-CONTROL-"))
         .groupBy(*keys)
-        .agg(F.sum("signed_amount").cast(MONEY).alias("ledger_total"))
+        .agg(F.sum("signed_amount").cast(TOTAL).alias("ledger_total"))
     )
     return items.join(posted, keys, "left").filter(
         ~F.col("direct_total").eqNullSafe(F.col("ledger_total"))
@@ -342,7 +342,7 @@ def financial_checks(
     by_centre = ["reporting_month", "cost_centre_id"]
 
     def actual(keys):
-        return ledger.groupBy(*keys).agg(F.sum(amount).cast(MONEY).alias("signed_gl_total"))
+        return ledger.groupBy(*keys).agg(F.sum(amount).cast(TOTAL).alias("signed_gl_total"))
 
     direct_diff = direct_control_differences(direct, ledger).agg(F.count(F.lit(1)).alias("n"))
     return (
@@ -447,7 +447,7 @@ def plausibility_checks(
     funded = funding.filter(F.col("funding_status") == "CALCULATED").agg(
         F.sum("estimated_synthetic_funding").alias("funding")
     )
-    ratio = safe_ratio(F.col("funding").cast(MONEY), F.col("gl").cast(MONEY))
+    ratio = safe_ratio(F.col("funding").cast(POOL_AMOUNT), F.col("gl").cast(POOL_AMOUNT))
     low, high = expect.funding_range
     return verdicts(
         side_by_side(volume, small, spread, spent, funded).withColumn("ratio", ratio),
@@ -498,31 +498,35 @@ def readiness(
 ) -> DataFrame:
     """Whether a run may be published.
 
-    Ready when no blocking rule failed, every file control passed and the total
-    reconciles. Described by the quality design, not part of its procedures.
+    Ready when every active blocking rule has a result and passed, there are file
+    controls and all passed, and the total reconciles. What is missing counts as
+    failed. Described by the quality design, not part of its procedures.
     """
+    active = rules.filter((F.col("blocking_flag") == "Y") & (F.col("active_flag") == "Y"))
+    total_rules = active.agg(F.countDistinct("validation_rule_id")).first()[0]
     blocking = (
-        results.join(lookup(rules.select("validation_rule_id", "blocking_flag")), "validation_rule_id")
+        results.join(lookup(active.select("validation_rule_id")), "validation_rule_id")
+        .groupBy(RUN, "validation_rule_id")
+        .agg(count_when(F.col("validation_status") != "PASS").alias("failed"))
         .groupBy(RUN)
         .agg(
-            count_when(
-                (F.col("blocking_flag") == "Y") & (F.col("validation_status") != "PASS")
-            ).alias("blocking_failures")
+            (count_when(F.col("failed") > 0) + F.lit(total_rules) - F.count(F.lit(1))).alias("blocking_failures")
         )
     )
     files = controls.groupBy(RUN).agg(
-        count_when(F.col("control_status") != "PASS").alias("failed_controls")
+        count_when(~F.col("control_status").eqNullSafe("PASS")).alias("failed_controls")
     )
     total = reconciliation.filter(F.col("reconciliation_level") == "TOTAL").select(
         RUN, F.col("reconciliation_status").alias("total_status")
     )
     ready = (
-        (F.coalesce("blocking_failures", F.lit(0)) == 0)
-        & (F.coalesce("failed_controls", F.lit(0)) == 0)
-        & (F.col("total_status") == "PASS")
+        (F.col("blocking_failures") == 0)
+        & F.col("failed_controls").eqNullSafe(0)
+        & F.col("total_status").eqNullSafe("PASS")
     )
     return (
         total.join(blocking, RUN, "left")
+        .withColumn("blocking_failures", F.coalesce("blocking_failures", F.lit(total_rules)))
         .join(files, RUN, "left")
         .withColumn("publish_flag", F.when(ready, "Y").otherwise("N"))
     )

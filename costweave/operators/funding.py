@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
-from costweave.schemas import MONEY, RUN, WEIGHT
+from costweave.schemas import MONEY, RUN, TOTAL, WEIGHT
 from costweave.session import lookup
 
 GROUP_COLUMNS = [
@@ -24,10 +24,12 @@ GROUP_COLUMNS = [
 def adjustment_factors(rules: DataFrame) -> dict[str, Decimal]:
     """Factors from the adjustment table over the defaults; text factors are skipped."""
     numeric = rules.select("adjustment_code", F.col("factor").try_cast("decimal(7,6)").alias("f"))
-    found = numeric.filter(
-        F.col("f").isNotNull() & F.col("adjustment_code").isin(*K.ADJUSTMENT_FACTORS)
-    ).limit(len(K.ADJUSTMENT_FACTORS))
-    return {**K.ADJUSTMENT_FACTORS, **{r[0]: r[1] for r in found.collect()}}
+    known = F.col("f").isNotNull() & F.col("adjustment_code").isin(*K.ADJUSTMENT_FACTORS)
+    # one row for each known code
+    found = numeric.filter(known).groupBy("adjustment_code").agg(F.min("f"), F.max("f")).collect()
+    if several := sorted(code for code, low, high in found if low != high):
+        raise ValueError(f"adjustment codes with more than one factor: {', '.join(several)}")
+    return {**K.ADJUSTMENT_FACTORS, **{code: low for code, low, _ in found}}
 
 
 def _adjustments() -> dict[str, Column]:
@@ -160,10 +162,10 @@ def monthly_funding_control(funding: DataFrame) -> DataFrame:
         funded.alias("funded_encounter_count"),
         (F.count(F.lit(1)) - funded).alias("unfunded_review_count"),
         F.coalesce(F.sum(F.when(calculated, F.col("final_synthetic_nwau"))), F.lit(0))
-        .cast(MONEY)
+        .cast(TOTAL)
         .alias("total_synthetic_nwau"),
         F.coalesce(F.sum(F.when(calculated, F.col("estimated_synthetic_funding"))), F.lit(0))
-        .cast("decimal(19,2)")
+        .cast("decimal(38,2)")
         .alias("total_estimated_synthetic_funding"),
     )
 
@@ -178,5 +180,5 @@ def funding_summary(comparison: DataFrame) -> DataFrame:
     ]
     return comparison.groupBy(RUN, "funding_status").agg(
         F.count(F.lit(1)).alias("encounter_count"),
-        *[F.sum(c).cast(MONEY).alias(c) for c in sums],
+        *[F.sum(c).cast(TOTAL).alias(c) for c in sums],
     )

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from costweave.session import lookups
 
 
+RULE_KEYS = ["cost_pool_code", "cost_category"]
+CENTRE_KEYS = ["cost_centre_id"]
+
+
 @dataclass(frozen=True)
 class Mapping:
     """Active reference rows, each hinted for broadcast when small enough."""
@@ -90,16 +94,50 @@ def map_ledger(ledger: DataFrame, mapping: Mapping) -> DataFrame:
 
 
 def overlapping_rules(rules: DataFrame) -> DataFrame:
-    """Active rules that start before an earlier rule of the same pool, category
-    and scope has ended.
+    """Active rules that start before an earlier rule of the same pool and category has ended.
 
-    Start dates are summarised first and only those are put in order, so a key
-    with very many versions is never lined up in one task, nor paired.
+    The ledger meets rules by pool, category and month, so two rules that differ in
+    scope alone would each take the whole amount.
     """
-    keys = ["cost_pool_code", "cost_category", "eligible_scope"]
     active = rules.filter(F.col("active_flag") == "Y")
-    starts = active.groupBy(*keys, "effective_from").agg(
-        F.min("allocation_rule_id").alias("first_id"), F.max("effective_to").alias("latest_to")
+    return _overlapping(active, RULE_KEYS, "allocation_rule_id").select(
+        "allocation_rule_id", *RULE_KEYS, "eligible_scope", "effective_from", "effective_to"
+    )
+
+
+def overlapping_centres(centres: DataFrame) -> DataFrame:
+    """Active versions of a cost centre that start before an earlier one has ended."""
+    active = centres.filter(F.col("active_flag") == "Y")
+    return _overlapping(active, CENTRE_KEYS, "cost_pool_code").select(
+        *CENTRE_KEYS, "cost_pool_code", "effective_from", "effective_to"
+    )
+
+
+def refuse_overlaps(mapping: Mapping) -> None:
+    """Raise when a ledger row could meet two rules or two versions of its centre.
+
+    Each would take the whole amount, and pools would exceed the ledger.
+    """
+    for name, versions, keys in (
+        ("allocation rules", mapping.rule, RULE_KEYS),
+        ("cost centres", mapping.cost_centre, CENTRE_KEYS),
+    ):
+        # a few examples for the message
+        found = _overlapping(versions, keys, "effective_to").select(*keys).limit(5).collect()
+        if found:
+            shown = "; ".join(", ".join(map(str, row)) for row in found)
+            raise ValueError(f"{name} overlap in time: {shown}")
+
+
+def _overlapping(versions: DataFrame, keys: list[str], tie: str) -> DataFrame:
+    """Start dates are summarised first and only those are put in order, so a key
+    with very many versions is never lined up in one task, nor paired. Of versions that
+    start together the one with the smallest ``tie`` is the earlier.
+    """
+    starts = versions.groupBy(*keys, "effective_from").agg(
+        F.min(tie).alias("first_id"),
+        F.max("effective_to").alias("latest_to"),
+        F.count(F.lit(1)).alias("together"),
     )
     before = (
         Window.partitionBy(*keys)
@@ -107,13 +145,19 @@ def overlapping_rules(rules: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     timeline = starts.select(
-        *keys, "effective_from", "first_id", F.max("latest_to").over(before).alias("earlier_to")
-    )
-    overlaps = (F.col("effective_from") <= F.col("earlier_to")) | (
-        F.col("allocation_rule_id") > F.col("first_id")
+        *keys,
+        "effective_from",
+        "first_id",
+        "together",
+        F.max("latest_to").over(before).alias("earlier_to"),
     )
+    # versions equal in the tie as well are all reported
+    repeated = (F.col("together") > 1) & (F.col(tie) >= F.col("first_id"))
+    first = (F.col(tie) == F.col("first_id")) & (F.col("ties") == 1)
+    overlaps = (F.col("effective_from") <= F.col("earlier_to")) | (repeated & ~first)
+    ties = versions.groupBy(*keys, "effective_from", tie).agg(F.count(F.lit(1)).alias("ties"))
     return (
-        active.join(timeline, [*keys, "effective_from"])
+        versions.join(timeline, [*keys, "effective_from"])
+        .join(ties, [*keys, "effective_from", tie])
         .filter(overlaps)
-        .select("allocation_rule_id", *keys, "effective_from", "effective_to")
     )

@@ -10,7 +10,7 @@ from costweave.functions.columns import zero_if_null
 from costweave.operators.allocate import driver_rates, pool_rates
 from costweave.operators.drivers import driver_totals, pre_overhead_drivers
 from costweave.operators.percentiles import BUFFER_ROWS, group_percentile
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, RUN, TOTAL
 from costweave.session import lookup, stage
 
 EPISODE_MONTH, ALL_MONTHS = "episode_month", "all_months"
@@ -127,14 +127,14 @@ def flag_high_cost(
 def attribution_gap(indirect: DataFrame, costs: DataFrame) -> DataFrame:
     """Allocated cost per run that the patient rows do and do not carry."""
     allocated = indirect.groupBy(RUN).agg(
-        F.sum("allocated_amount").cast(MONEY).alias("allocated_amount")
+        F.sum("allocated_amount").cast(TOTAL).alias("allocated_amount")
     )
     carried = costs.groupBy(RUN).agg(
-        F.sum("indirect_cost_amount").cast(MONEY).alias("attributed_amount")
+        F.sum("indirect_cost_amount").cast(TOTAL).alias("attributed_amount")
     )
     return allocated.join(carried, RUN, "left").withColumn(
         "unattributed_amount",
-        (F.col("allocated_amount") - zero_if_null("attributed_amount")).cast(MONEY),
+        (F.col("allocated_amount") - zero_if_null("attributed_amount")).cast(TOTAL),
     )
 
 
@@ -142,7 +142,7 @@ def high_cost_summary(costs: DataFrame) -> DataFrame:
     """Encounters and cost per flag."""
     return costs.groupBy(RUN, "high_cost_flag").agg(
         F.count(F.lit(1)).alias("encounter_count"),
-        F.sum("total_patient_cost").cast(MONEY).alias("total_patient_cost"),
+        F.sum("total_patient_cost").cast(TOTAL).alias("total_patient_cost"),
     )
 
 

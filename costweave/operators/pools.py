@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from costweave import constants as K
 from costweave.functions.columns import first_of
 from costweave.operators.mapping import Mapping, map_ledger
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import POOL_AMOUNT, RUN, TOTAL
 
 LEDGER_GRAIN = [RUN, "reporting_month", "facility", "cost_centre_id", "natural_account"]
 POOL_KEY = [*LEDGER_GRAIN, "cost_pool_code"]
@@ -65,14 +65,14 @@ def cost_pools(ledger: DataFrame, mapping: Mapping) -> DataFrame:
         "review_note",
     ).agg(
         F.sum("n").alias("source_transaction_count"),
-        F.sum("amount").cast(MONEY).alias("source_gl_amount"),
+        F.sum("amount").cast(POOL_AMOUNT).alias("source_gl_amount"),
     )
 
 
 def ledger_totals(ledger: DataFrame, *by: str) -> DataFrame:
     """Signed ledger total per month, or per month and cost centre."""
     return ledger.groupBy(*(by or ("reporting_month",))).agg(
-        F.sum("signed_amount").cast(MONEY).alias("signed_gl_total")
+        F.sum("signed_amount").cast(TOTAL).alias("signed_gl_total")
     )
 
 
@@ -80,5 +80,5 @@ def pool_summary(pools: DataFrame) -> DataFrame:
     """Pools and ledger amount per status."""
     return pools.groupBy(RUN, "pool_status").agg(
         F.count(F.lit(1)).alias("pool_count"),
-        F.sum("source_gl_amount").cast(MONEY).alias("source_gl_amount"),
+        F.sum("source_gl_amount").cast(TOTAL).alias("source_gl_amount"),
     )

@@ -9,7 +9,7 @@ from costweave import constants as K
 from costweave.functions.columns import describe, inline
 from costweave.operators.mapping import Mapping, effective_join
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import MEASURES, MONEY, RUN
+from costweave.schemas import MEASURES, MONEY, RUN, TOTAL
 
 RESULT_COLUMNS = [
     RUN,
@@ -41,6 +41,27 @@ def rule_catalogue(spark: SparkSession) -> DataFrame:
     return inline(spark, K.RULES, ", ".join(f"{c} string" for c in K.RULE_COLUMNS))
 
 
+def with_missing(results: DataFrame, run: int, rules: list[str]) -> DataFrame:
+    """``results`` and a PASS over no rows for every rule of ``rules`` without a result in ``run``.
+
+    Grouping by run leaves no row for an empty extract, but a rule that looked at
+    nothing was looked at.
+    """
+    texts = [(rule, K.RULE_TEXTS[rule][0]) for rule in rules]
+    expected = inline(results.sparkSession, texts, "validation_rule_id string, result_message string")
+    absent = expected.join(results.filter(F.col(RUN) == run), "validation_rule_id", "left_anti")
+    empty = absent.select(
+        F.lit(run).cast("long").alias(RUN),
+        "validation_rule_id",
+        F.lit(0).cast("long").alias("evaluated_row_count"),
+        F.lit(0).cast("long").alias("failed_row_count"),
+        F.lit(None).cast(TOTAL).alias("affected_amount"),
+        F.lit("PASS").alias("validation_status"),
+        "result_message",
+    )
+    return results.unionByName(empty)
+
+
 def _result(df: DataFrame, rule: str, failed: Column, amount: Column | None, bad: str) -> DataFrame:
     """Evaluated, failed and affected amount of one rule, in one aggregate."""
     failures = F.count(F.when(failed, 1))
@@ -54,7 +75,7 @@ def _result(df: DataFrame, rule: str, failed: Column, amount: Column | None, bad
         .agg(
             F.count(F.lit(1)).alias("evaluated_row_count"),
             failures.alias("failed_row_count"),
-            affected.cast(MONEY).alias("affected_amount"),
+            affected.cast(TOTAL).alias("affected_amount"),
         )
         .withColumns(
             {
@@ -194,6 +215,6 @@ def issue_summary(issues: DataFrame) -> DataFrame:
     return issues.groupBy(RUN, "source_entity", "field_name").agg(
         F.count(F.lit(1)).alias("issue_count"),
         F.sum(F.coalesce("financial_impact", F.lit(0).cast(MONEY)))
-        .cast(MONEY)
+        .cast(TOTAL)
         .alias("financial_impact"),
     )

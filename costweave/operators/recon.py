@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costweave import constants as K
 from costweave.functions.columns import total_when, zero_if_null
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import RUN, TOTAL
 
 PARTS = [
     "direct_assigned_amount",
@@ -40,7 +40,7 @@ def difference() -> Column:
     result = F.col("gl_amount")
     for part in PARTS:
         result = result - F.col(part)
-    return result.cast(MONEY)
+    return result.cast(TOTAL)
 
 
 def within(tolerance: Decimal = K.TOLERANCE) -> Column:
@@ -87,11 +87,11 @@ def reconcile_pools(
     ``allocated`` holds (pool, treatment, allocated_amount) for both stages. The
     parts are united and grouped once on the pool key instead of joined thrice.
     """
-    zero = F.lit(0).cast(MONEY)
+    zero = F.lit(0).cast(TOTAL)
 
     def part(df: DataFrame, amounts: dict[str, Column]) -> DataFrame:
         return df.select(
-            *POOL_KEY, *[amounts.get(c, zero).cast(MONEY).alias(c) for c in PARTS]
+            *POOL_KEY, *[amounts.get(c, zero).cast(TOTAL).alias(c) for c in PARTS]
         )
 
     amount, treatment = F.col("allocated_amount"), F.col("costing_treatment")
@@ -126,7 +126,7 @@ def reconcile_pools(
     return (
         pools.join(parts, POOL_KEY, "left")
         .withColumn("gl_amount", F.col("source_gl_amount"))
-        .withColumns({c: zero_if_null(c).cast(MONEY) for c in PARTS})
+        .withColumns({c: zero_if_null(c).cast(TOTAL) for c in PARTS})
         .withColumn("reconciliation_level", F.lit("COST_POOL"))
         .withColumn("reconciliation_difference", difference())
         .withColumn(
@@ -144,7 +144,7 @@ def reconcile_pools(
 
 def reconcile_unmatched(unallocated: DataFrame) -> DataFrame:
     """Unallocated cost without a pool, as rows with no ledger amount."""
-    zero = F.lit(0).cast(MONEY)
+    zero = F.lit(0).cast(TOTAL)
     return (
         unallocated.filter(F.col("source_record_type") != "COST_POOL")
         .groupBy(
@@ -172,7 +172,7 @@ def reconcile_total(rows: DataFrame, tolerance: Decimal = K.TOLERANCE) -> DataFr
         .groupBy(RUN)
         .agg(
             F.min("reporting_month").alias("reporting_month"),
-            *[F.sum(c).cast(MONEY).alias(c) for c in AMOUNTS],
+            *[F.sum(c).cast(TOTAL).alias(c) for c in AMOUNTS],
         )
         .withColumns(
             {
@@ -198,5 +198,5 @@ def reconciliation_summary(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.countDistinct("cost_category").alias("cost_category_count"),
         F.countDistinct("cost_pool_code").alias("cost_pool_count"),
-        *[F.sum(c).cast(MONEY).alias(c) for c in [*AMOUNTS, "reconciliation_difference"]],
+        *[F.sum(c).cast(TOTAL).alias(c) for c in [*AMOUNTS, "reconciliation_difference"]],
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costweave.functions.columns import ColumnLike, col, month_of
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, RUN, TOTAL
 
 NOT_ADMITTED = ("Same-day", "Emergency", "Outpatient")
 
@@ -61,7 +61,7 @@ def direct_to_ledger(direct: DataFrame) -> DataFrame:
     return (
         direct.withColumnRenamed("service_month", "reporting_month")
         .groupBy(RUN, "reporting_month", "cost_centre_id", "natural_account")
-        .agg(F.sum("amount").cast(MONEY).alias("signed_amount"))
+        .agg(F.sum("amount").cast(TOTAL).alias("signed_amount"))
         .withColumn("adjustment_type", F.lit("Standard expense"))
         .withColumn(
             "source_reference",

@@ -9,7 +9,7 @@ from costweave import constants as K
 from costweave.functions.columns import clean_text
 from costweave.operators.drivers import DRIVER_KEY
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, RUN, TOTAL
 
 
 def reason_from_note(note: Column) -> Column:
@@ -116,5 +116,5 @@ def reason_summary(unallocated: DataFrame) -> DataFrame:
     """Rows and amount per reason."""
     return unallocated.groupBy(RUN, "unallocated_reason").agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum("unallocated_amount").cast(MONEY).alias("unallocated_amount"),
+        F.sum("unallocated_amount").cast(TOTAL).alias("unallocated_amount"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from costweave import constants as K
 from costweave.functions.columns import safe_ratio
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, POOL_AMOUNT, RUN, TOTAL
 
 
 def monthly_variance(costs: DataFrame, by: list[str]) -> DataFrame:
@@ -20,7 +20,7 @@ def monthly_variance(costs: DataFrame, by: list[str]) -> DataFrame:
     The window runs over monthly totals, never over encounters.
     """
     monthly = costs.groupBy(RUN, *by, "reporting_month").agg(
-        F.sum("total_patient_cost").cast(MONEY).alias("total_cost"),
+        F.sum("total_patient_cost").cast(POOL_AMOUNT).alias("total_cost"),
         F.count(F.lit(1)).alias("encounter_count"),
     )
     w = Window.partitionBy(RUN, *by).orderBy("reporting_month")
@@ -45,7 +45,7 @@ def monthly_variance(costs: DataFrame, by: list[str]) -> DataFrame:
                 "prior_unit_cost": before("unit_cost"),
             }
         )
-        .withColumn("cost_change", change.cast(MONEY))
+        .withColumn("cost_change", change.cast(TOTAL))
         .withColumn("cost_change_share", share)
         .withColumn("count_change", F.col("encounter_count") - F.col("prior_count"))
         .withColumn(
@@ -58,7 +58,7 @@ def monthly_variance(costs: DataFrame, by: list[str]) -> DataFrame:
 def unallocated_materiality(unallocated: DataFrame, monthly_ledger: DataFrame) -> DataFrame:
     """Level per month and reason: the higher of the dollar and the share test."""
     amounts = unallocated.groupBy(RUN, "reporting_month", "unallocated_reason").agg(
-        F.sum("unallocated_amount").cast(MONEY).alias("unallocated_amount")
+        F.sum("unallocated_amount").cast(TOTAL).alias("unallocated_amount")
     )
     size = F.abs("unallocated_amount")
     share = F.abs(F.col("ledger_share"))

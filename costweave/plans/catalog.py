@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from costweave.operators import (
 from costweave.plans import reporting
 from costweave.plans.costing import CostingRun
 from costweave.plans.star_sql import d, money, n, q, ratio, shown, twin
-from costweave.schemas import DIRECT_COST, ENCOUNTER, LEDGER, MEASURES, MONEY, RESOURCE, RUN
+from costweave.schemas import DIRECT_COST, ENCOUNTER, LEDGER, MEASURES, MONEY, RESOURCE, RUN, TOTAL
 from costweave.session import scratch_path, stage
 from costweave.sources import landing, reference, star, tables
 
@@ -77,29 +78,57 @@ def show(df: DataFrame, *columns: str, **places: int) -> DataFrame:
 def costing_run(
     spark: SparkSession, sf_dir: str, attribution: str = patient.EPISODE_MONTH, **options
 ) -> CostingRun:
-    """A run over staged encounters, resource use and direct items.
+    """A run over the star schema; what a query never asks for is never built."""
+    return StarRun(spark, sf_dir, attribution=attribution, **options)
+
+
+class StarRun(CostingRun):
+    """Inputs are stored when first used.
 
     Direct items meet their encounters in one join whose result is stored, so a
     hot encounter can be split there and is pre-aggregated wherever it is summed.
     """
-    enc = stage(star.encounters(spark, sf_dir), "patient_encounter")
-    known = enc.select(RUN, "encounter_id", F.lit(True).alias("known"))
-    items = stage(
-        star.direct_items(spark, sf_dir).join(known, [RUN, "encounter_id"], "left"),
-        "direct_cost_detail",
-    )
-    landed = F.struct(*[F.col(c).cast("string").alias(c) for c in DIRECT_COST.columns])
-    return CostingRun(
-        enc,
-        stage(star.resource_usage(spark, sf_dir), "resource_usage"),
-        items.filter("known"),
-        star.ledger(spark, sf_dir),
-        star.mapping(spark, sf_dir),
-        rejected_direct=items.filter("known IS NULL").select(RUN, landed.alias("landed")),
-        funding_groups=star.funding_groups(spark),
-        attribution=attribution,
-        **options,
-    )
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **options):
+        super().__init__(
+            None,
+            None,
+            None,
+            star.ledger(spark, sf_dir),
+            None,
+            funding_groups=star.funding_groups(spark),
+            **options,
+        )
+        self.spark, self.sf_dir = spark, sf_dir
+        for name in ("encounters", "resource", "direct", "mapping", "rejected_direct"):
+            self.__dict__.pop(name, None)
+
+    @cached_property
+    def encounters(self) -> DataFrame:
+        return stage(star.encounters(self.spark, self.sf_dir), "patient_encounter")
+
+    @cached_property
+    def resource(self) -> DataFrame:
+        return stage(star.resource_usage(self.spark, self.sf_dir), "resource_usage")
+
+    @cached_property
+    def mapping(self) -> mapped.Mapping:
+        return star.mapping(self.spark, self.sf_dir)
+
+    @cached_property
+    def _items(self) -> DataFrame:
+        known = self.encounters.select(RUN, "encounter_id", F.lit(True).alias("known"))
+        items = star.direct_items(self.spark, self.sf_dir)
+        return stage(items.join(known, [RUN, "encounter_id"], "left"), "direct_cost_detail")
+
+    @cached_property
+    def direct(self) -> DataFrame:
+        return self._items.filter("known")
+
+    @cached_property
+    def rejected_direct(self) -> DataFrame:
+        landed = F.struct(*[F.col(c).cast("string").alias(c) for c in DIRECT_COST.columns])
+        return self._items.filter("known IS NULL").select(RUN, landed.alias("landed"))
 
 
 def classified_encounters(spark, sf_dir) -> DataFrame:
@@ -175,6 +204,7 @@ def a2(spark, sf_dir):
 _CONTROLS = """(SELECT 'patient_encounter.csv' AS f, (SELECT COUNT(*) FROM orders) AS e, (SELECT COUNT(*) FROM enc) AS a
              UNION ALL SELECT 'resource_usage.csv', (SELECT COUNT(DISTINCT (l_orderkey, l_linenumber % 2)) FROM lineitem), (SELECT COUNT(*) FROM res)
              UNION ALL SELECT 'general_ledger_transaction.csv', (SELECT COUNT(*) FROM lineitem) + 1, (SELECT COUNT(*) FROM gl)
+             UNION ALL SELECT 'direct_cost_detail.csv', (SELECT COUNT(*) FROM dir), (SELECT COUNT(*) FROM rdir)
              UNION ALL SELECT 'never_landed.csv', (SELECT COUNT(*) FROM customer), NULL) t"""
 
 
@@ -205,7 +235,12 @@ def k2(spark, sf_dir):
 
 def _file_controls(spark, sf_dir) -> DataFrame:
     landed = None
-    for frame in (star.encounter_landing, star.resource_landing, star.ledger_landing):
+    for frame in (
+        star.encounter_landing,
+        star.resource_landing,
+        star.direct_landing,
+        star.ledger_landing,
+    ):
         part = frame(spark, sf_dir).select(RUN, "source_file_name")
         landed = part if landed is None else landed.unionByName(part)
     lines = star.table(spark, sf_dir, "lineitem")
@@ -223,6 +258,7 @@ def _file_controls(spark, sf_dir) -> DataFrame:
                 lines.select("l_orderkey", F.col("l_linenumber") % 2).distinct(),
             )
         )
+        .unionByName(expect("direct_cost_detail.csv", star.direct_items(spark, sf_dir)))
         .unionByName(expect("general_ledger_transaction.csv", lines, more=1))
         .unionByName(expect("never_landed.csv", star.table(spark, sf_dir, "customer")))
     )
@@ -557,7 +593,7 @@ def d13(spark, sf_dir):
     gl = star.ledger(spark, sf_dir)
     by_centre = pools.ledger_totals(gl, "reporting_month", "cost_centre_id")
     by_month = by_centre.groupBy("reporting_month").agg(
-        F.sum("signed_gl_total").cast(MONEY).alias("signed_gl_total")
+        F.sum("signed_gl_total").cast(TOTAL).alias("signed_gl_total")
     )
     return show(by_centre.unionByName(by_month, allowMissingColumns=True))
 
@@ -1239,14 +1275,16 @@ def i5i(spark, sf_dir):
 
 
 def _register(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Results (stored) and issues of the four rules that read landed or typed rows."""
+    """Results (stored) and issues of all five rules."""
+    run = costing_run(spark, sf_dir)
     children = classified_children(spark, sf_dir, "resource_usage", "direct_cost_detail")
-    gl, refs = star.ledger(spark, sf_dir), star.mapping(spark, sf_dir)
+    gl, refs = run.ledger, run.mapping
     results, issues = quality.gather(
         quality.resource_not_promoted(children["resource_usage"]),
         quality.direct_not_promoted(children["direct_cost_detail"]),
         quality.unknown_cost_centre(gl, refs),
         quality.unmapped_account(gl, refs),
+        quality.zero_driver(run.pools, run.zero_driver),
     )
     return stage(results, "validation_result"), issues
 
@@ -1257,14 +1295,16 @@ _REGISTER = " UNION ALL ".join(
         _DC_ISSUES,
         _gl_issue_sql("GL_UNKNOWN_COST_CENTRE", "cost_centre_id", "NOT centre_found"),
         _gl_issue_sql("GL_UNMAPPED_ACCOUNT", "natural_account", "NOT account_found"),
+        _ZERO_ISSUES,
     ]
 )
 _IMPACTS = """SELECT load_run_id, 'resource_usage' AS source_entity, 'resource_usage_driver_values' AS field_name,
         CAST(NULL AS DECIMAL(19,6)) AS impact FROM rres WHERE rejected
     UNION ALL SELECT load_run_id, 'direct_cost_detail', 'encounter_id', amount FROM rdir WHERE rejected
     UNION ALL SELECT load_run_id, 'general_ledger_transaction', 'cost_centre_id', signed_amount FROM mapped WHERE NOT centre_found
-    UNION ALL SELECT load_run_id, 'general_ledger_transaction', 'natural_account', signed_amount FROM mapped WHERE NOT account_found"""
-_RESULTS = " UNION ALL ".join(_result_sql(*rule) for rule in (_RU, _DC, _CC, _AC))
+    UNION ALL SELECT load_run_id, 'general_ledger_transaction', 'natural_account', signed_amount FROM mapped WHERE NOT account_found
+    UNION ALL SELECT load_run_id, 'costing.cost_pool', 'allocation_driver', source_gl_amount FROM zero"""
+_RESULTS = " UNION ALL ".join([*[_result_sql(*rule) for rule in (_RU, _DC, _CC, _AC)], _ZERO_SQL])
 
 
 @query("i7_issue_register", _REGISTER)
@@ -1568,7 +1608,13 @@ def l4(spark, sf_dir):
 
 # --- assurance checks -------------------------------------------------------------------------
 
-_MONTHS = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)][:80]
+_FIRST_MONTH, _LAST_MONTH = (1995, 1), (2001, 8)
+_MONTHS = [
+    f"{y}-{m:02d}-01"
+    for y in range(_FIRST_MONTH[0], _LAST_MONTH[0] + 1)
+    for m in range(1, 13)
+    if _FIRST_MONTH <= (y, m) <= _LAST_MONTH
+]
 STAR_YEAR = checks.Expectations(
     service_lines=star.PRIORITIES,
     months=_MONTHS,
@@ -1610,8 +1656,7 @@ def _in(values) -> str:
 _P, _E, _X, _W = "PASS", "ERROR", "EXPECTED", "WARNING"
 
 
-@_check_query(
-    "k3_encounter_checks",
+_ENCOUNTER_CHECKS = (
     f"""SELECT COUNT(*) AS n, COUNT(DISTINCT encounter_id) AS ids,
           (SELECT COUNT(DISTINCT service_line) FROM enc) AS lines, (SELECT COUNT(DISTINCT care_type) FROM enc) AS cares,
           COUNT(DISTINCT CASE WHEN CAST(episode_month AS VARCHAR) IN {_in(_MONTHS)} THEN episode_month END) AS months,
@@ -1635,6 +1680,9 @@ _P, _E, _X, _W = "PASS", "ERROR", "EXPECTED", "WARNING"
         ("ENC-MULTI-MONTH", "several > 0", "several", _P, _E),
     ],
 )
+
+
+@_check_query("k3_encounter_checks", *_ENCOUNTER_CHECKS)
 def k3(spark, sf_dir):
     return _seen(
         checks.encounter_checks(
@@ -1829,18 +1877,13 @@ def k22(spark, sf_dir):
 
 @query(
     "k22_status_counts",
-    """SELECT status, CAST(COUNT(*) AS BIGINT) AS check_count
-       FROM (SELECT CASE WHEN COUNT(*) = COUNT(DISTINCT encounter_id) THEN 'PASS' ELSE 'ERROR' END AS status FROM enc
-             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (discharge_date < admission_date OR length_of_stay < 0) = 0 THEN 'PASS' ELSE 'ERROR' END FROM enc
-             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (care_type = 'Inpatient' AND length_of_stay < 1) = 0 THEN 'PASS' ELSE 'ERROR' END FROM enc
-             UNION ALL SELECT CASE WHEN COUNT(*) FILTER (activity_group_code = 'UNCLASSIFIED') = 1 THEN 'EXPECTED' ELSE 'ERROR' END FROM enc) t GROUP BY 1""",
+    f"SELECT status, CAST(COUNT(*) AS BIGINT) AS check_count FROM ({_checks_twin(*_ENCOUNTER_CHECKS)}) t GROUP BY 1",
 )
 def k22s(spark, sf_dir):
     report = checks.encounter_checks(
         star.encounters(spark, sf_dir), star.resource_usage(spark, sf_dir), STAR_YEAR
     )
-    kept = ("ENC-UNIQUE", "ENC-DATES", "ENC-CARE-LOS", "ENC-UNCLASSIFIED")
-    return checks.status_counts(report.filter(F.col("check_id").isin(*kept)))
+    return checks.status_counts(report)
 
 
 @query(
@@ -1948,16 +1991,19 @@ def m2(spark, sf_dir):
 
 @query(
     "m6_readiness",
-    """SELECT CAST(1 AS BIGINT) AS load_run_id, total.reconciliation_status AS total_status,
-              CAST((SELECT COUNT(*) FROM rres WHERE rejected) > 0 AS BIGINT) + CAST((SELECT COUNT(*) FROM rdir WHERE rejected) > 0 AS BIGINT) AS blocking_failures,
-              CAST(0 AS BIGINT) AS failed_controls, 'N' AS publish_flag FROM total""",
+    f"""SELECT load_run_id, total_status, blocking_failures, failed_controls,
+              CASE WHEN blocking_failures = 0 AND failed_controls = 0 AND total_status = 'PASS' THEN 'Y' ELSE 'N' END AS publish_flag
+        FROM (SELECT CAST(1 AS BIGINT) AS load_run_id, total.reconciliation_status AS total_status,
+                     (SELECT CAST(COUNT(*) AS BIGINT) FROM (VALUES {_RULE_VALUES}) AS t({", ".join(K.RULE_COLUMNS)})
+                      LEFT JOIN ({_RESULTS}) v USING (validation_rule_id)
+                      WHERE blocking_flag = 'Y' AND active_flag = 'Y' AND validation_status IS DISTINCT FROM 'PASS') AS blocking_failures,
+                     (SELECT CAST(COUNT(*) AS BIGINT) FROM {_CONTROLS} WHERE e IS DISTINCT FROM a) AS failed_controls
+              FROM total) r""",
 )
 def m6(spark, sf_dir):
     run = costing_run(spark, sf_dir)
     results, _ = _register(spark, sf_dir)
-    controls = run.encounters.groupBy(RUN).agg(
-        F.when(F.count(F.lit(1)) > 0, "PASS").otherwise("FAIL").alias("control_status")
-    )
+    controls = _file_controls(spark, sf_dir).withColumn(RUN, F.lit(star.THE_RUN).cast("long"))
     return show(
         checks.readiness(
             results, quality.rule_catalogue(spark), controls, run.reconciliation

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from costweave import constants as K
 from costweave.operators import allocate, drivers, funding, patient, pools, recon, unallocated
-from costweave.operators.mapping import Mapping
+from costweave.operators.mapping import Mapping, refuse_overlaps
 from costweave.session import stage
 
 
@@ -38,6 +38,7 @@ class CostingRun:
 
     @cached_property
     def pools(self) -> DataFrame:
+        refuse_overlaps(self.mapping)
         return stage(pools.cost_pools(self.ledger, self.mapping), "cost_pool")
 
     @cached_property

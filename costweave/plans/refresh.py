@@ -183,6 +183,7 @@ def check(wh: Warehouse, run: int, costing: CostingRun) -> DataFrame:
     }
     for rule, (result, issues) in outcomes.items():
         slice_ = {RUN: run, "validation_rule_id": rule}
+        result = quality.with_missing(result, run, [rule])
         replace_slice(result, wh.path("dq.validation_result"), slice_)
         replace_slice(issues, wh.path("dq.issue_register"), slice_)
     return checks.readiness(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from costweave.functions.columns import count_when, safe_ratio, side_by_side
 from costweave.operators.quality import ISSUE_COLUMNS
-from costweave.schemas import MONEY, RUN
+from costweave.schemas import MONEY, RUN, TOTAL
 from costweave.session import lookup
 
 
@@ -170,15 +170,15 @@ def cost_tie_out(patient_cost: DataFrame, comparison: DataFrame) -> DataFrame:
     """Both facts hold the same encounters and the same cost."""
     left = patient_cost.agg(
         F.count(F.lit(1)).alias("patient_cost_rows"),
-        F.sum("total_patient_cost").cast(MONEY).alias("patient_cost_total"),
+        F.sum("total_patient_cost").cast(TOTAL).alias("patient_cost_total"),
     )
     right = comparison.agg(
         F.count(F.lit(1)).alias("abf_rows"),
-        F.sum("total_patient_cost").cast(MONEY).alias("abf_patient_cost_total"),
+        F.sum("total_patient_cost").cast(TOTAL).alias("abf_patient_cost_total"),
     )
     return side_by_side(left, right).withColumn(
         "difference",
-        (F.col("patient_cost_total") - F.col("abf_patient_cost_total")).cast(MONEY),
+        (F.col("patient_cost_total") - F.col("abf_patient_cost_total")).cast(TOTAL),
     )
 
 
@@ -186,7 +186,7 @@ def issue_totals(issues: DataFrame) -> DataFrame:
     return issues.agg(
         F.count(F.lit(1)).alias("issue_count"),
         F.sum(F.coalesce("financial_impact", F.lit(0).cast(MONEY)))
-        .cast(MONEY)
+        .cast(TOTAL)
         .alias("financial_impact"),
     )
 
@@ -201,7 +201,7 @@ def service_line_composition(costs: DataFrame) -> DataFrame:
         costs.groupBy(RUN, "service_line")
         .agg(
             F.count(F.lit(1)).alias("encounter_count"),
-            *[F.sum(c).cast(MONEY).alias(c) for c in [*parts, "total_patient_cost"]],
+            *[F.sum(c).cast(TOTAL).alias(c) for c in [*parts, "total_patient_cost"]],
         )
         .withColumns({c.replace("amount", "share"): safe_ratio(c, "total_patient_cost") for c in parts})
     )
@@ -210,7 +210,7 @@ def service_line_composition(costs: DataFrame) -> DataFrame:
 def activity_group_summary(costs: DataFrame) -> DataFrame:
     """Cost, volume and average cost per activity group."""
     return costs.groupBy(RUN, "activity_group_code").agg(
-        F.sum("total_patient_cost").cast(MONEY).alias("total_patient_cost"),
+        F.sum("total_patient_cost").cast(TOTAL).alias("total_patient_cost"),
         F.count(F.lit(1)).alias("encounter_count"),
         (F.sum("total_patient_cost") / F.count(F.lit(1))).cast(MONEY).alias("average_cost"),
     )
@@ -223,5 +223,5 @@ def high_cost_by_group(costs: DataFrame) -> DataFrame:
     return costs.groupBy(RUN, "care_type", "activity_group_code").agg(
         F.count(F.lit(1)).alias("encounter_count"),
         count_when(flagged).alias("high_cost_count"),
-        F.coalesce(F.sum(F.when(flagged, F.col(cost))), F.lit(0)).cast(MONEY).alias("high_cost_amount"),
+        F.coalesce(F.sum(F.when(flagged, F.col(cost))), F.lit(0)).cast(TOTAL).alias("high_cost_amount"),
     )

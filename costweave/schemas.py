@@ -7,6 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(19, 6)
+# sums of any number of rows; a pool's or month's amount is divided, so it leaves digits to the quotient
+TOTAL = T.DecimalType(38, 6)
+POOL_AMOUNT = T.DecimalType(25, 6)
 WEIGHT = T.DecimalType(12, 6)
 # rate = money / units keeps 19 decimals; it is rounded only when shown
 RATE = T.DecimalType(38, 19)

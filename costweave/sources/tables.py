@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from costweave.schemas import LINEAGE, RUN
 
 
+def partition_folder(column: str, value: object) -> str:
+    """``column=value`` with the characters that a folder name cannot hold escaped."""
+    special = re.compile(r"[\x00-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+    return f"{column}={special.sub(lambda m: f'%{ord(m[0]):02X}', str(value))}"
+
+
 def replace_run(df: DataFrame, path: str, run: int) -> None:
     """Make ``run``'s partition of the table hold exactly ``df``.
 
@@ -20,12 +28,18 @@ def replace_run(df: DataFrame, path: str, run: int) -> None:
 
 
 def replace_slice(df: DataFrame, path: str, slice_: Mapping[str, object]) -> None:
-    """Make one partition (run, or run and rule, ...) hold exactly ``df``."""
-    rows, folder = df, path
-    for column, value in slice_.items():
-        rows = rows.filter(F.col(column) == F.lit(value))
-        folder = f"{folder}/{column}={value}"
-    rows.drop(*slice_).write.mode("overwrite").parquet(folder)
+    """Make one partition (run, or run and rule, ...) hold exactly ``df``.
+
+    Rows that belong elsewhere are counted while writing; any of them is an error, as
+    the partition would state a key that they do not have.
+    """
+    folder = "/".join([path, *[partition_folder(c, v) for c, v in slice_.items()]])
+    inside = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in slice_.items()])
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.when(~inside, 1)).alias("foreign"))
+    watched.drop(*slice_).write.mode("overwrite").parquet(folder)
+    if foreign := seen.get["foreign"]:
+        raise ValueError(f"{foreign} rows do not belong to {dict(slice_)}; write it again without them")
 
 
 def append_new(

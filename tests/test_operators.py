@@ -26,6 +26,7 @@ from costweave.operators import (
     percentiles,
     pools,
     promote,
+    quality,
     recon,
     summaries,
     timeline,
@@ -126,10 +127,26 @@ def test_overlapping_rules_are_reported(spark):
             ("R3", "P", "C", "All", date(2025, 1, 1), date(2025, 12, 31), "Y"),
             ("R4", "P", "C", "All", date(2024, 1, 1), date(2025, 12, 31), "N"),
             ("R5", "Q", "C", "All", date(2024, 1, 1), date(2024, 6, 30), "Y"),
+            ("R6", "Q", "C", "Other", date(2024, 6, 1), date(2024, 7, 31), "Y"),
+            ("R7", "Q", "D", "All", date(2024, 6, 1), date(2024, 7, 31), "Y"),
         ],
         "allocation_rule_id string, cost_pool_code string, cost_category string, eligible_scope string, effective_from date, effective_to date, active_flag string",
     )
-    assert values(mapping.overlapping_rules(rules), "allocation_rule_id") == [("R2",)]
+    # a scope does not keep rules apart: the ledger meets both
+    assert values(mapping.overlapping_rules(rules), "allocation_rule_id") == [("R2",), ("R6",)]
+    dates = rules.filter("active_flag = 'Y'")
+    centres = inline(
+        spark,
+        [("W", "P", date(2024, 1, 1), date(2024, 6, 30)), ("W", "Q", date(2024, 7, 1), date(2024, 12, 31))],
+        "cost_centre_id string, cost_pool_code string, effective_from date, effective_to date",
+    )
+    apart = mapping.Mapping(cost_centre=centres, account=None, rule=dates.filter("allocation_rule_id IN ('R1', 'R3', 'R7')"))
+    mapping.refuse_overlaps(apart)
+    with pytest.raises(ValueError, match="allocation rules overlap"):
+        mapping.refuse_overlaps(mapping.Mapping(cost_centre=centres, account=None, rule=dates))
+    twice = mapping.Mapping(cost_centre=centres.union(centres.limit(1)), account=None, rule=apart.rule)
+    with pytest.raises(ValueError, match="cost centres overlap"):
+        mapping.refuse_overlaps(twice)
 
 
 # --- allocation -------------------------------------------------------------------
@@ -323,11 +340,68 @@ def test_replacing_a_run_with_nothing_clears_it(spark, tmp_path):
     path = str(tmp_path / "t")
     df = inline(spark, [(1, "a"), (2, "b")], "load_run_id long, v string")
     for run in (1, 2):
-        tables.replace_run(df, path, run)
+        tables.replace_run(df.filter(F.col("load_run_id") == run), path, run)
     tables.replace_run(df.filter("v = 'none'"), path, 1)
     assert values(spark.read.schema(df.schema).parquet(path), "v") == [("b",)]
 
 
+def test_replacing_a_slice_refuses_foreign_rows_and_escapes_its_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = inline(spark, [(1, "a/b:c%", "x"), (2, "a/b:c%", "y")], "load_run_id long, rule string, v string")
+    with pytest.raises(ValueError, match="1 rows do not belong"):
+        tables.replace_slice(df, path, {"load_run_id": 1, "rule": "a/b:c%"})
+    tables.replace_slice(df.filter("v = 'x'"), path, {"load_run_id": 1, "rule": "a/b:c%"})
+    assert values(spark.read.schema(df.schema).parquet(path)) == [(1, "a/b:c%", "x")] or values(
+        spark.read.parquet(path), "rule", "v"
+    ) == [("a/b:c%", "x")]
+
+
+def test_totals_beyond_thirteen_digits(spark):
+    big = Decimal("9000000000000.000000")
+    rows = [("COST_POOL", 1, date(2024, m, 1), *[big if c == "gl_amount" else Decimal(0) for c in recon.AMOUNTS]) for m in (1, 2, 3)]
+    ddl = "reconciliation_level string, load_run_id long, reporting_month date, " + ", ".join(
+        f"{c} decimal(19,6)" for c in recon.AMOUNTS
+    )
+    total = recon.reconcile_total(inline(spark, rows, ddl)).first()
+    assert total["gl_amount"] == 3 * big == total["reconciliation_difference"]
+    ledger = inline(spark, [(date(2024, 1, 1), big)] * 3, "reporting_month date, signed_amount decimal(19,6)")
+    assert pools.ledger_totals(ledger).first()["signed_gl_total"] == 3 * big
+
+
+def test_readiness_fails_closed(spark):
+    rules = inline(
+        spark, [("A", "Y", "Y"), ("B", "Y", "Y"), ("C", "N", "Y"), ("D", "Y", "N")],
+        "validation_rule_id string, blocking_flag string, active_flag string",
+    )
+    result_ddl, control_ddl = "load_run_id long, validation_rule_id string, validation_status string", "load_run_id long, control_status string"
+    total = inline(spark, [(1, "TOTAL", "PASS")], "load_run_id long, reconciliation_level string, reconciliation_status string")
+    both = [(1, "A", "PASS"), (1, "B", "PASS"), (1, "C", "REVIEW"), (1, "D", "FAIL")]
+
+    def flag(results, controls):
+        frames = inline(spark, results, result_ddl), inline(spark, controls, control_ddl)
+        return checks.readiness(frames[0], rules, frames[1], total).first()["publish_flag"]
+
+    assert flag(both, [(1, "PASS")]) == "Y"
+    assert flag(both[1:], [(1, "PASS")]) == "N"
+    assert flag([(1, "A", "FAIL"), *both[1:]], [(1, "PASS")]) == "N"
+    assert flag(both, [(2, "PASS")]) == "N"
+    assert flag(both, [(1, "PASS"), (1, "FAIL")]) == "N"
+    assert flag([(2, "A", "PASS")], [(1, "PASS")]) == "N"
+    empty = inline(spark, both, result_ddl).filter("false")
+    padded = quality.with_missing(
+        empty.selectExpr(*[f"CAST(NULL AS {t}) AS {c}" for c, t in zip(quality.RESULT_COLUMNS, ("LONG", "STRING", "LONG", "LONG", "DECIMAL(38,6)", "STRING", "STRING"))]),
+        1, ["RU_NOT_PROMOTED"],
+    )
+    assert values(padded, "validation_rule_id", "validation_status") == [("RU_NOT_PROMOTED", "PASS")]
+
+
+def test_two_factors_for_one_adjustment_are_refused(spark):
+    rules = inline(spark, [("REMOTE", "1.1"), ("REMOTE", "1.1"), ("REMOTE", "1.2")], "adjustment_code string, factor string")
+    with pytest.raises(ValueError, match="REMOTE"):
+        funding.adjustment_factors(rules)
+    assert funding.adjustment_factors(rules.limit(2))["REMOTE"] == Decimal("1.100000")
+
+
 def test_append_new_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "load_run_id long, source_file_name string, source_row_number long, v string"
