@@ -45,7 +45,7 @@ def monthly_variance(costs: DataFrame, by: list[str]) -> DataFrame:
                 "prior_unit_cost": before("unit_cost"),
             }
         )
-        .withColumn("cost_change", change.cast(TOTAL))
+        .withColumn("cost_change", change.cast(POOL_AMOUNT))
         .withColumn("cost_change_share", share)
         .withColumn("count_change", F.col("encounter_count") - F.col("prior_count"))
         .withColumn(
@@ -72,7 +72,10 @@ def unallocated_materiality(unallocated: DataFrame, monthly_ledger: DataFrame) -
     labels = F.array(*[F.lit(v) for v in ("Low", *[level[0] for level in K.UNALLOCATED_LEVELS])])
     return (
         amounts.join(monthly_ledger, [RUN, "reporting_month"], "left")
-        .withColumn("ledger_share", safe_ratio("unallocated_amount", "signed_gl_total"))
+        .withColumn(
+            "ledger_share",
+            safe_ratio(*[F.col(c).cast(POOL_AMOUNT) for c in ("unallocated_amount", "signed_gl_total")]),
+        )
         .withColumn(
             "materiality",
             F.element_at(
