@@ -10,10 +10,13 @@ their weighted Jaccard similarity. Points later than the time by which a text ha
 filled its slots are never made, which is what makes it quick.
 
 ``BANDS`` bands of ``ROWS`` slots give candidates: at similarity 0.8 a pair shares none
-with probability 3e-6. In a bucket everybody is compared with one leader, so copies
-are never expanded into all pairs. Links make classes; members of one bucket that
-are still in different classes are then compared too, so no candidate that could
-join two classes is left out. Every link is verified by exact multiset overlap.
+with probability 3e-6. In a bucket everybody is compared with one leader, first the one
+with the smallest key, then others of other classes, so copies are never expanded into
+all pairs. Links make classes. What is then still in one bucket but in different
+classes is compared exactly: in small buckets pair by pair, in larger ones by products
+of incidence matrices, block by block, of which only links leave the task. So no
+candidate that could join two classes is left out. Every link is verified by exact
+multiset overlap.
 
 Equal texts are one node from the start (a hash of 64 bits names a text).
 
@@ -41,8 +44,12 @@ THRESHOLD = 0.8
 ROWS = 4
 BANDS = 24
 SLOTS = ROWS * BANDS
-#: Leaders a mixed bucket is compared with before its classes are compared member by member.
-LEADERS = 2
+#: Rounds in which members of a bucket are compared with one leader.
+ROUNDS = 3
+#: Buckets of up to so many members are then compared pair by pair, larger ones in blocks.
+SMALL = 24
+BLOCK = 512
+FEATURES = 4096
 
 _STEP = np.uint64(0xD1342543DE82EF95)
 _UNIT = 2.0**-53
@@ -159,34 +166,158 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(lambda batches: _verified(batches, threshold), "a long, b long, linked boolean")
 
 
-def _leader_pairs(buckets: DataFrame, salt: int) -> DataFrame:
-    """Every member of a bucket with the bucket's leader, each pair once.
+def _oldest_first(buckets: DataFrame) -> DataFrame:
+    """Every member of a bucket with the member that has the smallest key, each pair once.
+
+    Copies mostly follow their original, so this links most of what is linked.
+    """
+    first = buckets.groupBy("band").agg(
+        F.min(F.struct("key", "node")).alias("least"), F.count("*").alias("members")
+    )
+    led = first.where("members > 1").select("band", F.col("least.node").alias("leader"))
+    return _each_once(buckets.join(led, "band"))
+
+
+def _leaders_of_others(mixed: DataFrame, salt: int) -> DataFrame:
+    """Every member of a bucket of several classes with one leader of another class.
 
     The leader is the smallest node after flipping bits by the bucket's own hash: another
-    one in every band, found by a sum that combines before the shuffle.
+    one in every band, found by a minimum that combines before the shuffle.
     """
     flip = F.xxhash64(F.col("band"), F.lit(salt))
-    leaders = buckets.groupBy("band").agg(
-        F.min(F.col("node").bitwiseXOR(flip)).alias("least"), F.count("*").alias("members")
+    leaders = mixed.groupBy("band").agg(
+        F.min(F.struct(F.col("node").bitwiseXOR(flip).alias("order"), "node", F.col("label").alias("other"))).alias("l")
     )
+    led = leaders.select("band", F.col("l.node").alias("leader"), F.col("l.other").alias("other"))
+    return _each_once(mixed.join(led, "band").where("label != other"))
+
+
+def _each_once(led: DataFrame) -> DataFrame:
     return (
-        buckets.join(leaders.where("members > 1"), "band")
-        .select("node", F.col("least").bitwiseXOR(flip).alias("leader"))
-        .where("node != leader")
+        led.where("node != leader")
         .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         .distinct()
     )
 
 
+def _texts_in_company(read: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``node, text``, once each, of the nodes that share a bucket with another one."""
+    shared = buckets.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
+    named = buckets.join(shared, "band", "left_semi").select("node").distinct()
+    wanted = nodes.join(named, "node", "left_semi").select(
+        F.col("node").alias("_node"), F.col("least_key").alias("_key")
+    )
+    same = (F.col("node") == F.col("_node")) & F.col("key").eqNullSafe(F.col("_key"))
+    return read.join(wanted, same).select("node", "text").dropDuplicates(["node"])
+
+
 def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with their class, of buckets that hold several classes."""
-    classed = buckets.join(labels, "node", "left").select(
+    classed = buckets.select("band", "node").join(labels, "node", "left").select(
         "band", "node", F.coalesce("label", "node").alias("label")
     )
     mixed = classed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     return classed.join(mixed.where("low < high").select("band"), "band")
 
 
+def _pairs_across(mixed: DataFrame) -> DataFrame:
+    """Pairs of different classes in buckets of at most ``SMALL`` members: so many for each at most."""
+    sizes = mixed.groupBy("band").agg(F.count("*").alias("members"))
+    small = mixed.join(sizes.where(F.col("members") <= SMALL).select("band"), "band")
+    other = small.select("band", F.col("node").alias("b"), F.col("label").alias("other"))
+    return (
+        small.join(other, "band")
+        .where("label < other")
+        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+        .distinct()
+    )
+
+
+def _links_in_blocks(mixed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` between classes in the larger buckets, without making their pairs.
+
+    A bucket is dealt into blocks of about ``BLOCK`` texts. Two blocks meet in a task, which
+    multiplies their incidence matrices and returns only what reaches the threshold.
+    """
+    sizes = mixed.groupBy("band").agg(F.count("*").alias("members"))
+    large = mixed.join(sizes.where(F.col("members") > SMALL), "band").withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("int")
+    )
+    own = F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int")
+    met = large.withColumn("own", own).select(
+        "band", "node", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
+    )
+    placed = met.select(
+        "band", "node", "label", "own", F.least("own", "with").alias("low"), F.greatest("own", "with").alias("high")
+    ).join(texts, "node")
+    return (
+        placed.groupBy("band", "low", "high")
+        .applyInArrow(lambda t: _block_links(t, threshold), "a long, b long")
+        .distinct()
+    )
+
+
+def _block_links(rows: pa.Table, threshold: float) -> pa.Table:
+    label = rows.column("label").to_numpy()
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if (label == label[0]).all():
+        return none
+    shingles, weights, of = multisets(rows.column("text"))
+    # the minimum of counts is a product once a shingle that occurs c times is c features
+    level = np.arange(weights.sum()) - np.repeat(np.cumsum(weights) - weights, weights)
+    feature = mix(np.repeat(shingles, weights) + level.astype(np.uint64) * _STEP)
+    row = np.repeat(of, weights)
+    size = np.bincount(row, minlength=rows.num_rows)
+    _, number, times = np.unique(feature, return_inverse=True, return_counts=True)
+    # a feature of one text is shared by none
+    kept = times[number] > 1
+    number = np.unique(number[kept], return_inverse=True)[1]
+    row = row[kept]
+    order = np.argsort(number, kind="stable")
+    number, row = number[order], row[order]
+    left = np.flatnonzero(rows.column("own").to_numpy() == rows.column("low")[0].as_py())
+    right = np.flatnonzero(rows.column("own").to_numpy() == rows.column("high")[0].as_py())
+    shared = np.zeros((left.size, right.size), np.float64)
+    for start in range(0, int(number[-1]) + 1 if number.size else 0, FEATURES):
+        a, z = np.searchsorted(number, [start, start + FEATURES])
+        part = np.zeros((rows.num_rows, FEATURES), np.float32)
+        part[row[a:z], number[a:z] - start] = 1
+        shared += part[left] @ part[right].T
+    either = size[left][:, None] + size[right][None, :] - shared
+    linked = (shared >= threshold * either) & (label[left][:, None] != label[right][None, :]) & (shared > 0)
+    i, j = np.nonzero(linked)
+    node = rows.column("node").to_numpy()
+    x, y = node[left[i]], node[right[j]]
+    return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
+
+
+def _with_links(links: DataFrame | None, labels: DataFrame | None, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and class labels with the (stored) links of another round."""
+    if links is None:
+        return more, components(more)
+    if more.isEmpty():
+        return links, labels
+    return links.unionAll(more), stage(_merged(labels, more), "labels")
+
+
+def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """``labels`` after more links: only the classes that they join are looked at again."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}"))
+    lifted = (
+        more.join(of("a"), "a", "left")
+        .join(of("b"), "b", "left")
+        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+        .where("a != b")
+    )
+    joined = components(lifted).select(F.col("node").alias("label"), F.col("label").alias("merged"))
+    new = joined.select(F.col("label").alias("node"), F.col("merged").alias("label"))
+    return (
+        labels.join(joined, "label", "left")
+        .select("node", F.coalesce("merged", "label").alias("label"))
+        .unionByName(new.join(labels, "node", "left_anti"))
+    )
+
+
 def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """``key, class_id, n_copies, n_links, node, label``: the class of every row.
 
@@ -203,45 +334,25 @@ def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD)
     )
     # equal texts have equal bands, so they may meet before the shuffle
     buckets = stage(
-        worded.select("node", F.explode("bands").alias("band")).distinct(), "buckets"
+        worded.select("node", "key", F.explode("bands").alias("band"))
+        .groupBy("node", "band")
+        .agg(F.min("key").alias("key")),
+        "buckets",
     )
-    found = None
-    links = None
-    labels = None
-    texts = None
-    for round_number in range(LEADERS + 1):
-        if round_number == 0:
-            pairs = _leader_pairs(buckets, 0)
+    texts = stage(_texts_in_company(read, nodes, buckets), "texts")
+    links = labels = None
+    for round_number in range(ROUNDS):
+        if links is None:
+            pairs = _oldest_first(buckets)
         else:
-            mixed = stage(_mixed(buckets, labels), "mixed")
-            if round_number < LEADERS:
-                pairs = _leader_pairs(mixed, round_number)
-            else:
-                other = mixed.select("band", F.col("node").alias("b"), F.col("label").alias("other"))
-                pairs = (
-                    mixed.join(other, "band")
-                    .where("label < other")
-                    .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-                    .distinct()
-                )
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
+            pairs = _leaders_of_others(stage(_mixed(buckets, labels), "mixed"), round_number)
         pairs = stage(pairs, "pairs")
-        if texts is None:
-            # pairs of later rounds lie in the same buckets, so their texts are among these
-            shared = buckets.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-            named = buckets.join(shared, "band", "left_semi").select("node").distinct()
-            wanted = nodes.join(named, "node", "left_semi").select("node", F.col("least_key").alias("key"))
-            texts = stage(
-                read.join(wanted.withColumnRenamed("node", "_node").withColumnRenamed("key", "_key"),
-                          (F.col("node") == F.col("_node")) & F.col("key").eqNullSafe(F.col("_key")))
-                .select("node", "text")
-                .dropDuplicates(["node"]),
-                "texts",
-            )
-        checked = stage(_verify(pairs, texts, threshold), "checked")
-        found = checked if found is None else found.unionAll(checked)
-        links = found.where("linked").select("a", "b")
-        labels = components(links)
+        more = stage(_verify(pairs, texts, threshold).where("linked"), "linked").select("a", "b")
+        links, labels = _with_links(links, labels, more)
+    mixed = stage(_mixed(buckets, labels), "mixed")
+    small = _verify(_pairs_across(mixed), texts, threshold).where("linked").select("a", "b")
+    large = _links_in_blocks(mixed, texts, threshold)
+    links, labels = _with_links(links, labels, stage(small.unionAll(large).distinct(), "linked"))
     ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     classed = (

@@ -490,7 +490,10 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs(off.mean()) < 0.01 and np.sqrt((off**2).mean()) < 0.05
 
 
-def test_classes_equal_all_pairs(spark):
+@pytest.mark.parametrize("settings", [{}, {"SMALL": 2, "BLOCK": 3, "ROUNDS": 1, "FEATURES": 64}])
+def test_classes_equal_all_pairs(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(neardup, name, value)
     rng = random.Random(11)
     texts = []
     for base in range(25):
