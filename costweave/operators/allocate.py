@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
-from costweave.functions.columns import quoted
+from costweave.functions.columns import quoted, stacked
 from costweave.operators.drivers import DRIVER_KEY, ENCOUNTER_MONTH
 from costweave.operators.pools import POOL_KEY
 from costweave.schemas import MONEY, RUN, TOTAL
@@ -114,6 +114,54 @@ def allocated_by_pool(
     reached = allocations.groupBy(*keys).agg(
         F.sum("encounter_driver_units").alias("reached_units")
     )
+    return given_away(rates, reached, keys)
+
+
+def reached_units(
+    monthly_rates: DataFrame,
+    resource: DataFrame,
+    encounters: DataFrame,
+    measures=K.MEASURE_POOLS,
+    counts=K.COUNT_POOLS,
+) -> DataFrame:
+    """Units that met a rate, per driver key, summed from the rows that are priced.
+
+    Measures stay columns until the months are summed, as in ``indirect_by_encounter``.
+    """
+    month = [RUN, "reporting_month"]
+    names = ["cost_pool_code", "allocation_driver", "reached_units"]
+
+    def summed(rows: DataFrame, parts: list[tuple[str, str, str]]) -> DataFrame:
+        """``parts`` holds pool, driver and the units of a row, null where not valid."""
+        sums = [
+            F.expr(f"CAST(SUM(IF({pool} IS NOT NULL, {units}, NULL)) AS DECIMAL(38,6)) AS units_{pool}")
+            for pool, _, units in parts
+        ]
+        reshaped = stacked([[quoted(pool), quoted(driver), f"units_{pool}"] for pool, driver, _ in parts], names)
+        return rows.groupBy(*month).agg(*sums).select(*month, reshaped).filter("reached_units IS NOT NULL")
+
+    used = resource.select(
+        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *measures
+    )
+    counted = encounters.select(
+        RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", "care_type"
+    )
+    return summed(
+        lookup_join(used, monthly_rates.drop(*counts), month, "encounter_id"),
+        [(pool, m, f"IF({m} > 0, CAST({m} AS DECIMAL(19,6)), NULL)") for m, pool in measures.items()],
+    ).unionByName(
+        summed(
+            lookup_join(counted, monthly_rates.select(*month, *counts), month, "encounter_id"),
+            [
+                (pool, K.COUNT_DRIVER, "1" if care is None else f"IF(care_type = {quoted(care)}, 1, NULL)")
+                for pool, care in counts.items()
+            ],
+        )
+    )
+
+
+def given_away(rates: DataFrame, reached: DataFrame, keys: list[str] = DRIVER_KEY) -> DataFrame:
+    """Per pool its rate times the units it reached."""
     return rates.join(reached, keys).select(
         *POOL_KEY,
         "costing_treatment",

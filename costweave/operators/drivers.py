@@ -146,14 +146,18 @@ def driver_summary(drivers: DataFrame) -> DataFrame:
 def within_scope(
     drivers: DataFrame, encounters: DataFrame, rules: DataFrame, all_scope: str = "All"
 ) -> DataFrame:
-    """Drivers whose encounter lies in the eligible scope of an active rule.
+    """Drivers whose encounter lies in the eligible scope of a rule of their month.
 
     A scope is a ``|`` list of care types or service lines. Rules are joined on
-    pool and driver; drivers of pools without a rule are kept.
+    pool, driver and month, as the ledger joins them; of several categories any may
+    admit a driver. Drivers of pools without a rule in their month are kept.
     """
+    month = F.col("reporting_month").between(F.col("effective_from"), F.col("effective_to"))
+    pairs = drivers.select("cost_pool_code", "allocation_driver", "reporting_month").distinct()
     scopes = lookup(
-        rules.filter(F.col("active_flag") == "Y")
-        .groupBy("cost_pool_code", "allocation_driver")
+        pairs.join(rules.filter(F.col("active_flag") == "Y"), ["cost_pool_code", "allocation_driver"])
+        .filter(month)
+        .groupBy("cost_pool_code", "allocation_driver", "reporting_month")
         .agg(F.flatten(F.collect_set(F.split("eligible_scope", r"\|"))).alias("scopes"))
     )
     attributes = encounters.select(RUN, "encounter_id", "care_type", "service_line")
@@ -165,7 +169,7 @@ def within_scope(
         | F.array_contains(scope, F.col("service_line"))
     )
     return (
-        drivers.join(scopes, ["cost_pool_code", "allocation_driver"], "left")
+        drivers.join(scopes, ["cost_pool_code", "allocation_driver", "reporting_month"], "left")
         .join(attributes, [RUN, "encounter_id"])
         .filter(in_scope)
         .select(*drivers.columns)

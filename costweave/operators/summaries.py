@@ -69,3 +69,8 @@ def frequencies(df: DataFrame, *columns: str) -> DataFrame:
     return counts.join(totals, "attribute").select(
         "attribute", "value", "n", (F.col("n") / F.col("total")).alias("share")
     )
+
+
+def ordered(summary: DataFrame, *keys: str, descending: tuple[str, ...] = ()) -> DataFrame:
+    """A summary in the order it is presented. For aggregates, not for facts."""
+    return summary.orderBy(*[F.col(k).desc() if k in descending else F.col(k).asc() for k in keys])

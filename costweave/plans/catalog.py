@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave import constants as K
+from costweave.functions.columns import blank_to_null
 from costweave.operators import (
     allocate,
     checks,
@@ -683,11 +684,14 @@ def d16d(spark, sf_dir):
     f"""SELECT cost_pool_code, allocation_driver, CAST(COUNT(*) AS BIGINT) AS driver_rows,
                {shown('SUM(driver_units)')} AS driver_units
         FROM drv JOIN enc USING (encounter_id)
-        LEFT JOIN (SELECT DISTINCT cost_pool_code, allocation_driver, eligible_scope FROM rule) r
-          USING (cost_pool_code, allocation_driver)
-        WHERE eligible_scope IS NULL OR eligible_scope = 'All'
-           OR list_contains(string_split(eligible_scope, '|'), care_type)
-           OR list_contains(string_split(eligible_scope, '|'), service_line)
+        WHERE NOT EXISTS (SELECT 1 FROM rule r WHERE r.cost_pool_code = drv.cost_pool_code
+              AND r.allocation_driver = drv.allocation_driver
+              AND drv.reporting_month BETWEEN r.effective_from AND r.effective_to)
+           OR EXISTS (SELECT 1 FROM rule r WHERE r.cost_pool_code = drv.cost_pool_code
+              AND r.allocation_driver = drv.allocation_driver
+              AND drv.reporting_month BETWEEN r.effective_from AND r.effective_to
+              AND (r.eligible_scope = 'All' OR list_contains(string_split(r.eligible_scope, '|'), care_type)
+                   OR list_contains(string_split(r.eligible_scope, '|'), service_line)))
         GROUP BY ALL""",
 )
 def m5(spark, sf_dir):
@@ -1886,6 +1890,32 @@ def k22s(spark, sf_dir):
     return checks.status_counts(report)
 
 
+@query(
+    "g1_ordered_pool_summary",
+    f"""SELECT load_run_id, pool_status, CAST(COUNT(*) AS BIGINT) AS pool_count,
+               {shown('SUM(source_gl_amount)')} AS source_gl_amount
+        FROM pool GROUP BY ALL ORDER BY load_run_id, pool_status""",
+)
+def g1(spark, sf_dir):
+    summary = summaries.ordered(pools.pool_summary(costing_run(spark, sf_dir).pools), RUN, "pool_status")
+    return show(summary)
+
+
+@query(
+    "b11_blank_optional_fields",
+    """SELECT CAST(COUNT(*) AS BIGINT) AS row_count,
+              CAST(COUNT(NULLIF(regexp_replace(o_orderpriority, '^[0-9]-(NOT SPECIFIED)?', ''), '')) AS BIGINT) AS stated_count
+       FROM orders""",
+)
+def b11(spark, sf_dir):
+    """The priority as an optional description: what is not specified is blank, then missing."""
+    stated = F.regexp_replace("o_orderpriority", "^[0-9]-(NOT SPECIFIED)?", "")
+    orders = star.table(spark, sf_dir, "orders").select(blank_to_null(stated).alias("description"))
+    return orders.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("description").alias("stated_count")
+    )
+
+
 @query(
     "m4_overlapping_periods",
     f"""SELECT encounter_id AS allocation_rule_id, patient_id AS cost_pool_code, {d('admission_date')} AS effective_from,

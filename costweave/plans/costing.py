@@ -102,8 +102,17 @@ class CostingRun:
 
     @cached_property
     def allocated(self) -> DataFrame:
-        """Amount every pool gave away, both stages."""
-        return allocate.allocated_by_pool(self.rates, self.indirect_allocations).unionByName(
+        """Amount every pool gave away, both stages.
+
+        From the allocation rows where they were stored; else from units that are
+        summed as the rows are priced, which unpivots nothing.
+        """
+        if "indirect_allocations" in self.__dict__:
+            indirect = allocate.allocated_by_pool(self.rates, self.indirect_allocations)
+        else:
+            reached = allocate.reached_units(self.monthly_rates, self.resource, self.encounters)
+            indirect = allocate.given_away(self.rates, reached)
+        return indirect.unionByName(
             allocate.allocated_by_pool(self.overhead_rates, self.overhead_allocations)
         )
 

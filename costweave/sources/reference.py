@@ -22,6 +22,11 @@ def read_reference(spark: SparkSession, name: str, folder: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows win on ``keys``; rows only the target has are kept."""
+    """Source rows win on ``keys``; rows only the target has are kept.
+
+    A key that the source repeats is an error: which row should win is not said.
+    """
+    if repeated := source.groupBy(*keys).count().where("count > 1").select(*keys).head():
+        raise ValueError(f"the source repeats the key {tuple(repeated)}")
     kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(source)
