@@ -150,9 +150,11 @@ def within_scope(
 
     A scope is a ``|`` list of care types or service lines. Rules are joined on
     pool, driver and month, as the ledger joins them; of several categories any may
-    admit a driver. Drivers of pools without a rule in their month are kept.
+    admit a driver. Drivers of pools without a rule in their month are kept. Rules
+    without dates hold in every month.
     """
-    month = F.col("reporting_month").between(F.col("effective_from"), F.col("effective_to"))
+    dated = {"effective_from", "effective_to"} <= set(rules.columns)
+    month = F.col("reporting_month").between(F.col("effective_from"), F.col("effective_to")) if dated else F.lit(True)
     pairs = drivers.select("cost_pool_code", "allocation_driver", "reporting_month").distinct()
     scopes = lookup(
         pairs.join(rules.filter(F.col("active_flag") == "Y"), ["cost_pool_code", "allocation_driver"])

@@ -9,7 +9,7 @@ from costweave import constants as K
 from costweave.functions.columns import describe, inline
 from costweave.operators.mapping import Mapping, effective_join
 from costweave.operators.pools import POOL_KEY
-from costweave.schemas import MEASURES, MONEY, RUN, TOTAL
+from costweave.schemas import MEASURES, MONEY, POOL_AMOUNT, RUN, TOTAL
 
 RESULT_COLUMNS = [
     RUN,
@@ -98,6 +98,8 @@ def _issues(df: DataFrame, rule: str, entity: str, **columns: Column) -> DataFra
         "recommended_owner": F.lit(owner),
         "recommended_action": F.lit(action),
     }
+    # one type for all rules: their slices are files of one table
+    columns = {**columns, "financial_impact": columns["financial_impact"].cast(POOL_AMOUNT)}
     values = {**fixed, **columns}
     return df.select(*[values.get(c, F.col(c)).alias(c) for c in ISSUE_COLUMNS])
 

@@ -268,6 +268,10 @@ def test_scope_limits_drivers(spark):
     )
     kept = values(drivers.within_scope(ds, encounters, rules), "cost_pool_code", "encounter_id")
     assert kept == [("N", "A"), ("N", "B"), ("W", "A"), ("Z", "A"), ("Z", "B")]
+    # an expired rule neither admits nor keeps out
+    dated = rules.withColumns({"effective_from": F.lit(date(2020, 1, 1)), "effective_to": F.when(F.col("cost_pool_code") == "W", F.lit(date(2020, 6, 30))).otherwise(F.lit(date(2999, 1, 1)))})
+    kept = values(drivers.within_scope(ds, encounters, dated), "cost_pool_code", "encounter_id")
+    assert kept == [("N", "A"), ("N", "B"), ("W", "A"), ("W", "B"), ("Z", "A"), ("Z", "B")]
 
 
 def test_overhead_without_denominator_is_optional(spark):
