@@ -109,17 +109,17 @@ class Deal:
         return np.array([-(-(b << bits) // self.buckets) for b in range(self.buckets + 1)], np.uint64)
 
     def pack(self, names: np.ndarray, start: np.uint64, order: int) -> bytes:
-        # bytes of equal weight side by side: the names are sorted, so they compress
+        # the names are sorted: gaps are short, and bytes of equal weight side by side compress
+        gaps = np.diff(names, prepend=start)
         width = 8 if order == 1 else _BITS // 8
-        raw = np.ascontiguousarray(names - start).view(np.uint8).reshape(-1, 8)
-        return raw[:, :width].T.tobytes()
+        return np.ascontiguousarray(gaps).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
     def unpack(self, packed: bytes, start: np.uint64, order: int) -> np.ndarray:
         width = 8 if order == 1 else _BITS // 8
         planes = np.frombuffer(packed, np.uint8).reshape(width, -1)
         raw = np.zeros((planes.shape[1], 8), np.uint8)
         raw[:, :width] = planes.T
-        return raw.view(np.uint64).reshape(-1) + start
+        return np.cumsum(raw.view(np.uint64).reshape(-1)) + start
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
