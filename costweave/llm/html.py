@@ -3,10 +3,11 @@
 A page is cut into blocks of text, each with the path of block-level tags from the
 root to it. For every path the length of its text and its punctuation are summed
 over its blocks and divided by their number; along the page the ratios are
-smoothed, multiplied and weakened by the share of linked text, and paths that
-reach a part of the page's spread are content. The smallest element that holds
-most of the content is the article; its blocks are kept, so short paragraphs and
-headings stay, save those in parts that are named as menus, adverts and the like.
+smoothed, multiplied and weakened by the share of linked text, and paths whose mean
+reaches a part of the page's spread are content. That is done twice. The smallest
+elements that hold most of what the first pass found weigh as a further signal in
+the second, so short paragraphs, lists and headings beside the content stay; an
+<article> around them weighs less, and by itself neither <article> nor <main> counts.
 
 Every page is one row: nothing is shuffled.
 
@@ -29,8 +30,15 @@ from pyspark.sql import types as T
 
 SMOOTHING = (0.05, 0.25, 0.4, 0.25, 0.05)
 THRESHOLD = 0.2
+# a content path reaches this part of the highest ratio, too
+LEAST = 0.05
 MOST = 0.8
-LINKED = 0.6
+PART = 0.15
+# what the place of a block adds to its ratio: inside an element that holds the content, or in the article around it
+IN_HOME = 1000.0
+IN_ARTICLE = 10.0
+# what a path loses when all its text is linked
+LINKED = 0.95
 
 # Elements by their role.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "title",
@@ -89,10 +97,17 @@ class _Open:
     dropped: bool
 
 
+def _is_named(name: str, value: str) -> bool:
+    # an article may carry the names of its subjects: there a name counts where it stands first
+    if name == "article":
+        return any(BOILERPLATE_NAMES.match(token) for token in value.split())
+    return bool(BOILERPLATE_NAMES.search(value))
+
+
 def _is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
     if name in SKIPPED or (name in BOILERPLATE and not (name == "header" and inside_article)):
         return True
-    if name in ("html", "body", "article", "main") or len(attributes) < 3:
+    if name in ("html", "body", "main") or len(attributes) < 3:
         return False
     for label, value in _LABEL.findall(attributes):
         label, value = label.lower(), value.strip("\"'").lower()
@@ -102,7 +117,7 @@ def _is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
             return True
         if label == "role" and value in BOILERPLATE_ROLES:
             return True
-        if label in ("id", "class") and BOILERPLATE_NAMES.search(value):
+        if label in ("id", "class") and _is_named(name, value):
             return True
     return False
 
@@ -196,18 +211,22 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
-def _ratios(page_blocks: list[Block]) -> np.ndarray:
-    """The fused, smoothed ratio of every block's path."""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for b in page_blocks:
-        s = sums.setdefault(b.names, [0, 0, 0, 0])
-        s[0] += len(b.text)
-        s[1] += len(PUNCTUATION.findall(b.text))
-        s[2] += min(b.linked, len(b.text))
-        s[3] += 1
-    text = np.array([sums[b.names][0] / sums[b.names][3] for b in page_blocks])
-    marks = np.array([(sums[b.names][1] + 1) / sums[b.names][3] for b in page_blocks])
-    free = np.array([1 - sums[b.names][2] / sums[b.names][0] for b in page_blocks])
+def _paths(page_blocks: list[Block], *apart: np.ndarray) -> np.ndarray:
+    """The number of every block's path; ``apart`` tells paths of one name from each other."""
+    number: dict[tuple, int] = {}
+    keys = [(b.names, *(x[i] for x in apart)) for i, b in enumerate(page_blocks)]
+    return np.array([number.setdefault(k, len(number)) for k in keys])
+
+
+def _ratios(page_blocks: list[Block], of: np.ndarray) -> np.ndarray:
+    """The fused, smoothed ratio of every block's path, ``of`` being its number."""
+    size = np.array([len(b.text) for b in page_blocks])
+    count = np.bincount(of)
+    total = np.bincount(of, size)
+    text = (total / count)[of]
+    marks = ((np.bincount(of, [len(PUNCTUATION.findall(b.text)) for b in page_blocks]) + 1) / count)[of]
+    linked = np.bincount(of, np.minimum([b.linked for b in page_blocks], size))
+    free = (1 - LINKED * linked / total)[of]
     kernel = np.array(SMOOTHING)
 
     def smooth(x):
@@ -221,44 +240,64 @@ def _ratios(page_blocks: list[Block]) -> np.ndarray:
     return smooth(text) * smooth(marks) * free
 
 
+def _means(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For every block the mean of its path."""
+    return (np.bincount(of, values) / np.bincount(of))[of]
+
+
+def _homes(found: list[Block], content: np.ndarray) -> set[int]:
+    """The smallest elements that together hold most of the content."""
+    leaves = {b.path[-1] for b in found if b.path}
+    start = [b for b, c in zip(found, content) if c]
+    whole = sum(len(b.text) for b in start)
+    homes: set[int] = set()
+    open_: list[tuple[int | None, int, list[Block]]] = [(None, 0, start)]
+    while open_:
+        home, depth, within = open_.pop()
+        inside: dict[int, list[Block]] = {}
+        for b in within:
+            if len(b.path) > depth:
+                inside.setdefault(b.path[depth], []).append(b)
+        size = {e: sum(len(b.text) for b in own) for e, own in inside.items()}
+        # a block of text is no container: its neighbours belong to it
+        parts = [e for e in size if size[e] >= PART * whole and e not in leaves]
+        if parts and sum(size[e] for e in parts) >= MOST * sum(len(b.text) for b in within):
+            open_ += [(e, depth + 1, inside[e]) for e in parts]
+        elif home is not None:
+            homes.add(home)
+    return homes
+
+
+def _places(found: list[Block], content: np.ndarray) -> np.ndarray:
+    """The weight of every block by where it stands to the content that was found first."""
+    homes = _homes(found, content)
+    articles = [[e for e, name in zip(b.path, b.names) if name == "article"] for b in found]
+    holding = {e for own, c in zip(articles, content) if c for e in own}
+    around = {e for b, own in zip(found, articles) for e in own if homes.intersection(b.path[b.path.index(e) :])}
+    out = np.ones(len(found))
+    for i, (b, own) in enumerate(zip(found, articles)):
+        # an article of its own, without content, is a card beside the content
+        if homes.intersection(b.path) and holding.issuperset(own):
+            out[i] = IN_HOME
+        elif own and own[-1] in around:
+            out[i] = IN_ARTICLE
+    return out
+
+
 def main_text(page: str | None) -> str:
-    """The article of a page: its blocks joined by line ends."""
+    """The article of a page: the blocks on its content paths, joined by line ends."""
     if not page:
         return ""
     found = [b for b in blocks(page) if not b.dropped]
-    found = [b for b in found if b.linked < LINKED * len(b.text) or b.names[-1:] in (("p",), ("h1",), ("h2",))]
     if not found:
         return ""
-    fused = _ratios(found)
-    content = fused >= THRESHOLD * fused.std()
-    within = [i for i, b in enumerate(found) if content[i]]
-    # an element that says it is the article outweighs the ratios
-    named = [
-        b.path[next(k for k, n in enumerate(b.names) if n in ("article", "main"))]
-        for b in found
-        if "article" in b.names or "main" in b.names
-    ]
-    if named:
-        homes = set(named)
-        return "\n".join(b.text for b in found if homes.intersection(b.path))
-    weight = sum(len(found[i].text) for i in within)
-    home: int | None = None
-    depth = 0
-    while True:
-        inside: dict[int, int] = {}
-        for i in within:
-            path = found[i].path
-            if len(path) > depth and (depth == 0 or path[depth - 1] == home):
-                inside[path[depth]] = inside.get(path[depth], 0) + len(found[i].text)
-        best = max(inside, key=inside.get, default=None)
-        if best is None or inside[best] < MOST * weight:
-            break
-        leaf = any(len(b.path) == depth + 1 and b.path[depth] == best for b in found)
-        if leaf:
-            # a block of text is no container: its neighbours belong to it
-            break
-        home, depth = best, depth + 1
-    return "\n".join(b.text for b in found if home is None or home in b.path)
+    of = _paths(found)
+    fused = _ratios(found, of)
+    threshold = max(THRESHOLD * fused.std(), LEAST * fused.max())
+    places = _places(found, _means(fused, of) >= threshold)
+    of = _paths(found, places)
+    content = _means(_ratios(found, of) * places, of) >= threshold
+    return "\n".join(b.text for b, c in zip(found, content) if c)
 
 
 _RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -224,6 +224,25 @@ def test_main_text(page, expected):
     assert html.main_text(page) == expected
 
 
+LONG_LINES = [f"Sentence {i}, of the story, is long enough to be read; it tells something, and then it ends. " * 3 for i in range(6)]
+STORY = "".join(f"<p>{t}</p>" for t in LONG_LINES)
+STORY_TEXT = "\n".join(t.strip() for t in LONG_LINES)
+CARDS = "".join(f"<article><h3><a href='/{i}'>Card {i}</a></h3><p>Short teaser {i}.</p></article>" for i in range(8))
+
+
+def test_path_ratios_decide_beside_articles():
+    # cards are articles, the story is not
+    assert html.main_text(f"<body><div>{STORY}</div><section>{CARDS}</section></body>") == STORY_TEXT
+    assert html.main_text(f"<body><main><h1>Title</h1>{STORY}<div>{CARDS}</div></main></body>") == "Title\n" + STORY_TEXT
+    # a comment marked as an article
+    comment = "<article class='comment'><p>I liked it, really.</p></article>"
+    assert html.main_text(f"<body><article>{STORY}</article>{comment * 3}</body>") == STORY_TEXT
+    # several articles, and none
+    assert html.main_text(f"<main><article>{STORY}</article><article>{STORY}</article></main>") == f"{STORY_TEXT}\n{STORY_TEXT}"
+    plain = f"<div><ul><li><a href='/'>Home</a></ul></div><div>{STORY}<ul><li>Short point</li></ul></div><div>Imprint</div>"
+    assert html.main_text(plain) == STORY_TEXT + "\nShort point"
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(i, "u", p, "mine") for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>" + "a, b. " * 50_000, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
