@@ -8,6 +8,8 @@ reaches a part of the page's spread are content. That is done twice. The smalles
 elements that hold most of what the first pass found weigh as a further signal in
 the second, so short paragraphs, lists and headings beside the content stay; an
 <article> around them weighs less, and by itself neither <article> nor <main> counts.
+Parts that are named as menus, adverts and the like keep a hundredth of their ratio,
+unless such an element holds most of the page's text.
 
 Every page is one row: nothing is shuffled.
 
@@ -37,6 +39,8 @@ PART = 0.15
 # what the place of a block adds to its ratio: inside an element that holds the content, or in the article around it
 IN_HOME = 1000.0
 IN_ARTICLE = 10.0
+# what a part named as a menu, an advert and the like keeps of its ratio
+IN_NAMED = 0.01
 # what a path loses when all its text is linked
 LINKED = 0.95
 
@@ -58,6 +62,8 @@ BOILERPLATE_NAMES = re.compile(
     r"|disclaimer|skip)(?:$|[-_ ])",
     re.I,
 )
+# a name after one of these tells how a page is laid out
+STATES = re.compile(r"(?:has|no|not|with|without)[-_]", re.I)
 # opening one of the first closes an open one of the second
 CLOSES = {
     **dict.fromkeys(["li"], {"li", "p"}),
@@ -76,10 +82,14 @@ _TAG = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))",
     re.S,
 )
-_LABEL = re.compile(r"(?:^|\s)(id|class|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
+# what an element is: text, out of sight, a part of the page beside its text, or one by its name only
+PLAIN, UNSEEN, BESIDE, NAMED = range(4)
+
+
 @dataclass
 class Block:
     path: tuple[int, ...]
@@ -87,6 +97,8 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     dropped: bool = False
+    beside: bool = False
+    named: tuple[int, ...] = ()
     text: str = ""
 
 
@@ -94,32 +106,36 @@ class Block:
 class _Open:
     name: str
     number: int
-    dropped: bool
+    role: int
 
 
 def _is_named(name: str, value: str) -> bool:
+    tokens = [t for t in value.split() if not STATES.match(t)]
     # an article may carry the names of its subjects: there a name counts where it stands first
-    if name == "article":
-        return any(BOILERPLATE_NAMES.match(token) for token in value.split())
-    return bool(BOILERPLATE_NAMES.search(value))
+    find = BOILERPLATE_NAMES.match if name == "article" else BOILERPLATE_NAMES.search
+    return any(find(t) for t in tokens)
 
 
-def _is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
-    if name in SKIPPED or (name in BOILERPLATE and not (name == "header" and inside_article)):
-        return True
+def _role(name: str, attributes: str, inside_article: bool) -> int:
+    if name in SKIPPED:
+        return UNSEEN
+    role = PLAIN
+    if name in BOILERPLATE and not (name == "header" and inside_article):
+        # a form may be around the whole page
+        role = NAMED if name == "form" else BESIDE
     if name in ("html", "body", "main") or len(attributes) < 3:
-        return False
-    for label, value in _LABEL.findall(attributes):
+        return role
+    for label, value in _ATTRIBUTE.findall(attributes):
         label, value = label.lower(), value.strip("\"'").lower()
         if label == "hidden" or (label == "aria-hidden" and value == "true"):
-            return True
+            return UNSEEN
         if label == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if label == "role" and value in BOILERPLATE_ROLES:
-            return True
-        if label in ("id", "class") and _is_named(name, value):
-            return True
-    return False
+            return UNSEEN
+        if role == PLAIN and (
+            (label == "role" and value in BOILERPLATE_ROLES) or (label in ("id", "class") and _is_named(name, value))
+        ):
+            role = NAMED
+    return role
 
 
 def blocks(page: str) -> list[Block]:
@@ -142,7 +158,9 @@ def blocks(page: str) -> list[Block]:
             current = Block(
                 tuple(o.number for o in outer),
                 tuple(o.name for o in outer),
-                dropped=any(o.dropped for o in stack),
+                dropped=any(o.role == UNSEEN for o in stack),
+                beside=any(o.role == BESIDE for o in stack),
+                named=tuple(o.number for o in stack if o.role == NAMED),
             )
             out.append(current)
         current.parts.append(text)
@@ -151,10 +169,13 @@ def blocks(page: str) -> list[Block]:
 
     def close(names: set[str], until: set[str]) -> None:
         """Close the innermost of ``names``, and all in it, unless something of ``until`` is in between."""
-        nonlocal links
+        nonlocal links, current
         for at in range(len(stack) - 1, -1, -1):
             if stack[at].name in names:
                 links -= sum(o.name == "a" for o in stack[at:])
+                # what follows is no longer of the closed element
+                if any(o.role != PLAIN for o in stack[at:]):
+                    current = None
                 del stack[at:]
                 return
             if stack[at].name in until:
@@ -182,8 +203,6 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag["close"]:
             close({name}, set() if block else BARRIER)
-            if not block and current is not None and name in SKIPPED:
-                current = None
             continue
         if block:
             if name in CLOSES:
@@ -196,16 +215,16 @@ def blocks(page: str) -> list[Block]:
             continue
         numbers += 1
         inside = any(o.name in ("article", "main") for o in stack)
-        dropped = _is_boilerplate(name, rest, inside)
+        role = _role(name, rest, inside)
         if name in RAW:
             end = _RAW_ENDS[name].search(page, at)
             at = end.end() if end else len(page)
             continue
-        if dropped and not block:
+        if role != PLAIN and not block:
             current = None
         if name == "a":
             links += 1
-        stack.append(_Open(name, numbers, dropped))
+        stack.append(_Open(name, numbers, role))
     for b in out:
         b.text = _SPACES.sub(" ", "".join(b.parts)).strip()
     return [b for b in out if b.text]
@@ -218,8 +237,8 @@ def _paths(page_blocks: list[Block], *apart: np.ndarray) -> np.ndarray:
     return np.array([number.setdefault(k, len(number)) for k in keys])
 
 
-def _ratios(page_blocks: list[Block], of: np.ndarray) -> np.ndarray:
-    """The fused, smoothed ratio of every block's path, ``of`` being its number."""
+def _ratios(page_blocks: list[Block], of: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The fused, smoothed and weighted ratio of every block's path, ``of`` being its number."""
     size = np.array([len(b.text) for b in page_blocks])
     count = np.bincount(of)
     total = np.bincount(of, size)
@@ -237,7 +256,8 @@ def _ratios(page_blocks: list[Block], of: np.ndarray) -> np.ndarray:
             weight, value = weight[cut : cut + x.size], value[cut : cut + x.size]
         return value / weight
 
-    return smooth(text) * smooth(marks) * free
+    # weighted before, too, so that what weighs little does not lift its neighbours
+    return smooth(text * weights) * smooth(marks * weights) * free * weights
 
 
 def _means(values: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -284,19 +304,40 @@ def _places(found: list[Block], content: np.ndarray) -> np.ndarray:
     return out
 
 
+def _weights(found: list[Block]) -> np.ndarray:
+    """The weight of every block by the names around it.
+
+    A name counts for nothing on an element that holds most of the page's text, unless
+    only others have a title or an article.
+    """
+    mass = [0 if b.beside else len(b.text) - min(b.linked, len(b.text)) for b in found]
+    anchor = ["article" in b.names or "main" in b.names or b.names[-1:] == ("h1",) for b in found]
+    inside: dict[int, int] = {}
+    anchored: set[int] = set()
+    for b, m, a in zip(found, mass, anchor):
+        for e in b.named:
+            inside[e] = inside.get(e, 0) + m
+            if a:
+                anchored.add(e)
+    elsewhere = any(a and not b.named and not b.beside for b, a in zip(found, anchor))
+    lifted = {e for e, m in inside.items() if 2 * m > sum(mass) and (e in anchored or not elsewhere)}
+    return np.array([IN_NAMED if b.beside or not lifted.issuperset(b.named) else 1.0 for b in found])
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: the blocks on its content paths, joined by line ends."""
     if not page:
         return ""
     found = [b for b in blocks(page) if not b.dropped]
-    if not found:
+    weights = _weights(found)
+    if not (weights == 1).any():
         return ""
-    of = _paths(found)
-    fused = _ratios(found, of)
+    of = _paths(found, weights)
+    fused = _ratios(found, of, weights)
     threshold = max(THRESHOLD * fused.std(), LEAST * fused.max())
-    places = _places(found, _means(fused, of) >= threshold)
-    of = _paths(found, places)
-    content = _means(_ratios(found, of) * places, of) >= threshold
+    places = np.where(weights < 1, 1.0, _places(found, _means(fused, of) >= threshold))
+    of = _paths(found, weights, places)
+    content = _means(_ratios(found, of, weights) * places, of) >= threshold
     return "\n".join(b.text for b, c in zip(found, content) if c)
 
 

@@ -243,6 +243,25 @@ def test_path_ratios_decide_beside_articles():
     assert html.main_text(plain) == STORY_TEXT + "\nShort point"
 
 
+@pytest.mark.parametrize("wrapper", ["has-sidebar", "layout-sidebar-left", "single-post no-comments", "page-search", "ad"])
+def test_names_do_not_drop_what_holds_the_content(wrapper):
+    side = "<div class='sidebar'><p>Other, things. Here.</p></div>"
+    for inner in (f"<article>{STORY}</article>", f"<div>{STORY}</div>"):
+        assert html.main_text(f"<body><div class='{wrapper}'>{inner}{side}</div></body>") == STORY_TEXT
+    assert html.main_text(f"<form id=page>{STORY}</form>") == STORY_TEXT
+    # many comments do not make up for the article
+    assert html.main_text("<h1>Title</h1><p>Brief, it is.</p><div class=comments>" + STORY + "</div>") == "Title\nBrief, it is."
+
+
+def test_text_of_the_article_is_kept_whole():
+    linked = "<li><a href='/a'>A source of it</a></li>", "<h3><a href='/b'>Part two</a></h3>", "<td><a href='/c'>A cell</a></td>"
+    page = f"<article>{STORY}<ul>{linked[0]}</ul>{linked[1]}<p>It goes on, then.</p><table><tr>{linked[2]}</table></article>"
+    assert html.main_text(page) == STORY_TEXT + "\nA source of it\nPart two\nIt goes on, then.\nA cell"
+    assert html.main_text(f"<article><p title='the hidden cost'>One, two.</p>{STORY}</article>") == "One, two.\n" + STORY_TEXT
+    assert html.main_text(f"<article><p data-x=\"class='ad'\">One, two.</p><p hidden>no</p>{STORY}</article>") == "One, two.\n" + STORY_TEXT
+    assert "and more" in html.main_text(f"<article>{STORY}<p>Text <span class=ad>buy</span> and more</p></article>")
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(i, "u", p, "mine") for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>" + "a, b. " * 50_000, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
