@@ -468,6 +468,31 @@ def test_spans_equal_the_definition(spark):
         assert sum(core in r.text for r in got) == 1
 
 
+def test_spans_find_every_passage_of_over_fifty_words(spark):
+    rng = random.Random(21)
+    rows = []
+    for i in range(150):
+        passage = [f"p{rng.randrange(10**9)}" for _ in range(51)]
+        if i % 3 == 0:
+            # a sentence that ends in the passage is closed in the one text and goes on in the other
+            passage[10] += "."
+            passage[34] += "."
+        for side in (0, 1):
+            fill = lambda: [f"x{rng.randrange(10**9)}" for _ in range(rng.randrange(1, 30))]
+            rows.append((2 * i + side, " ".join([*fill(), *passage, *fill()])))
+    got = {r.doc_id: r for r in spans.dedup(make(spark, [(k, t, None, None, None) for k, t in rows])).collect()}
+    for i in range(150):
+        first, second = got[2 * i], got[2 * i + 1]
+        assert first.text == rows[2 * i][1] and first.n_removed == 0
+        assert second.n_removed > 0 and len(set(second.text.split()) & set(first.text.split())) <= 51 - spans.MIN_WORDS
+        assert set(rows[2 * i + 1][1].split()) <= set(first.text.split()) | set(second.text.split())
+
+
+def test_spans_know_closed_and_wide_stops():
+    texts = pa.array(['He said: "go." Then (he left.) Now', "\u4e00\u4e8c\u3002 \u4e09\uff01\u300d \u56db", "\") one ..."])
+    assert spans.Sentences(*spans.column(texts)).counts.tolist() == [3, 3, 1]
+
+
 def test_span_edge_cases(spark, awkward, empty):
     got = spans.dedup(awkward).collect()
     assert len(got) == len(AWKWARD) and {r.text for r in got if r.doc_id == 1} == {None}
