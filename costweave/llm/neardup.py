@@ -321,8 +321,10 @@ def _merged(labels: DataFrame, more: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """``key, class_id, n_copies, n_links, node, label``: the class of every row.
 
-    ``n_copies`` counts rows with an equal text, ``n_links`` the verified links of the text
-    to other texts; ``node`` names the text and ``label`` the class.
+    ``n_copies`` counts rows with an equal text; ``node`` names the text and ``label`` the
+    class. ``n_links`` counts the links of the text that the search verified, no more than
+    it needed for the class: not all its near-duplicates, since texts that share a class
+    already are not compared.
     """
     read = docs.select(F.col(key).alias("key"), F.xxhash64("text").alias("node"), "text")
     key_type = docs.schema[key].dataType.simpleString()
