@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costweave.llm import chat, contamination, fingerprint, html, language, lm, mix, neardup, quality, spans
+from costweave.llm import (
+    chat, clusters, contamination, fingerprint, html, language, lm, mix, neardup, quality, repair, spans, suffixes,
+)
 from costweave.llm.common import held_out, table
 from costweave.session import stage
 
@@ -67,6 +69,32 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.digests(repair.edits(repair.damage(said)))
+    every = said.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = clusters.clustered(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    shown = [",".join(map(str, c)) for c in centroids]
+    return found.withColumn("centroid_sha256", F.sha2(clusters.by_cluster(shown).cast("binary"), 256))
+
+
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -78,6 +106,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 
 TWINS: dict[str, str] = {
