@@ -73,20 +73,20 @@ def fit(vectors: DataFrame, centroids: np.ndarray, rounds: int) -> np.ndarray:
     A centroid without vectors stays. Sums are decimal(38, 0), exact for 10**19 vectors.
     """
     for _ in range(rounds if len(centroids) else 0):
-        width = centroids.shape[1]
-        parts = vectors.select("vector").mapInArrow(_sums(centroids), "cluster int, n long, sums array<decimal(38,0)>")
-        totals = parts.groupBy("cluster").agg(
-            F.sum("n").alias("n"), F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums")
-        )
+        parts = vectors.select("vector").mapInArrow(_sums(centroids), "cluster int, place int, n long, total decimal(38,0)")
+        totals = parts.groupBy("cluster", "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
         moved = centroids.astype(object)
-        for r in totals.collect():  # at most k rows
-            moved[r.cluster] = [int(s) // r.n for s in r.sums]
+        for r in totals.collect():  # at most k vectors
+            moved[r.cluster, r.place] = int(r.total) // r.n
         centroids = _exact(moved)
     return centroids
 
 
 def assign(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
     """``vectors`` with the ``cluster`` and its squared ``distance``."""
+    if not len(centroids):  # there are no vectors
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in (("cluster", "int"), ("distance", "long"))]
+        return vectors.select("key", *none)
     kind = vectors.schema["key"].dataType.simpleString()
     packed = vectors.select(F.struct("key").alias("row"), "vector")
     out = packed.mapInArrow(_assigned(centroids), f"row struct<key: {kind}>, cluster int, distance long")
@@ -216,11 +216,11 @@ def _sums(centroids: np.ndarray):
                     sums[c] += mine.sum(axis=0).astype(object)
                     count[c] += len(mine)
         some = np.flatnonzero(count)
-        kind = pa.decimal128(38, 0)
         yield pa.record_batch(
-            [pa.array(some, pa.int32()), pa.array(count[some], pa.int64()),
-             pa.array([[Decimal(int(v)) for v in sums[c]] for c in some], pa.list_(kind))],
-            names=["cluster", "n", "sums"],
+            [pa.array(np.repeat(some, width), pa.int32()), pa.array(np.tile(np.arange(width), some.size), pa.int32()),
+             pa.array(np.repeat(count[some], width), pa.int64()),
+             pa.array([Decimal(int(v)) for v in sums[some].ravel()], pa.decimal128(38, 0))],
+            names=["cluster", "place", "n", "total"],
         )
 
     return work

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costweave.llm import (
-    chat, clusters, contamination, fingerprint, html, language, lm, mix, neardup, quality, repair, spans, suffixes,
+    chat, clusters, contamination, fingerprint, html, language, lm, mix, neardup, quality, repair, spans, suffixes, twins,
 )
 from costweave.llm.common import held_out, table
 from costweave.session import stage
@@ -176,4 +176,7 @@ TWINS: dict[str, str] = {
                    < target / source_size - floor(target / source_size))::BIGINT) * size AS taken
         FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source
     """,
+    "op11_conversation_repair": twins.repair_sql(),
+    "op12_centroid_clustering": twins.cluster_sql(),
+    "op13_suffix_array_dedup": twins.BYTE_DEDUP,
 }

@@ -152,6 +152,12 @@ def damage(rows: DataFrame, key: str = "conv_id") -> DataFrame:
 # ---- the programme ----------------------------------------------------------------------
 
 
+#: A state this much dearer than the cheapest cannot win: two insertions lead from the cheapest
+#: to a user or an assistant, and all that a start is ahead of an assistant is one system turn,
+#: which the other deletes.
+BEHIND = 2 * COST[INSERT] + COST[DELETE]
+
+
 def _inserted(state: int) -> list[tuple[str, int]]:
     """``roles, state``: at most two insertions, of users and assistants."""
     out, front = [("", state)], [("", state)]
@@ -192,6 +198,7 @@ def step(situation: tuple, sort: tuple[str, str | None]) -> tuple[tuple, bytes]:
                 if to not in best or way < best[to]:
                     best[to] = way
     least = min(way[0] for way in best.values())
+    best = {state: way for state, way in best.items() if way[0] <= least + BEHIND}
     order = {key: i for i, key in enumerate(sorted(way[1] for way in best.values()))}
     after = (
         tuple(best[s][0] - least if s in best else None for s in range(4)),
