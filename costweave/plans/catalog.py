@@ -372,10 +372,16 @@ def a9(spark, sf_dir):
     rows = stage(
         star.ledger(spark, sf_dir).select(RUN, "signed_amount", "adjustment_type"), "rows"
     )
-    for kind in ("Credit", "Standard expense"):
-        tables.replace_slice(rows, path, {RUN: 1, "adjustment_type": kind})
+    of_kind = {k: F.col("adjustment_type") == k for k in ("Credit", "Standard expense")}
+    for kind, mine in of_kind.items():
+        tables.replace_slice(rows.filter(mine), path, {RUN: 1, "adjustment_type": kind})
     turned = rows.withColumn("signed_amount", (-F.col("signed_amount")).cast(MONEY))
-    tables.replace_slice(turned, path, {RUN: 1, "adjustment_type": "Credit"})
+    credit = {RUN: 1, "adjustment_type": "Credit"}
+    tables.replace_slice(turned.filter(of_kind["Credit"]), path, credit)
+    try:  # rows of both kinds are refused, and the slice keeps what it has
+        tables.replace_slice(rows, path, credit)
+    except tables.ForeignRows:
+        pass
     table = spark.read.schema(rows.schema).parquet(path)
     return show(
         table.groupBy("adjustment_type").agg(

@@ -3,6 +3,7 @@
 from collections import defaultdict
 from datetime import date
 from decimal import ROUND_HALF_UP, Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -360,6 +361,88 @@ def test_replacing_a_slice_refuses_foreign_rows_and_escapes_its_name(spark, tmp_
     ) == [("a/b:c%", "x")]
 
 
+def _slice_of(spark, path):
+    table = spark.read.schema("load_run_id long, rule string, v string").parquet(path)
+    return values(table, "load_run_id", "rule", "v")
+
+
+@pytest.fixture
+def slices(spark, tmp_path):
+    """Two slices: run 1 with rules a (10, 20) and b (30)."""
+    path = str(tmp_path / "t")
+    df = inline(
+        spark, [(1, "a", "10"), (1, "a", "20"), (1, "b", "30")], "load_run_id long, rule string, v string"
+    )
+    for rule in "ab":
+        tables.replace_slice(df.filter(F.col("rule") == rule), path, {"load_run_id": 1, "rule": rule})
+    assert _slice_of(spark, path) == [(1, "a", "10"), (1, "a", "20"), (1, "b", "30")]
+    return path
+
+
+A = {"load_run_id": 1, "rule": "a"}
+
+
+def _only_the_table(path):
+    """Nothing is left beside the table or aside."""
+    root = Path(path)
+    return not [f for name in ("_beside", "_aside") for f in (root / name).rglob("*.parquet")]
+
+
+def test_refused_rows_leave_the_slice(spark, slices):
+    before = _slice_of(spark, slices)
+    rows = inline(spark, [(1, "a", "99"), (1, "foreign", "7")], "load_run_id long, rule string, v string")
+    with pytest.raises(tables.ForeignRows, match="1 rows do not belong"):
+        tables.replace_slice(rows, slices, A)
+    assert _slice_of(spark, slices) == before and _only_the_table(slices)
+
+
+def test_failed_write_leaves_the_slice(spark, slices):
+    before = _slice_of(spark, slices)
+    broken = spark.range(1000, numPartitions=8).select(
+        F.lit(1).cast("long").alias("load_run_id"),
+        F.lit("a").alias("rule"),
+        F.when(F.col("id") == 990, F.raise_error(F.lit("lost"))).otherwise(F.col("id").cast("string")).alias("v"),
+    )
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_slice(broken, slices, A)
+    assert _slice_of(spark, slices) == before and _only_the_table(slices)
+
+
+def test_slice_may_be_made_from_itself(spark, slices):
+    table = spark.read.schema("load_run_id long, rule string, v string").parquet(slices)
+    doubled = table.filter("rule = 'a'").withColumn("v", F.concat("v", F.lit("0")))
+    tables.replace_slice(doubled, slices, A)
+    assert _slice_of(spark, slices) == [(1, "a", "100"), (1, "a", "200"), (1, "b", "30")]
+    assert _only_the_table(slices)
+
+
+@pytest.mark.parametrize("lost_at", [1, 2])
+def test_interrupted_replacement_is_settled(spark, slices, monkeypatch, lost_at):
+    """The driver goes after the given number of renames; the next replacement finds the table whole."""
+    before = _slice_of(spark, slices)
+    real, calls = tables._rename, []
+
+    class Gone(BaseException):
+        pass
+
+    def rename(*args):
+        if len(calls) == lost_at:
+            raise Gone
+        calls.append(args)
+        real(*args)
+
+    rows = inline(spark, [(1, "a", "99")], "load_run_id long, rule string, v string")
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_rename", rename)
+        patched.setattr(tables._Files, "delete", lambda self, path: None if lost_at == 1 else rename())
+        with pytest.raises(Gone):
+            tables.replace_slice(rows, slices, A)
+    tables.settle(spark, slices, A)
+    assert _slice_of(spark, slices) == (before if lost_at == 1 else [(1, "a", "99"), (1, "b", "30")])
+    tables.replace_slice(rows, slices, A)
+    assert _slice_of(spark, slices) == [(1, "a", "99"), (1, "b", "30")]
+
+
 def test_totals_beyond_thirteen_digits(spark):
     big = Decimal("9000000000000.000000")
     rows = [("COST_POOL", 1, date(2024, m, 1), *[big if c == "gl_amount" else Decimal(0) for c in recon.AMOUNTS]) for m in (1, 2, 3)]

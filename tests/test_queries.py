@@ -10,6 +10,10 @@ SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 COMPARED = [
     "a2_lineage",
+    "a7_upsert",
+    "a8_replace_run",
+    "a9_replace_slice",
+    "a10_append_new",
     "b7_promote_resource",
     "d2_driver_totals",
     "h1_cost_pools",
