@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costweave.llm.text import Words, column, seeded, slices
+from costweave.llm.text import Words, column, returning, seeded, slices
 from costweave.session import stage
 
 WIDTH = 5
@@ -37,9 +37,10 @@ BLOCK = 1_000_000
 _FILTER_BITS = 22
 
 
+@returning
 def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", 1 << 20):
             hashes, counts = Words(*column(piece.column("text"), lower=True), "punctuation").shingles(WIDTH)
             parts = [np.unique(x) for x in np.split(hashes, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays(
@@ -104,9 +105,10 @@ class Block:
                 yield d, i, found
 
 
+@returning
 def _searched(batches: Iterator[pa.RecordBatch], key: str, block: Block, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", 1 << 20):
             hashes, counts = Words(*column(piece.column("text"), lower=True), "punctuation").shingles(WIDTH)
             hits = list(block.search(hashes, counts))
             doc = np.array([h[0] for h in hits], np.int64)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costweave.llm.text import LOWER, column, slices
+from costweave.llm.text import LOWER, column, returning, slices
 
 FEATURE_BITS = 16
 ORDERS = (2, 3, 4)
@@ -113,11 +113,12 @@ class Model:
         return best, likely[np.arange(best.size), best] / likely.sum(axis=1)
 
 
+@returning
 def _counted(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[pa.RecordBatch]:
     table = np.zeros((len(languages), 1 << FEATURE_BITS), np.int64)
     at = {name: i for i, name in enumerate(languages)}
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", 1 << 20):
             data, offsets = column(piece.column("text"))
             grams = features(data)
             row = np.array([at[x] for x in piece.column("lang").to_pylist()], np.int64)
@@ -181,6 +182,7 @@ def _lettered(piece: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> n
     return found
 
 
+@returning
 def _predicted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     names = np.array([*model.languages, UNDETERMINED], object)
     for batch in batches:

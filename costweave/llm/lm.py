@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costweave.llm.common import task_count
-from costweave.llm.text import SLICE_BYTES, Words, column, mix, slices
+from costweave.llm.text import SLICE_BYTES, Words, column, give_back, mix, slices
 
 ORDER = 3
 END = np.uint64(0x5851F42D4C957F2D)
@@ -248,6 +248,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
 
 
+def _then_free(work, *args) -> pa.Table:
+    """The result of ``work``; what its chunk took goes back to the system before the next one."""
+    try:
+        return work(*args)
+    finally:
+        give_back()
+
+
 def learn_totals(texts: DataFrame) -> Totals:
     """Counts every learning token; only three sums come back."""
     per_token = texts.mapInArrow(_counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -267,17 +275,17 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id") -> DataFrame:
         chunks, "chunk"
     )
     requests = dealt.groupBy("chunk").applyInArrow(
-        lambda t: _requested(t, deal), "order int, bucket int, chunk int, names binary, counts binary"
+        lambda t: _then_free(_requested, t, deal), "order int, bucket int, chunk int, names binary, counts binary"
     )
     answers = requests.groupBy("order", "bucket").applyInArrow(
-        lambda t: _answered(t, deal), "order int, bucket int, chunk int, n int, totals binary"
+        lambda t: _then_free(_answered, t, deal), "order int, bucket int, chunk int, n int, totals binary"
     )
     key_type = docs.schema[key].dataType.simpleString()
     return (
         answers.groupBy("chunk")
         .cogroup(dealt.groupBy("chunk"))
         .applyInArrow(
-            lambda a, t: _scored(a, t, deal, totals, key),
+            lambda a, t: _then_free(_scored, a, t, deal, totals, key),
             f"{key} {key_type}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
             " base_score double, score double",
         )

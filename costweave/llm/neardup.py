@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave.llm.components import components
-from costweave.llm.text import Words, column, mix, seeded, slices
+from costweave.llm.text import Words, column, mix, returning, seeded, slices
 from costweave.session import stage
 
 WIDTH = 5
@@ -117,6 +117,7 @@ def band_hashes(marks: np.ndarray) -> np.ndarray:
     return h
 
 
+@returning
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text", 1 << 20):
@@ -151,6 +152,7 @@ def overlap(a: pa.Array, b: pa.Array) -> np.ndarray:
     return np.where(either > 0, shared / np.maximum(either, 1), 0.0)
 
 
+@returning
 def _verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text_a", 1 << 20):

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costweave.llm.text import Words, _power_tables, column, mix, slices
+from costweave.llm.text import Words, _power_tables, column, mix, returning, slices
 
 LONG = 16
 MIN_WORDS = 25
@@ -165,9 +165,10 @@ class Sentences:
         self.run = mix((sums[start + RUN] - sums[start]) * inverse[start] + np.uint64(0x5851F42D4C957F2D))
 
 
+@returning
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", 1 << 20):
             s = Sentences(*column(piece.column("text")))
             valid = s.last >= 0
             of = np.concatenate((s.of[valid], s.run_of)).astype(np.int64)
@@ -194,6 +195,7 @@ def _covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.cumsum(steps)[:n] > 0
 
 
+@returning
 def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text", 1 << 20):

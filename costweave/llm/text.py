@@ -8,7 +8,9 @@ that end at a separator, so memory follows the number of words, not of bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +91,31 @@ def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES) -> Iterat
             yield batch.slice(a, b - a)
 
 
+def returning(work: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """``work`` over Arrow batches, after which its task hands free memory back to the system.
+
+    Python workers live on for later tasks and stages, and what Arrow and the C library keep of
+    one task is of no use to the next: without this a long job's memory only grows.
+    """
+
+    @wraps(work)
+    def run(*args):
+        try:
+            yield from work(*args)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    library = ctypes.CDLL(None)
+    if hasattr(library, "malloc_trim"):  # the GNU C library has it
+        library.malloc_trim(0)
+
+
 class Words:
     """The words of some texts: starts, ends, hashes, and the count of each text."""
 

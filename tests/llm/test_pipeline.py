@@ -67,5 +67,5 @@ def test_run_is_the_stages_in_order(spark):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert set(TWINS) <= set(QUERIES)
