@@ -40,6 +40,8 @@ COUNT_POOLS = {
 # --- Fixed values: notes written to result rows ----------------------------
 NOTE_NO_CENTRE = "Cost centre is not mapped to an active governed reference row."
 NOTE_NO_ACCOUNT = "Natural account is not mapped to an active governed account mapping."
+NOTE_CONTESTED_CENTRE = "Several active versions of the cost centre hold in this month."
+NOTE_CONTESTED_RULE = "Several active allocation rules hold for this pool and category in this month."
 NOTE_EXCLUDED = "Account mapping marks this cost as excluded from patient costing."
 NOTE_ZERO_UNITS = "Zero driver units for this encounter and cost pool."
 NOTE_NO_PRE_OVERHEAD = (

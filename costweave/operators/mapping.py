@@ -7,16 +7,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costweave.session import lookups
+from costweave.session import lookups, stage
 
 
 RULE_KEYS = ["cost_pool_code", "cost_category"]
 CENTRE_KEYS = ["cost_centre_id"]
+PERIOD = ["effective_from", "effective_to"]
 
 
 @dataclass(frozen=True)
 class Mapping:
-    """Active reference rows, each hinted for broadcast when small enough."""
+    """Active reference rows, each hinted for broadcast when small enough.
+
+    Centres and rules are ``segments`` of their versions, with ``contested``.
+    """
 
     cost_centre: DataFrame
     account: DataFrame
@@ -26,26 +30,68 @@ class Mapping:
 def governed(
     cost_centre: DataFrame, account_mapping: DataFrame, allocation_rule: DataFrame
 ) -> Mapping:
-    """Keep active rows and the columns costing reads; check all sizes at once."""
+    """Keep active rows and the columns costing reads; check all sizes at once.
+
+    Versions are laid out as segments and stored, so a ledger row meets one at most.
+    """
     active = F.col("active_flag") == "Y"
+    centres = cost_centre.filter(active).select(
+        *CENTRE_KEYS, "cost_pool_code", "effective_from", "effective_to"
+    )
+    rules = allocation_rule.filter(active).select(
+        *RULE_KEYS, "allocation_driver", "effective_from", "effective_to"
+    )
     centre, account, rule = lookups(
-        cost_centre.filter(active).select(
-            "cost_centre_id", "cost_pool_code", "effective_from", "effective_to"
-        ),
+        stage(segments(centres, CENTRE_KEYS), "centre_segments"),
         account_mapping.filter(active).select(
             "natural_account", "cost_category", "costing_treatment", "default_driver"
         ),
-        allocation_rule.filter(active).select(
-            "cost_pool_code",
-            "cost_category",
-            "allocation_driver",
-            "effective_from",
-            "effective_to",
-        ),
+        stage(segments(rules, RULE_KEYS), "rule_segments"),
     )
     return Mapping(cost_centre=centre, account=account, rule=rule)
 
 
+def segments(versions: DataFrame, keys: list[str]) -> DataFrame:
+    """The versions of each key as stretches of days that do not overlap, and ``contested``.
+
+    A sweep over the days on which versions start and end: running sums tell how many
+    versions hold from one such day to the next, and, where it is one, which, as the sum
+    of the names of those that hold is then its name. Nothing is paired, and the sweep is
+    over days, not versions. Stretches that several versions claim, equal ones too, are
+    contested and have no values; versions without both days, or that end before they
+    start, hold on no day.
+    """
+    rest = [c for c in versions.columns if c not in keys]
+    valid = versions.filter(F.col("effective_from") <= F.col("effective_to")).withColumn(
+        "_name", F.xxhash64(*versions.columns).cast("decimal(38,0)")
+    )
+    start, after = F.col("effective_from"), F.date_add("effective_to", 1)
+    one = F.lit(1).cast("long")
+    days = (
+        valid.select(*keys, F.explode(F.array(
+            F.struct(start.alias("day"), one.alias("step"), F.col("_name").alias("name")),
+            F.struct(after.alias("day"), (-one).alias("step"), (-F.col("_name")).cast("decimal(38,0)").alias("name")),
+        )).alias("event"))
+        .groupBy(*keys, "event.day")
+        .agg(F.sum("event.step").alias("step"), F.sum("event.name").alias("name"))
+    )
+    sweep = Window.partitionBy(*keys).orderBy("day")
+    stretches = days.select(
+        *keys,
+        F.col("day").alias("effective_from"),
+        F.date_sub(F.lead("day").over(sweep), 1).alias("effective_to"),
+        F.sum("step").over(sweep).alias("_held"),
+        F.sum("name").over(sweep).cast("decimal(38,0)").alias("_name"),
+    ).filter(F.col("_held") > 0)
+    values = valid.select("_name", *[c for c in rest if c not in PERIOD]).dropDuplicates(["_name"])
+    alone = F.when(F.col("_held") == 1, F.col("_name"))
+    return (
+        stretches.withColumn("_name", alone)
+        .join(values, "_name", "left")
+        .select(*versions.columns, (F.col("_held") > 1).alias("contested"))
+    )
+
+
 def effective_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -74,21 +120,24 @@ def effective_join(
 def map_ledger(ledger: DataFrame, mapping: Mapping) -> DataFrame:
     """Attach pool, category, treatment and rule driver to ledger rows.
 
-    ``centre_found`` and ``account_found`` are false for rows without a mapping.
+    ``centre_found`` and ``account_found`` are false for rows without a mapping,
+    ``centre_contested`` and ``rule_contested`` true where several versions hold in the
+    month: such a row has no pool or no driver from them, and stays one row.
     Works on transactions or on any pre-aggregate that keeps month, cost centre
     and account.
     """
-    with_centre = effective_join(ledger, mapping.cost_centre, ["cost_centre_id"])
+    with_centre = effective_join(ledger, mapping.cost_centre, CENTRE_KEYS).withColumnRenamed(
+        "contested", "centre_contested"
+    )
     with_account = with_centre.withColumnRenamed("_found", "centre_found").join(
         mapping.account.withColumn("account_found", F.lit(True)), "natural_account", "left"
     )
-    with_rule = effective_join(
-        with_account, mapping.rule, ["cost_pool_code", "cost_category"]
-    ).drop("_found")
-    return with_rule.withColumns(
+    with_rule = effective_join(with_account, mapping.rule, RULE_KEYS).drop("_found")
+    return with_rule.withColumnRenamed("contested", "rule_contested").withColumns(
         {
             "centre_found": F.col("centre_found").isNotNull(),
             "account_found": F.col("account_found").isNotNull(),
+            **{c: F.coalesce(c, F.lit(False)) for c in ("centre_contested", "rule_contested")},
         }
     )
 
@@ -113,22 +162,6 @@ def overlapping_centres(centres: DataFrame) -> DataFrame:
     )
 
 
-def refuse_overlaps(mapping: Mapping) -> None:
-    """Raise when a ledger row could meet two rules or two versions of its centre.
-
-    Each would take the whole amount, and pools would exceed the ledger.
-    """
-    for name, versions, keys in (
-        ("allocation rules", mapping.rule, RULE_KEYS),
-        ("cost centres", mapping.cost_centre, CENTRE_KEYS),
-    ):
-        # a few examples for the message
-        found = _overlapping(versions, keys, "effective_to").select(*keys).limit(5).collect()
-        if found:
-            shown = "; ".join(", ".join(map(str, row)) for row in found)
-            raise ValueError(f"{name} overlap in time: {shown}")
-
-
 def _overlapping(versions: DataFrame, keys: list[str], tie: str) -> DataFrame:
     """Start dates are summarised first and only those are put in order, so a key
     with very many versions is never lined up in one task, nor paired. Of versions that

@@ -9,9 +9,9 @@ from costweave import constants as K
 from costweave.functions.columns import zero_if_null
 from costweave.operators.allocate import driver_rates, pool_rates
 from costweave.operators.drivers import driver_totals, pre_overhead_drivers
-from costweave.operators.percentiles import BUFFER_ROWS, group_percentile
+from costweave.operators.percentiles import group_percentile
 from costweave.schemas import MONEY, RUN, TOTAL
-from costweave.session import lookup, stage
+from costweave.session import lookup
 
 EPISODE_MONTH, ALL_MONTHS = "episode_month", "all_months"
 COHORT = ["care_type", "activity_group_code"]
@@ -93,15 +93,9 @@ def flag_high_cost(
     costs: DataFrame,
     p: float = K.HIGH_COST_PERCENTILE,
     min_cohort: int = K.MIN_COHORT,
-    buffer_rows: int = BUFFER_ROWS,
 ) -> DataFrame:
     """Flag encounters at or above the cohort percentile. ``costs`` is stored."""
-    limits = lookup(
-        stage(
-            group_percentile(costs, [RUN, *COHORT], "total_patient_cost", p, "p", buffer_rows),
-            "cohort_limits",
-        )
-    )
+    limits = group_percentile(costs, [RUN, *COHORT], "total_patient_cost", p, "p")
     stable = F.col("cohort_count") >= min_cohort
     high = F.col("total_patient_cost").cast("double") >= F.col("p")
     note = (

@@ -14,19 +14,22 @@ LEDGER_GRAIN = [RUN, "reporting_month", "facility", "cost_centre_id", "natural_a
 POOL_KEY = [*LEDGER_GRAIN, "cost_pool_code"]
 
 
-def pool_status(centre_found: Column, account_found: Column, treatment: Column) -> Column:
-    """Missing centre, then missing account, then exclusion, else ready."""
+def pool_status(unclear: Column, treatment: Column) -> Column:
+    """Without a clear mapping under review, else excluded by treatment, else ready."""
     return (
-        F.when(~centre_found | ~account_found, K.REVIEW)
+        F.when(unclear, K.REVIEW)
         .when(treatment == K.EXCLUDE, K.EXCLUDED)
         .otherwise(K.READY)
     )
 
 
-def pool_note(centre_found: Column, account_found: Column, treatment: Column) -> Column:
+def pool_note(treatment: Column) -> Column:
+    """Missing centre, then missing account, then versions that contest them, then exclusion."""
     return (
-        F.when(~centre_found, K.NOTE_NO_CENTRE)
-        .when(~account_found, K.NOTE_NO_ACCOUNT)
+        F.when(~F.col("centre_found"), K.NOTE_NO_CENTRE)
+        .when(~F.col("account_found"), K.NOTE_NO_ACCOUNT)
+        .when(F.col("centre_contested"), K.NOTE_CONTESTED_CENTRE)
+        .when(F.col("rule_contested"), K.NOTE_CONTESTED_RULE)
         .when(treatment == K.EXCLUDE, K.NOTE_EXCLUDED)
     )
 
@@ -36,12 +39,13 @@ def cost_pools(ledger: DataFrame, mapping: Mapping) -> DataFrame:
 
     The ledger is summed to its own grain before any lookup, so a cost centre
     that holds most transactions collapses inside the map tasks and the
-    reference joins see only the aggregate.
+    reference joins see only the aggregate. A pool whose centre or rule is contested in
+    a month is kept for review in that month; every other pool is costed.
     """
     grain = ledger.groupBy(*LEDGER_GRAIN).agg(
         F.count(F.lit(1)).alias("n"), F.sum("signed_amount").alias("amount")
     )
-    centre, account = F.col("centre_found"), F.col("account_found")
+    unclear = ~F.col("centre_found") | ~F.col("account_found") | F.col("centre_contested") | F.col("rule_contested")
     mapped = map_ledger(grain, mapping).select(
         *LEDGER_GRAIN,
         first_of("cost_pool_code", F.lit(K.UNMAPPED_POOL)).alias("cost_pool_code"),
@@ -52,8 +56,8 @@ def cost_pools(ledger: DataFrame, mapping: Mapping) -> DataFrame:
         ),
         "n",
         "amount",
-        pool_status(centre, account, F.col("costing_treatment")).alias("pool_status"),
-        pool_note(centre, account, F.col("costing_treatment")).alias("review_note"),
+        pool_status(unclear, F.col("costing_treatment")).alias("pool_status"),
+        pool_note(F.col("costing_treatment")).alias("review_note"),
     )
     # Already clustered by the ledger grain: this second grouping moves nothing.
     return mapped.groupBy(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave.functions.columns import quoted, stacked
-from costweave.operators.percentiles import BUFFER_ROWS, group_percentile
+from costweave.operators.percentiles import group_percentiles
 from costweave.session import stage
 
 
@@ -15,45 +17,33 @@ def numeric_summary(
     measures: list[str],
     non_negative_only: bool = False,
     places: int = 3,
-    buffer_rows: int = BUFFER_ROWS,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Count, min, mean, median, p95 and max of each measure.
+    """Count, min, mean, median, p95 and max of each measure, of all rows or ``by`` groups.
 
-    Equal values are counted before anything is ranked, so the exact percentiles
-    of days, ages and units work on a few (value, frequency) pairs. A measure
-    with too many distinct values for one buffer is ranked by bracket instead.
+    Percentiles are exact and ranked by value ranges, so neither a measure nor a group is
+    ever lined up in one task.
     """
     rows = [[quoted(m), f"CAST({m} AS DOUBLE)"] for m in measures]
-    values = df.select(stacked(rows, ["measure", "value"])).filter(F.col("value").isNotNull())
+    values = df.select(*by, stacked(rows, ["measure", "value"])).filter(F.col("value").isNotNull())
     if non_negative_only:
         values = values.filter(F.col("value") >= 0)
-    counted = stage(
-        values.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n")), "frequency"
-    )
-    distinct = counted.groupBy("measure").count().agg(F.max("count")).first()[0] or 0
-    if distinct <= buffer_rows:
-        q = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95)), F.col("n"))
-        ranked = counted.groupBy("measure").agg(q.alias("q")).select(
-            "measure", F.col("q")[0].alias("median"), F.col("q")[1].alias("p95")
-        )
-    else:
-        values = stage(values, "values")
-        median, p95 = (
-            group_percentile(values, ["measure"], "value", p, name, buffer_rows).drop("cohort_count")
-            for p, name in ((0.5, "median"), (0.95, "p95"))
-        )
-        ranked = median.join(p95, "measure")
+    keys = [*by, "measure"]
+    values = stage(values, "values")
+    ranked = group_percentiles(values, keys, "value", {"median": 0.5, "p95": 0.95})
+    ranked = ranked.select(*[F.col(k).alias(f"_{k}") for k in keys], "median", "p95")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return (
-        counted.groupBy("measure")
+        values.groupBy(*keys)
         .agg(
-            F.sum("n").alias("count"),
+            F.count(F.lit(1)).alias("count"),
             F.min("value").alias("min"),
-            (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+            F.avg("value").alias("mean"),
             F.max("value").alias("max"),
         )
-        .join(ranked, "measure")
+        .join(ranked, same)
         .select(
-            "measure",
+            *keys,
             "count",
             *[F.round(c, places).alias(c) for c in ("min", "mean", "median", "p95", "max")],
         )

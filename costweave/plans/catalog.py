@@ -888,23 +888,23 @@ _LIM = """SELECT care_type, activity_group_code, CAST(cohort_count AS BIGINT) AS
     ROUND(p, 2) AS p95 FROM lim"""
 
 
-def _limits(spark, sf_dir, buffer_rows):
+def _limits(spark, sf_dir, accuracy=percentiles.ACCURACY):
     run = costing_run(spark, sf_dir)
     limits = percentiles.group_percentile(
-        run.costs, patient.COHORT, "total_patient_cost", K.HIGH_COST_PERCENTILE, "p95", buffer_rows
+        stage(run.costs, "patient_cost"), patient.COHORT, "total_patient_cost", K.HIGH_COST_PERCENTILE, "p95", accuracy
     )
     return show(limits, p95=2)
 
 
 @query("e2_cohort_percentile", _LIM)
 def e2(spark, sf_dir):
-    return _limits(spark, sf_dir, percentiles.BUFFER_ROWS)
+    return _limits(spark, sf_dir)
 
 
 @query("e2_cohort_percentile_bracketed", _LIM)
 def e2b(spark, sf_dir):
-    """The route taken by cohorts too large for one aggregation buffer."""
-    return _limits(spark, sf_dir, 0)
+    """A coarse sketch: wide brackets, the same percentiles."""
+    return _limits(spark, sf_dir, accuracy=20)
 
 
 @query(
@@ -1950,6 +1950,42 @@ def m4(spark, sf_dir):
     )
 
 
+_CONTESTED_FROM, _CONTESTED_TO = "1995-03-01", "1996-02-29"
+
+
+@query(
+    "m4_contested_pools",
+    f"""SELECT CASE WHEN contested AND pool_status <> 'REVIEW' THEN 'REVIEW' ELSE pool_status END AS pool_status,
+               contested, CAST(COUNT(*) AS BIGINT) AS pool_count, {shown('SUM(source_gl_amount)')} AS source_gl_amount,
+               {shown('(SELECT SUM(signed_amount) FROM gl)')} AS ledger_amount
+        FROM (SELECT *, EXISTS (
+                  SELECT 1 FROM rule r WHERE r.cost_pool_code = pool.cost_pool_code AND r.cost_category = pool.cost_category
+                      AND pool.reporting_month BETWEEN r.effective_from AND r.effective_to
+                      AND pool.reporting_month BETWEEN DATE '{_CONTESTED_FROM}' AND DATE '{_CONTESTED_TO}'
+                      AND r.cost_category = 'Nursing') AS contested FROM pool) t GROUP BY 1, 2""",
+)
+def m4c(spark, sf_dir):
+    """A second version of every nursing rule for a year: its pools wait for review, all others are costed."""
+    rules = star.allocation_rules(spark)
+    second = rules.filter("cost_category = 'Nursing'").withColumns(
+        {
+            "allocation_driver": F.lit("encounter_count"),
+            "effective_from": F.lit(_CONTESTED_FROM).cast("date"),
+            "effective_to": F.lit(_CONTESTED_TO).cast("date"),
+        }
+    )
+    governed = mapped.governed(star.cost_centres(spark, sf_dir), star.account_mapping(spark), rules.unionByName(second))
+    ledger = star.ledger(spark, sf_dir)
+    found = pools.cost_pools(ledger, governed).withColumn(
+        "contested", F.coalesce(F.col("review_note") == K.NOTE_CONTESTED_RULE, F.lit(False))
+    )
+    total = ledger.agg(F.sum("signed_amount").cast(TOTAL).alias("ledger_amount"))
+    summary = found.groupBy("pool_status", "contested").agg(
+        F.count(F.lit(1)).alias("pool_count"), F.sum("source_gl_amount").cast(TOTAL).alias("source_gl_amount")
+    )
+    return show(summary.join(F.broadcast(total)))  # one row
+
+
 @query(
     "m3_implausible_resources",
     " UNION ALL ".join(

@@ -1,7 +1,8 @@
 """Operators on their own, against brute force or hand-computed values."""
 
+import random
 from collections import defaultdict
-from datetime import date
+from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 from pathlib import Path
 
@@ -38,6 +39,8 @@ from costweave.schemas import ENCOUNTER, RUN
 from costweave.session import fits_broadcast, lookup_join, stage
 from costweave.sources import landing, reference, tables
 
+FIRST, LAST = date(2024, 1, 1), date(2024, 12, 31)
+
 ENCOUNTERS = (
     "load_run_id long, encounter_id string, care_type string, service_line string, "
     "episode_month date, admission_date date, discharge_date date"
@@ -135,19 +138,58 @@ def test_overlapping_rules_are_reported(spark):
     )
     # a scope does not keep rules apart: the ledger meets both
     assert values(mapping.overlapping_rules(rules), "allocation_rule_id") == [("R2",), ("R6",)]
-    dates = rules.filter("active_flag = 'Y'")
+
+
+def test_segments_follow_the_versions(spark):
+    """Every day of every version lies in one segment; days that two versions claim are contested."""
+    rng = random.Random(4)
+    day = date(2024, 1, 1)
+    rows = []
+    for key in range(12):
+        for i in range(rng.randint(1, 5)):
+            start = rng.randint(0, 60)
+            rows.append((f"P{key}", f"D{key}-{i}", day + timedelta(start), day + timedelta(start + rng.randint(-1, 30))))
+    rows += [rows[0], rows[0][:2] + (None, day), ("P0", "open", day, None)]
+    versions = inline(spark, rows, "k string, v string, effective_from date, effective_to date")
+    found = mapping.segments(versions, ["k"]).collect()
+    for key in range(12):
+        for i in range(-2, 100):
+            at = day + timedelta(i)
+            there = [r[1] for r in rows if r[0] == f"P{key}" and r[2] and r[3] and r[2] <= at <= r[3]]
+            hit = [s for s in found if s.k == f"P{key}" and s.effective_from <= at <= s.effective_to]
+            assert len(hit) == (1 if there else 0)
+            if there:
+                assert hit[0].contested == (len(there) > 1)
+                assert hit[0].v == (there[0] if len(there) == 1 else None)
+
+
+def test_contested_rules_block_their_pool_and_no_other(spark):
     centres = inline(
         spark,
-        [("W", "P", date(2024, 1, 1), date(2024, 6, 30)), ("W", "Q", date(2024, 7, 1), date(2024, 12, 31))],
+        [("W1", "P", FIRST, LAST), ("W2", "Q", FIRST, LAST), ("W3", "P", FIRST, date(2024, 6, 30)), ("W3", "Q", date(2024, 6, 1), LAST)],
         "cost_centre_id string, cost_pool_code string, effective_from date, effective_to date",
-    )
-    apart = mapping.Mapping(cost_centre=centres, account=None, rule=dates.filter("allocation_rule_id IN ('R1', 'R3', 'R7')"))
-    mapping.refuse_overlaps(apart)
-    with pytest.raises(ValueError, match="allocation rules overlap"):
-        mapping.refuse_overlaps(mapping.Mapping(cost_centre=centres, account=None, rule=dates))
-    twice = mapping.Mapping(cost_centre=centres.union(centres.limit(1)), account=None, rule=apart.rule)
-    with pytest.raises(ValueError, match="cost centres overlap"):
-        mapping.refuse_overlaps(twice)
+    ).withColumn("active_flag", F.lit("Y"))
+    accounts = inline(spark, [("A", "C", "Indirect", "bed_days", "Y")],
+                      "natural_account string, cost_category string, costing_treatment string, default_driver string, active_flag string")
+    rules = inline(
+        spark,
+        [("P", "C", "bed_days", FIRST, date(2024, 6, 30)), ("P", "C", "encounter_count", date(2024, 6, 1), LAST), ("Q", "C", "bed_days", FIRST, LAST)],
+        "cost_pool_code string, cost_category string, allocation_driver string, effective_from date, effective_to date",
+    ).withColumn("active_flag", F.lit("Y"))
+    months = [date(2024, 5, 1), date(2024, 6, 1), date(2024, 7, 1)]
+    ledger = inline(spark, [(1, m, "Main", w, "A", Decimal(100)) for m in months for w in ("W1", "W2", "W3")],
+                    "load_run_id long, reporting_month date, facility string, cost_centre_id string, natural_account string, signed_amount decimal(19,6)")
+    found = pools.cost_pools(ledger, mapping.governed(centres, accounts, rules))
+    assert found.agg(F.sum("source_gl_amount")).first()[0] == 900 and found.count() == 9
+    status = {(r.cost_centre_id, r.reporting_month.month): (r.cost_pool_code, r.pool_status, r.allocation_driver) for r in found.collect()}
+    assert status["W1", 5] == ("P", "READY", "bed_days") and status["W1", 7] == ("P", "READY", "encounter_count")
+    assert status["W1", 6][:2] == ("P", "REVIEW")
+    assert {status["W2", m] for m in (5, 6, 7)} == {("Q", "READY", "bed_days")}
+    assert status["W3", 6][:2] == ("UNMAPPED", "REVIEW") and status["W3", 7][0] == "Q"
+    notes = {r.review_note for r in found.filter("pool_status = 'REVIEW'").collect()}
+    assert notes == {K.NOTE_CONTESTED_RULE, K.NOTE_CONTESTED_CENTRE}
+    reasons = unallocated.review_pools(found).select("unallocated_reason", "unallocated_amount").collect()
+    assert [tuple(r) for r in reasons] == [("REVIEW", 100), ("REVIEW", 100)]
 
 
 # --- allocation -------------------------------------------------------------------
@@ -304,13 +346,36 @@ def test_bracketed_percentile_is_exact(spark, p):
     }
     rows = [(g, v.quantize(Decimal("0.000001"))) for g, vs in groups.items() for v in vs]
     df = stage(inline(spark, rows, "g string, v decimal(19,6)"), "values")
-    found = {r.g: r for r in percentiles.group_percentile(df, ["g"], "v", p, "q", buffer_rows=0).collect()}
-    builtin = {r.g: r.q for r in percentiles.group_percentile(df, ["g"], "v", p, "q").collect()}
+    found = {r.g: r for r in percentiles.group_percentile(df, ["g"], "v", p, "q").collect()}
+    coarse = {r.g: r.q for r in percentiles.group_percentile(df, ["g"], "v", p, "q", accuracy=10).collect()}
     for g, vs in groups.items():
         exact = interpolated([v.quantize(Decimal("0.000001")) for v in vs], p)
         assert found[g].cohort_count == len(vs)
         assert found[g].q == pytest.approx(exact, abs=1e-9)
-        assert builtin[g] == pytest.approx(exact, abs=1e-9)
+        assert coarse[g] == pytest.approx(exact, abs=1e-9)
+
+
+def test_one_cohort_is_ranked_in_many_tasks(spark):
+    """All rows in one group: what lies inside the bracket is dealt out by value."""
+    df = stage(spark.range(40_000).select(F.lit("all").alias("g"), F.expr("(id * 7919) % 40000").alias("v")), "values")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # a coarse sketch leaves most rows inside
+        placed = percentiles._placed(df.withColumnRenamed("v", "value"), ["g"], [("q", 0.5)], 0.4, 10)
+        sizes = [r["count"] for r in placed.where("value IS NOT NULL").groupBy("part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * min(sizes)
+    several = percentiles.group_percentiles(df, ["g"], "v", {"p95": 0.95, "low": 0.01, "median": 0.5}).first()
+    assert several.cohort_count == 40_000
+    assert (several.low, several.median, several.p95) == pytest.approx((399.99, 19999.5, 37999.05), abs=1e-6)
+
+
+def test_percentile_of_null_groups_and_values(spark):
+    df = inline(spark, [(None, 1), (None, 3), ("a", None), ("b", 2), ("b", None)], "g string, v int")
+    found = percentiles.group_percentile(df, ["g"], "v", 0.5, "q").collect()
+    assert sorted(map(tuple, found), key=str) == [("b", 1, 2.0), (None, 2, 2.0)]
 
 
 def test_numeric_summary_and_frequencies(spark):
@@ -601,11 +666,12 @@ def test_control_totals_ignore_keys_without_control(spark):
     assert values(checks.control_differences(control, actual, ["k"]), "k") == [("b",)]
 
 
-def test_numeric_summary_with_too_many_values_for_a_buffer(spark):
-    df = inline(spark, [(float(i), float(i % 3)) for i in range(2001)], "x double, y double")
-    small = summaries.numeric_summary(df, ["x", "y"], buffer_rows=100)
-    assert values(small) == values(summaries.numeric_summary(df, ["x", "y"]))
-    assert values(small, "measure", "median", "p95") == [("x", 1000.0, 1900.0), ("y", 1.0, 2.0)]
+def test_numeric_summary_of_many_values_and_groups(spark):
+    df = inline(spark, [(float(i), float(i % 3), i % 2) for i in range(2001)], "x double, y double, odd int")
+    found = summaries.numeric_summary(df, ["x", "y"])
+    assert values(found, "measure", "median", "p95") == [("x", 1000.0, 1900.0), ("y", 1.0, 2.0)]
+    grouped = summaries.numeric_summary(df, ["x"], by=("odd",))
+    assert values(grouped, "odd", "count", "median") == [(0, 1001, 1000.0), (1, 1000, 1000.0)]
 
 
 def test_clear_staging_removes_only_own_files(spark, tmp_path):
