@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave.schemas import LINEAGE, RUN, Entity, Field
-from costweave.session import lookups
+from costweave.session import lookups, stage
 
 ENCOUNTER_KEY = [RUN, "encounter_id"]
 
@@ -53,8 +53,11 @@ def classify(
             rows = rows.join(values.withColumn(f"_known_{column}", F.lit(True)), column, "left")
             checks[f"unknown {column}"] = f"_known_{column} IS NULL"
     if unique:
+        # a first pass over keys alone; what repeats is stored, so that its size decides the join
+        # and the rows themselves stay where they are
         copies = rows.groupBy(RUN, entity.key).agg(F.count(F.lit(1)).alias("_copies"))
-        rows = rows.join(copies.filter(F.col("_copies") > 1), [RUN, entity.key], "left")
+        repeated = stage(copies.filter(F.col("_copies") > 1), "repeated_keys")
+        rows = rows.join(repeated, [RUN, entity.key], "left")
         checks[f"repeated {entity.key}"] = "_copies IS NOT NULL"
     checks |= {f"invalid {name}": f"{name} IS NULL" for name in typed}
     checks |= {f"negative {name}": f"{name} < 0" for name in entity.non_negative}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,6 +215,62 @@ def gather(*pairs: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
     return results, issues
 
 
+ISSUE_KEY = ["validation_rule_id", "source_entity", "business_key", "field_name"]
+LIFE_COLUMNS = [*ISSUE_COLUMNS, "first_run_id", "created_at_utc", "resolved_at_utc", "resolution_note"]
+
+
+def carry_forward(previous: DataFrame | None, current: DataFrame, run: int, at: datetime) -> DataFrame:
+    """The issues of ``run`` with their life so far, and those that it no longer has, as resolved.
+
+    An issue is known again by its rule, entity, business key and field, whatever row it
+    is on this time. ``previous`` is the result for the run before. What was open there and is
+    found again stays open with its first run and creation time; what is not found is
+    resolved at ``at`` and leaves with the next run; what is new opens. Nulls in a key are
+    equal. Several rows with one key share their life, and none is multiplied: the earlier
+    run is reduced to keys first.
+    """
+    opened = {
+        "first_run_id": F.lit(run).cast("long"),
+        "created_at_utc": F.lit(at).cast("timestamp"),
+        "resolved_at_utc": F.lit(None).cast("timestamp"),
+        "resolution_note": F.lit(None).cast("string"),
+    }
+    current = current.select(*ISSUE_COLUMNS)
+    if previous is None:
+        return current.withColumns(opened).select(*LIFE_COLUMNS)
+    still = previous.filter(F.col("issue_status") == "OPEN")
+    lives = still.groupBy(*[F.col(c).alias(f"_{c}") for c in ISSUE_KEY]).agg(
+        F.min("first_run_id").alias("_first"), F.min("created_at_utc").alias("_created")
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ISSUE_KEY])
+    found = current.withColumns(opened).join(lives, same, "left").withColumns(
+        {
+            "first_run_id": F.coalesce("_first", "first_run_id"),
+            "created_at_utc": F.coalesce("_created", "created_at_utc"),
+        }
+    )
+    now = current.select(*[F.col(c).alias(f"_{c}") for c in ISSUE_KEY]).distinct()
+    gone = still.join(now, same, "left_anti").withColumns(
+        {
+            RUN: F.lit(run).cast("long"),
+            "issue_status": F.lit("RESOLVED"),
+            "resolved_at_utc": F.lit(at).cast("timestamp"),
+            "resolution_note": F.lit(f"Not found in run {run}."),
+        }
+    )
+    return found.select(*LIFE_COLUMNS).unionByName(gone.select(*LIFE_COLUMNS))
+
+
+def life_summary(lives: DataFrame) -> DataFrame:
+    """Issues and impact of a run by rule, status and whether they are new in it."""
+    return lives.groupBy(
+        RUN, "validation_rule_id", "issue_status", (F.col("first_run_id") == F.col(RUN)).alias("new_flag")
+    ).agg(
+        F.count(F.lit(1)).alias("issue_count"),
+        F.sum(F.coalesce("financial_impact", F.lit(0).cast(MONEY))).cast(TOTAL).alias("financial_impact"),
+    )
+
+
 def issue_summary(issues: DataFrame) -> DataFrame:
     """Issues and impact per entity and field."""
     return issues.groupBy(RUN, "source_entity", "field_name").agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from costweave.functions.columns import quoted, stacked
 from costweave.operators.percentiles import group_percentiles
+from costweave.schemas import RUN, TOTAL
 from costweave.session import stage
 
 
@@ -50,6 +51,43 @@ def numeric_summary(
     )
 
 
+def grouped_totals(df: DataFrame, by: list[str], sums: list[str]) -> DataFrame:
+    """Rows and sums of each run, and of each run and value of every column of ``by``, in one pass.
+
+    ``load_run_id, level, value, row_count`` and the sums; ``level`` is ``run`` or the name
+    of the column. Grouping sets add up inside each task before anything moves.
+    """
+    sets = [[RUN], *[[RUN, c] for c in by]]
+    level, value = F.lit("run"), F.lit(None).cast("string")
+    for c in by:
+        of_column = F.grouping(c) == 0
+        level = F.when(of_column, c).otherwise(level)
+        value = F.when(of_column, F.col(c).cast("string")).otherwise(value)
+    totals = df.groupingSets(sets, RUN, *by).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL).alias(c) for c in sums],
+        level.alias("level"),
+        value.alias("value"),
+    )
+    return totals.select(RUN, "level", "value", "row_count", *sums)
+
+
+def ledger_statistics(ledger: DataFrame) -> DataFrame:
+    """Transactions and signed amount of the run, of its months and of its adjustment types."""
+    return grouped_totals(ledger, ["reporting_month", "adjustment_type"], ["signed_amount"])
+
+
+def funding_statistics(funding: DataFrame) -> DataFrame:
+    """Encounters, weighted activity and funding of the run, of its statuses and of its months.
+
+    Only calculated funding counts.
+    """
+    names = ["final_synthetic_nwau", "estimated_synthetic_funding"]
+    calculated = F.col("funding_status") == "CALCULATED"
+    counted = funding.withColumns({c: F.when(calculated, F.col(c)) for c in names})
+    return grouped_totals(counted, ["funding_status", "episode_month"], names)
+
+
 def frequencies(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per value of each column and their share of all rows, in one pass."""
     rows = [[quoted(c), f"CAST({c} AS STRING)"] for c in columns]

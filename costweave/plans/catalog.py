@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -336,6 +337,23 @@ def a7(spark, sf_dir):
     return reference.upsert(target, source, ["id"])
 
 
+@query(
+    "b6_repeated_keys",
+    """SELECT CAST(2 * COUNT(*) FILTER (encounter_id LIKE '%7') AS BIGINT) AS repeated_count,
+              CAST((SELECT COUNT(*) FROM penc WHERE encounter_id NOT LIKE '%7') AS BIGINT) AS staged_count FROM enc""",
+)
+def b6r(spark, sf_dir):
+    """Some encounters land twice: no copy of them is staged."""
+    landed = star.encounter_landing(spark, sf_dir)
+    twice = landed.unionByName(landed.filter("trim(encounter_id) LIKE '%7'"))
+    rows = promote.classify(twice, ENCOUNTER, references=star.references(spark), unique=True)
+    repeated = F.contains("reject_reason", F.lit("repeated encounter_id"))
+    return rows.agg(
+        F.count(F.when(repeated, 1)).alias("repeated_count"),
+        F.count(F.when(F.col("reject_reason").isNull(), 1)).alias("staged_count"),
+    )
+
+
 @query(
     "a8_replace_run",
     f"""SELECT load_run_id, CAST(COUNT(*) AS BIGINT) AS row_count, {shown('SUM(signed_amount)')} AS amount
@@ -1322,6 +1340,26 @@ def i7(spark, sf_dir):
     return show(_register(spark, sf_dir)[1])
 
 
+@query(
+    "i7_issue_life_cycle",
+    f"""SELECT CAST(2 AS BIGINT) AS load_run_id, 'GL_UNKNOWN_COST_CENTRE' AS validation_rule_id,
+               CASE WHEN again THEN 'OPEN' ELSE 'RESOLVED' END AS issue_status, again AND NOT was AS new_flag,
+               CAST(COUNT(*) AS BIGINT) AS issue_count, {shown('SUM(signed_amount)')} AS financial_impact
+        FROM (SELECT signed_amount, signed_amount > 10000 AS again, bool_or(signed_amount < 40000) OVER same AS was,
+                     bool_or(signed_amount > 10000) OVER same AS key_again
+              FROM mapped WHERE NOT centre_found WINDOW same AS (PARTITION BY gl_transaction_id)) t
+        WHERE again OR NOT key_again GROUP BY ALL""",
+)
+def i7l(spark, sf_dir):
+    """Two runs: small issues of the first are gone in the second, large ones are new there."""
+    ledger, refs = star.ledger(spark, sf_dir), star.mapping(spark, sf_dir)
+    issues = stage(quality.unknown_cost_centre(ledger, refs)[1], "issues")
+    first, second = (datetime(2025, month, 1) for month in (7, 8))
+    before = quality.carry_forward(None, issues.filter("financial_impact < 40000"), 1, first)
+    found = issues.filter("financial_impact > 10000").withColumn(RUN, F.lit(2).cast("long"))
+    return show(quality.life_summary(quality.carry_forward(stage(before, "lives"), found, 2, second)))
+
+
 @query(
     "i7_issue_summary",
     f"""SELECT load_run_id, source_entity, field_name, CAST(COUNT(*) AS BIGINT) AS issue_count,
@@ -1548,6 +1586,50 @@ def d14e(spark, sf_dir):
     )
 
 
+@query(
+    "k21_ledger_statistics",
+    f"""SELECT load_run_id, 'run' AS level, NULL AS value, CAST(COUNT(*) AS BIGINT) AS row_count, {shown('SUM(signed_amount)')} AS signed_amount
+        FROM gl GROUP BY 1
+        UNION ALL SELECT load_run_id, 'reporting_month', {d('reporting_month')}, CAST(COUNT(*) AS BIGINT), {shown('SUM(signed_amount)')}
+        FROM gl GROUP BY 1, reporting_month
+        UNION ALL SELECT load_run_id, 'adjustment_type', adjustment_type, CAST(COUNT(*) AS BIGINT), {shown('SUM(signed_amount)')}
+        FROM gl GROUP BY 1, adjustment_type""",
+)
+def k21l(spark, sf_dir):
+    return show(summaries.ledger_statistics(star.ledger(spark, sf_dir)))
+
+
+_FUNDED = """CAST(COUNT(*) AS BIGINT) AS row_count,
+    ROUND(CAST(COALESCE(SUM(CASE WHEN funding_status = 'CALCULATED' THEN final_synthetic_nwau END), 0) AS DOUBLE), 2) AS final_synthetic_nwau,
+    ROUND(CAST(COALESCE(SUM(CASE WHEN funding_status = 'CALCULATED' THEN estimated_synthetic_funding END), 0) AS DOUBLE), 2)
+        AS estimated_synthetic_funding"""
+
+
+@query(
+    "k21_funding_statistics",
+    f"""SELECT load_run_id, 'run' AS level, NULL AS value, {_FUNDED} FROM fund GROUP BY 1
+        UNION ALL SELECT load_run_id, 'funding_status', funding_status, {_FUNDED} FROM fund GROUP BY 1, funding_status
+        UNION ALL SELECT load_run_id, 'episode_month', {d('episode_month')}, {_FUNDED} FROM fund GROUP BY 1, episode_month""",
+)
+def k21f(spark, sf_dir):
+    return show(summaries.funding_statistics(_encounter_funding(spark, sf_dir)))
+
+
+@query(
+    "k21_numeric_summaries",
+    _summary_sql("(SELECT SUM(signed_amount) AS signed_gl_total FROM gl GROUP BY load_run_id, reporting_month) t", ["signed_gl_total"])
+    + " UNION ALL "
+    + _summary_sql("(SELECT final_synthetic_nwau FROM fund WHERE funding_status = 'CALCULATED') t", ["final_synthetic_nwau"]),
+)
+def k21n(spark, sf_dir):
+    """Monthly ledger totals and the weighted activity of funded encounters."""
+    monthly = pools.ledger_totals(star.ledger(spark, sf_dir), RUN, "reporting_month")
+    funded = _encounter_funding(spark, sf_dir).filter("funding_status = 'CALCULATED'")
+    return summaries.numeric_summary(monthly, ["signed_gl_total"]).unionByName(
+        summaries.numeric_summary(funded, ["final_synthetic_nwau"])
+    )
+
+
 _ATTRIBUTES = ("service_line", "care_type", "activity_group_code", "episode_month")
 
 

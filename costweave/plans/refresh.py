@@ -18,6 +18,7 @@ from costweave.operators import checks, drivers, promote, quality
 from costweave.operators.funding import adjustment_factors
 from costweave.operators.mapping import governed
 from costweave.operators.promote import accepted, classify, rejected
+from costweave.plans.assurance import assure
 from costweave.plans.costing import CostingRun
 from costweave.schemas import ENCOUNTER, ENTITIES, REFERENCES, RUN
 from costweave.session import stage
@@ -116,13 +117,16 @@ def current_run(wh: Warehouse) -> int:
 
 
 def promote_rows(wh: Warehouse, run: int) -> dict[str, DataFrame]:
-    """Classify landed rows; accepted and rejected rows stay in one table per entity."""
+    """Classify landed rows; accepted and rejected rows stay in one table per entity.
+
+    Every copy of a repeated business key is rejected: which of them is right is not known.
+    """
     references = {column: wh.read(f"ref.{name}") for column, name in CONFORMED.items()}
     classified: dict[str, DataFrame] = {}
     for name, entity in ENTITIES.items():
         parents = accepted(classified[ENCOUNTER.name]) if entity.needs_encounter else None
         rows = classify(
-            wh.read(f"landing.{name}", run), entity, references=references, encounters=parents
+            wh.read(f"landing.{name}", run), entity, references=references, encounters=parents, unique=True
         )
         classified[name] = wh.replace(f"stg.{name}", rows, run)
     wh.replace("dq.promotion_summary", promote.promotion_summary(classified), run)
@@ -202,9 +206,12 @@ def refresh(
     at: datetime,
     run: int,
     financial_year: str | None = None,
+    expect: checks.Expectations = checks.YEAR,
 ) -> DataFrame:
     """All steps in order; returns whether the run may be published."""
     load(wh, source_root, expected_rows, at, run, financial_year)
     seed(wh, reference_root)
     promote_rows(wh, run)
-    return check(wh, run, cost(wh, run))
+    ready = check(wh, run, cost(wh, run))
+    assure(wh, run, at, expect)
+    return ready

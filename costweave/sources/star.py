@@ -81,12 +81,12 @@ RULE_SCOPES = {
     "ALLIED_SPECIAL": "Specialist Rehabilitation",
 }
 ENDED_RULE, ENDED_RULE_TO = ("MEDICAL", "Supplies"), "1998-12-31"
-# group, name, stream, weight, trim days, weight per outlier day
+# group, name, stream, weight, trim days, weight per outlier day: invented for the star schema
 FUNDING_GROUPS = [
-    ("AG01", "Complex Medical", "Admitted acute", "1.8500", 12, "0.0550", "N"),
-    ("AG02", "General Medical", "Admitted acute", "0.9000", 7, "0.0400", "N"),
-    ("AG04", "Minor Surgical or Same-day", "Admitted acute", "0.7500", 1, "0.0300", "N"),
-    ("AG06", "Paediatric", "Admitted acute", "1.0500", 8, "0.0450", "N"),
+    ("AG01", "Urgent orders", "Admitted acute", "2.4000", 9, "0.0700", "N"),
+    ("AG02", "Planned orders", "Admitted acute", "1.1000", 6, "0.0300", "N"),
+    ("AG04", "Counter orders", "Admitted acute", "0.6000", 2, "0.0200", "N"),
+    ("AG06", "Orders for the young", "Admitted acute", "1.3000", 5, "0.0500", "N"),
 ]
 
 

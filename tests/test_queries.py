@@ -19,6 +19,11 @@ COMPARED = [
     "h1_cost_pools",
     "h7_patient_level_cost",
     "h14_encounter_funding",
+    "i7_issue_life_cycle",
+    "b6_repeated_keys",
+    "k21_funding_statistics",
+    "k21_ledger_statistics",
+    "m4_contested_pools",
     "k3_encounter_checks",
     "l2_bed_days_and_splits",
 ]

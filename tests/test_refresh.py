@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from costweave import constants as K
 from costweave.plans import reporting
 from costweave.plans.refresh import Warehouse, current_run, refresh
 from tests import hospital
@@ -209,3 +210,73 @@ def test_failed_load_is_logged_and_not_current(hospital_run, tmp_path):
     with pytest.raises(Exception):
         refresh(wh, str(tmp_path / "missing"), "", EXPECTED, AT, 2)
     assert current_run(wh) == 1
+
+
+def test_assurance_is_stored(hospital_run):
+    wh, *_ = hospital_run
+    found = {r.check_id: (r.status, r.observed) for r in wh.read("dq.check_result", 1).collect()}
+    assert {"SRC-ROW-CONTROL", "ENC-UNIQUE", "RES-FK", "GL-MONTH-CONTROL", "ABF-CALC", "PLAUS-VOLUME"} <= found.keys()
+    assert found["ENC-UNIQUE"] == ("PASS", "0") and found["SRC-ROW-CONTROL"][0] == "PASS"
+    assert found["RES-NEG-PATH"][0] == "EXPECTED" and found["GL-MONTH-CONTROL"] == ("PASS", "0")
+    assert found["ABF-MONTH-CONTROL"] == ("PASS", "0") and found["PLAUS-VOLUME"][0] == "WARNING"
+    status = one(wh.read("dq.check_status", 1))
+    assert status.check_count == len(found) and status.overall_status == "FAIL"
+    as_lines = wh.spark.read.json(wh.path("controls.check_report.1"))
+    assert as_lines.count() == len(found)
+
+
+def test_statistics_and_controls_are_stored(hospital_run):
+    wh, *_ = hospital_run
+    ledger = wh.read("dq.ledger_statistic", 1)
+    whole = one(ledger.filter("level = 'run'"))
+    assert (whole.row_count, whole.signed_amount) == (14, Decimal(hospital.GL_TOTAL))
+    for level in ("reporting_month", "adjustment_type"):
+        assert one(ledger.filter(F.col("level") == level).agg(F.sum("signed_amount")))[0] == Decimal(hospital.GL_TOTAL)
+    extract, control = wh.read("abf.encounter_funding", 1), wh.read("abf.monthly_control_total", 1)
+    assert extract.count() == 28 and one(control.agg(F.sum("encounter_count")))[0] == 28
+    as_csv = wh.spark.read.option("header", True).csv(wh.path("controls.abf_monthly_control_total.1"))
+    assert as_csv.count() == control.count()
+    lost = one(wh.read("dq.unallocated_materiality", 1).agg(F.sum("unallocated_amount")))[0]
+    assert lost == one(wh.read("costing.unallocated_cost", 1).agg(F.sum("unallocated_amount")))[0]
+    odd = wh.read("dq.implausible_resource", 1)
+    assert rows(odd.filter("blocking_flag = 'Y'"), "measure", "value") == [("pathology_weighted_units", -2)]
+
+
+def test_issue_lives_over_two_runs(spark, tmp_path):
+    """The second run repairs the negative driver, lands an encounter twice and has a contested rule."""
+    raw, ref = hospital.write(tmp_path)
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    refresh(wh, raw, ref, EXPECTED, AT, 1).collect()
+    lives = wh.read("dq.issue_life", 1)
+    assert {tuple(r) for r in lives.select("issue_status", "first_run_id", "created_at_utc").collect()} == {("OPEN", 1, AT)}
+    path = tmp_path / "raw" / "resource_usage.csv"
+    path.write_text(path.read_text().replace("-2", "2"))
+    path = tmp_path / "raw" / "patient_encounter.csv"
+    lines = path.read_text().splitlines()
+    again = next(line for line in lines if "E10" in line.split(","))
+    path.write_text("\n".join([*lines, again]) + "\n")
+    path = tmp_path / "reference" / "allocation_rule.csv"
+    ward = next(line for line in path.read_text().splitlines() if line.startswith("RULE_WARD"))
+    moved = ward.replace("RULE_WARD", "RULE_WARD2").replace(hospital.FROM, "2025-01-01")
+    path.write_text(path.read_text() + moved + "\n")
+    later = datetime(2025, 8, 1, 8, 0, 0)
+    refresh(wh, raw, ref, EXPECTED, later, 2).collect()
+    second = {(r.validation_rule_id, r.issue_status, r.first_run_id) for r in wh.read("dq.issue_life", 2).collect()}
+    assert ("RU_NOT_PROMOTED", "RESOLVED", 1) in second and ("DC_NOT_PROMOTED", "OPEN", 1) in second
+    # both copies of the encounter are rejected, so what names it is a new issue
+    assert ("RU_NOT_PROMOTED", "OPEN", 2) in second
+    twice = wh.read("stg.patient_encounter", 2).filter("encounter_id = 'E10'")
+    assert rows(twice, "reject_reason") == [("repeated encounter_id",)] * 2
+    gone = one(wh.read("dq.issue_life", 2).filter("issue_status = 'RESOLVED' AND validation_rule_id = 'RU_NOT_PROMOTED'"))
+    assert (gone.created_at_utc, gone.resolved_at_utc, gone.resolution_note) == (AT, later, "Not found in run 2.")
+    # the ward waits for review, every other pool is costed and the total agrees
+    costs = wh.read("costing.patient_level_cost", 2)
+    assert costs.count() == 27 and costs.filter("total_patient_cost > 0").count() > 20
+    pools = wh.read("costing.cost_pool", 2)
+    assert one(pools.agg(F.sum("source_gl_amount")))[0] == Decimal(hospital.GL_TOTAL)
+    waiting = pools.filter("cost_pool_code = 'WARD_NURSING' AND pool_status = 'REVIEW'")
+    assert {r[0] for r in rows(waiting.filter("cost_centre_id = 'CC_WARD' AND natural_account = '500100'"), "review_note")} == {
+        K.NOTE_CONTESTED_RULE
+    }
+    total = one(wh.read("recon.costing_reconciliation", 2).filter("reconciliation_level = 'TOTAL'"))
+    assert abs(total.reconciliation_difference) < Decimal("0.01")
