@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costweave.session import lookups, stage
+from costweave.session import stage
 
 
 RULE_KEYS = ["cost_pool_code", "cost_category"]
@@ -17,7 +17,7 @@ PERIOD = ["effective_from", "effective_to"]
 
 @dataclass(frozen=True)
 class Mapping:
-    """Active reference rows, each hinted for broadcast when small enough.
+    """Active reference rows.
 
     Centres and rules are ``segments`` of their versions, with ``contested``.
     """
@@ -30,9 +30,10 @@ class Mapping:
 def governed(
     cost_centre: DataFrame, account_mapping: DataFrame, allocation_rule: DataFrame
 ) -> Mapping:
-    """Keep active rows and the columns costing reads; check all sizes at once.
+    """Keep active rows and the columns costing reads.
 
-    Versions are laid out as segments and stored, so a ledger row meets one at most.
+    Versions are laid out as segments, so a ledger row meets one at most. They are stored:
+    the optimizer sees their size and decides how to join them.
     """
     active = F.col("active_flag") == "Y"
     centres = cost_centre.filter(active).select(
@@ -41,14 +42,13 @@ def governed(
     rules = allocation_rule.filter(active).select(
         *RULE_KEYS, "allocation_driver", "effective_from", "effective_to"
     )
-    centre, account, rule = lookups(
-        stage(segments(centres, CENTRE_KEYS), "centre_segments"),
-        account_mapping.filter(active).select(
+    return Mapping(
+        cost_centre=stage(segments(centres, CENTRE_KEYS), "centre_segments"),
+        account=account_mapping.filter(active).select(
             "natural_account", "cost_category", "costing_treatment", "default_driver"
         ),
-        stage(segments(rules, RULE_KEYS), "rule_segments"),
+        rule=stage(segments(rules, RULE_KEYS), "rule_segments"),
     )
-    return Mapping(cost_centre=centre, account=account, rule=rule)
 
 
 def segments(versions: DataFrame, keys: list[str]) -> DataFrame:

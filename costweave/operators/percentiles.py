@@ -51,6 +51,9 @@ def group_percentiles(
 def _placed(known: DataFrame, keys: list[str], ps: list[tuple[str, float]], margin: float, accuracy: int) -> DataFrame:
     """Values inside brackets with their ``copies``, and the rows between brackets, by range partition."""
     points = [min(max(p + side, 0.0), 1.0) for _, p in ps for side in (-margin, margin)]
+    # a bracket of few rows could lie beside the two ranks it is for: such a group, of less than
+    # 2 * accuracy rows, counts all its values
+    few = F.col("cohort_count") * F.lit(margin) < 4
     groups = stage(
         known.groupBy(*keys)
         .agg(
@@ -62,8 +65,10 @@ def _placed(known: DataFrame, keys: list[str], ps: list[tuple[str, float]], marg
         .select(
             *[F.col(k).alias(f"_{k}") for k in keys],
             "cohort_count",
-            F.array(*[F.col("q")[i] if 0 < q else F.col("least") for i, q in enumerate(points)][::2]).alias("low"),
-            F.array(*[F.col("q")[i] if q < 1 else F.col("most") for i, q in enumerate(points)][1::2]).alias("high"),
+            F.array(*[F.when(few | F.lit(q <= 0), F.col("least")).otherwise(F.col("q")[i])
+                      for i, q in enumerate(points)][::2]).alias("low"),
+            F.array(*[F.when(few | F.lit(q >= 1), F.col("most")).otherwise(F.col("q")[i])
+                      for i, q in enumerate(points)][1::2]).alias("high"),
         ),
         "brackets",
     )

@@ -85,9 +85,13 @@ class CostingRun:
         """Patient-level cost before the cohort comparison; a narrow pass over the base."""
         return patient.patient_level_cost(self.base, self.overhead_rates)
 
+    @cached_property
+    def stored_costs(self) -> DataFrame:
+        return stage(self.costs, "patient_cost")
+
     @cached_property
     def flagged(self) -> DataFrame:
-        return patient.flag_high_cost(self.costs)
+        return patient.flag_high_cost(self.stored_costs)
 
     @cached_property
     def indirect_allocations(self) -> DataFrame:

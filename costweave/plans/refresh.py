@@ -168,7 +168,7 @@ def cost(wh: Warehouse, run: int) -> CostingRun:
     costing.indirect_allocations = stored.filter(F.col("costing_treatment") == "Indirect")
     costing.overhead_allocations = stored.filter(F.col("costing_treatment") == "Overhead")
     wh.replace("costing.unallocated_cost", costing.unallocated, run)
-    costing.costs = stage(costing.costs, "patient_cost")
+    costing.costs = costing.stored_costs
     wh.replace("costing.patient_level_cost", costing.flagged, run)
     wh.replace("costing.abf_comparison", costing.comparison, run)
     wh.replace("recon.costing_reconciliation", costing.reconciliation, run)
