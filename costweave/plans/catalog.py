@@ -1599,10 +1599,10 @@ def k21l(spark, sf_dir):
     return show(summaries.ledger_statistics(star.ledger(spark, sf_dir)))
 
 
-_FUNDED = """CAST(COUNT(*) AS BIGINT) AS row_count,
-    ROUND(CAST(COALESCE(SUM(CASE WHEN funding_status = 'CALCULATED' THEN final_synthetic_nwau END), 0) AS DOUBLE), 2) AS final_synthetic_nwau,
-    ROUND(CAST(COALESCE(SUM(CASE WHEN funding_status = 'CALCULATED' THEN estimated_synthetic_funding END), 0) AS DOUBLE), 2)
-        AS estimated_synthetic_funding"""
+_FUNDED = "CAST(COUNT(*) AS BIGINT) AS row_count, " + ", ".join(
+    f"""{shown(f"COALESCE(SUM(CASE WHEN funding_status = 'CALCULATED' THEN {c} END), 0)")} AS {c}"""
+    for c in ("final_synthetic_nwau", "estimated_synthetic_funding")
+)
 
 
 @query(
