@@ -193,49 +193,135 @@ def trust(seen: np.ndarray, order: int) -> np.ndarray:
     return np.where(seen > 0, c / (c + a * c**b), 0.0)
 
 
-def weights(counts: dict[int, np.ndarray], first: np.ndarray, totals: Totals) -> np.ndarray:
-    """The probability of each token: the arc it takes, after the failure arcs before it.
+@dataclass
+class Automaton:
+    """The states and arcs that the texts of a chunk can visit.
 
-    ``counts`` holds, for each order, how often the n-gram that ends at a token was learned.
+    State 0 is the empty one; then come the words, then the pairs of words. The arcs that
+    read a word are numbered in the same way, single words first, pairs and triples after
+    them: an arc named by an n-gram leaves the state of its first words. ``weight`` is NaN for an
+    n-gram that was not learned, which is no arc. All weights are log10 probabilities.
     """
-    n = max(totals.tokens, 1)
-    p = np.where(counts[1] > 0, (1 - totals.unknown) * counts[1] / n, totals.unknown)
-    for order in range(2, ORDER + 1):
-        # how often the state that the token leaves was seen; before the first token, an end
-        state = np.concatenate(([0], counts[order - 1][:-1]))[: p.size]
-        if order == 2:
-            ends = counts[1][first + np.diff(np.append(first, p.size)) - 1]
-            state[first] = ends
-        else:
-            state[first] = 0
-        t = trust(state, order)
-        p = t * counts[order] / np.maximum(state, 1) + (1 - t) * p
-    return p
+
+    order: np.ndarray  # of each state: how many words it remembers
+    fail_to: np.ndarray
+    fail: np.ndarray  # weight of the failure arc
+    to: np.ndarray  # of each arc
+    weight: np.ndarray
+    start: int  # a text starts after an end
+
+
+def build(counts: dict[int, np.ndarray], at: dict[int, np.ndarray], tokens: Tokens, totals: Totals) -> Automaton:
+    """``counts`` holds the learned count of each n-gram of the chunk, ``at`` the n-gram that ends at each token."""
+    words, pairs, triples = (counts[order].size for order in (1, 2, 3))
+    ending = at[1][tokens.first + tokens.counts - 1][0]
+    # the state before a token, by the n-gram that ends at the token before it
+    word_before, pair_before = (np.concatenate(([0], at[order][:-1])) for order in (1, 2))
+    word_before[tokens.first] = ending
+    pair = {part: np.zeros(pairs, np.int32) for part in ("first", "last")}
+    pair["first"][at[2]], pair["last"][at[2]] = word_before, at[1]
+    # the state of a text's start remembers one word, so no arc of three words leaves it
+    inner = np.ones(at[3].size, bool)
+    inner[tokens.first] = False
+    triple = {part: np.zeros(triples, np.int32) for part in ("first", "last")}
+    triple["first"][at[3][inner]], triple["last"][at[3][inner]] = pair_before[inner], at[2][inner]
+
+    known = {order: c > 0 for order, c in counts.items()}
+    p = {1: np.where(known[1], (1 - totals.unknown) * counts[1] / max(totals.tokens, 1), totals.unknown)}
+    trusted = {order: trust(counts[order - 1], order) for order in (2, 3)}
+    for order, parts in ((2, pair), (3, triple)):
+        t = trusted[order][parts["first"]]
+        share = counts[order] / np.maximum(counts[order - 1][parts["first"]], 1)
+        p[order] = t * share + (1 - t) * p[order - 1][parts["last"]]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        log = {order: np.log10(np.where(known[order] | (order == 1), p[order], np.nan)) for order in p}
+        fail = np.concatenate(([0.0], np.log10(1 - trusted[2]), np.log10(1 - trusted[3])))
+    word_state = np.where(known[1], 1 + np.arange(words), 0)
+    pair_state = np.where(known[2], 1 + words + np.arange(pairs), 0)
+    return Automaton(
+        order=np.repeat(np.arange(3, dtype=np.int8), (1, words, pairs)),
+        fail_to=np.concatenate(([0], np.zeros(words, np.int64), word_state[pair["last"]])).astype(np.int32),
+        fail=fail,
+        to=np.concatenate((word_state, pair_state, pair_state[triple["last"]])).astype(np.int32),
+        weight=np.concatenate((log[1], log[2], log[3])),
+        start=int(word_state[ending]),
+    )
+
+
+#: Tokens of a text that are read in one go; a state remembers two words, so a walk can be
+#: taken up anywhere by reading the two words before.
+STRETCH = 512
+
+
+def walk(automaton: Automaton, arcs: np.ndarray, tokens: Tokens) -> np.ndarray:
+    """The log10 probability of every text, read from left to right, many texts abreast.
+
+    ``arcs[order, i]`` is the arc by which token ``i`` leaves a state of ``order`` words. A
+    reader takes it if it was learned, and otherwise the failure arc, whose weight it adds, until
+    some arc reads the token; the empty state has an arc for every word. Long texts are
+    read in stretches, each by its own reader, that starts two tokens earlier without adding.
+    """
+    pieces = -(-tokens.counts // STRETCH)
+    text = np.repeat(np.arange(tokens.counts.size), pieces)
+    place = np.arange(text.size) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = tokens.first[text] + place * STRETCH
+    end = np.minimum(begin + STRETCH, (tokens.first + tokens.counts)[text])
+    lead = np.where(place > 0, 2, 0)
+    at = begin - lead
+    # longest first: those still reading stay in front
+    rank = np.argsort(at - end, kind="stable")
+    at, end, begin, text = at[rank], end[rank], begin[rank], text[rank]
+    state = np.where(at == begin, automaton.start, 0).astype(np.int32)
+    score = np.zeros(at.size)
+    lengths = end - at
+    reading = np.searchsorted(-lengths, -np.arange(lengths[0] if lengths.size else 0), "left")
+    for step, n in enumerate(reading.tolist()):
+        i = at[:n] + step
+        s = state[:n]
+        gained = np.zeros(n)
+        arc = arcs[automaton.order[s], i]
+        weight = automaton.weight[arc]
+        stuck = np.flatnonzero(np.isnan(weight))
+        while stuck.size:
+            left = s[stuck]
+            gained[stuck] += automaton.fail[left]
+            s[stuck] = automaton.fail_to[left]
+            arc[stuck] = arcs[automaton.order[s[stuck]], i[stuck]]
+            weight[stuck] = automaton.weight[arc[stuck]]
+            stuck = stuck[np.isnan(weight[stuck])]
+        state[:n] = automaton.to[arc]
+        score[:n] += np.where(i >= begin[:n], gained + weight, 0.0)
+    return np.bincount(text, score, minlength=tokens.counts.size)
 
 
 def _scored(answers: pa.Table, texts: pa.Table, deal: Deal, totals: Totals, key: str) -> pa.Table:
     tokens = Tokens(texts.column("text"))
     where = np.array([answers.column("order").to_numpy(), answers.column("bucket").to_numpy()])
-    counts = {}
+    counts, at = {}, {}
     for order in range(1, ORDER + 1):
         rows = np.flatnonzero(where[0] == order)
         rows = rows[np.argsort(where[1][rows])]
-        known = np.concatenate(
+        counts[order] = np.concatenate(
             [unpack_counts(answers.column("totals")[r].as_py(), answers.column("n")[r].as_py()) for r in rows.tolist()]
         )
-        _, at = np.unique(deal.name(tokens.grams(order), order), return_inverse=True)
-        counts[order] = known[at]
+        at[order] = np.unique(deal.name(tokens.grams(order), order), return_inverse=True)[1].astype(np.int32)
     total = lambda x: np.bincount(tokens.owner, x, minlength=tokens.counts.size)
-    base = np.log10(counts[1] + 1.0) - np.log10(totals.tokens + totals.distinct + 1.0)
+    known = counts[1][at[1]]
+    base = total(np.log10(known + 1.0) - np.log10(totals.tokens + totals.distinct + 1.0))
+    n_known = total(known > 0).astype(np.int64)
+    del known
+    automaton = build(counts, at, tokens, totals)
+    shift = np.cumsum([0, counts[1].size, counts[2].size]).astype(np.int32)
+    arcs = np.stack([at.pop(order) + shift[order - 1] for order in range(1, ORDER + 1)])
     return pa.table(
         [
             texts.column(key),
             texts.column("held_out"),
             pa.array(tokens.counts.astype(np.int64)),
-            pa.array(total(counts[1] > 0).astype(np.int64)),
+            pa.array(n_known),
             pa.array(np.full(tokens.counts.size, totals.tokens, np.int64)),
-            pa.array(total(base)),
-            pa.array(total(np.log10(weights(counts, tokens.first, totals)))),
+            pa.array(base),
+            pa.array(walk(automaton, arcs, tokens)),
         ],
         names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
     )

@@ -70,6 +70,8 @@ def empty(spark):
 def test_lm_equals_a_walk_through_the_automaton(spark):
     rng = random.Random(3)
     texts = [prose(rng, rng.randrange(0, 80), 30) for _ in range(120)] + [None, "", "A a B"]
+    # longer than several stretches, learned and held out, ends at the edges of stretches too
+    texts += [prose(rng, n, 30) for n in (1700, 1024, 511, 512, 513, 1535, 1023)]
     held = lambda i: i % 5 == 0
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     got = {r.doc_id: r for r in lm.score(make(spark, rows), F.col("doc_id") % 5 == 0).collect()}
@@ -107,6 +109,32 @@ def test_lm_equals_a_walk_through_the_automaton(spark):
         assert sum(step(tuple(state), w) for w in [*uni, "never seen"]) == pytest.approx(1)
 
 
+def test_lm_readers_may_start_anywhere():
+    """However long the stretches, a text scores the same, also among unknown words."""
+    rng = random.Random(4)
+    texts = pa.array([prose(rng, n, 12) for n in (0, 1, 2, 3, 90, 400)])
+    tokens = lm.Tokens(texts)
+    counts, at = {}, {}
+    for order in (1, 2, 3):
+        names, at[order] = np.unique(tokens.grams(order), return_inverse=True)
+        counts[order] = np.bincount(at[order]) * (names % np.uint64(3) > 0)
+    # what is learned holds what it ends with
+    for order in (2, 3):
+        for i in range(tokens.token.size):
+            if counts[order - 1][at[order - 1][i]] == 0:
+                counts[order][at[order][i]] = 0
+    totals = lm.Totals(int(counts[1].sum()), int((counts[1] > 0).sum()), 2)
+    automaton = lm.build(counts, at, tokens, totals)
+    arcs = np.stack([at[1], at[2] + counts[1].size, at[3] + counts[1].size + counts[2].size])
+    whole = lm.walk(automaton, arcs, tokens)
+    stretch = lm.STRETCH
+    try:
+        for lm.STRETCH in (2, 3, 7, 64):
+            assert lm.walk(automaton, arcs, tokens) == pytest.approx(whole)
+    finally:
+        lm.STRETCH = stretch
+
+
 def test_lm_edge_cases(awkward, empty):
     rows = lm.score(awkward, F.lit(False)).collect()
     assert len(rows) == len(AWKWARD) and all(r.score < 0 and r.n_tokens >= 1 for r in rows)
