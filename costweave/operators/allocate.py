@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from costweave.schemas import MONEY, RUN, TOTAL
 from costweave.session import lookup_join
 
 
-def assign_direct(direct: DataFrame) -> DataFrame:
+def assign_direct(direct: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
     """Every staged direct item belongs to its encounter."""
     return direct.select(
         RUN,
@@ -22,6 +24,7 @@ def assign_direct(direct: DataFrame) -> DataFrame:
         "service_month",
         "cost_centre_id",
         "natural_account",
+        *apart,
         "direct_cost_type",
         "quantity",
         F.col("amount").alias("assigned_amount"),
@@ -123,12 +126,13 @@ def reached_units(
     encounters: DataFrame,
     measures=K.MEASURE_POOLS,
     counts=K.COUNT_POOLS,
+    apart: Sequence[str] = (),
 ) -> DataFrame:
     """Units that met a rate, per driver key, summed from the rows that are priced.
 
     Measures stay columns until the months are summed, as in ``indirect_by_encounter``.
     """
-    month = [RUN, "reporting_month"]
+    month = [RUN, "reporting_month", *apart]
     names = ["cost_pool_code", "allocation_driver", "reached_units"]
 
     def summed(rows: DataFrame, parts: list[tuple[str, str, str]]) -> DataFrame:
@@ -141,10 +145,10 @@ def reached_units(
         return rows.groupBy(*month).agg(*sums).select(*month, reshaped).filter("reached_units IS NOT NULL")
 
     used = resource.select(
-        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *measures
+        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *apart, *measures
     )
     counted = encounters.select(
-        RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", "care_type"
+        RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", *apart, "care_type"
     )
     return summed(
         lookup_join(used, monthly_rates.drop(*counts), month, "encounter_id"),
@@ -185,11 +189,13 @@ def allocated_pools(pools: DataFrame, allocations: DataFrame) -> DataFrame:
     ).join(allocations.select(*DRIVER_KEY).distinct(), DRIVER_KEY, "left_semi")
 
 
-def rates_by_month(rates: DataFrame, measures=K.MEASURE_POOLS, counts=K.COUNT_POOLS) -> DataFrame:
-    """Driver rates as one wide row per month, a column per pool."""
+def rates_by_month(
+    rates: DataFrame, measures=K.MEASURE_POOLS, counts=K.COUNT_POOLS, apart: Sequence[str] = ()
+) -> DataFrame:
+    """Driver rates as one wide row per month and ``apart``, a column per pool."""
     pairs = [(pool, measure) for measure, pool in measures.items()]
     pairs += [(pool, K.COUNT_DRIVER) for pool in counts]
-    return rates.groupBy(RUN, "reporting_month").agg(
+    return rates.groupBy(RUN, "reporting_month", *apart).agg(
         *[
             F.expr(
                 f"SUM(IF(cost_pool_code = {quoted(pool)} AND allocation_driver = {quoted(driver)}, "
@@ -206,6 +212,7 @@ def indirect_by_encounter(
     encounters: DataFrame,
     measures=K.MEASURE_POOLS,
     counts=K.COUNT_POOLS,
+    apart: Sequence[str] = (),
 ) -> DataFrame:
     """Indirect cost per encounter and month straight from the sources.
 
@@ -225,16 +232,16 @@ def indirect_by_encounter(
             *ENCOUNTER_MONTH, f"CAST({amount} AS DECIMAL(19,6)) AS allocated_amount"
         )
 
-    month = [RUN, "reporting_month"]
+    month = [RUN, "reporting_month", *apart]
     used = resource.select(
-        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *measures
+        RUN, F.col("service_month").alias("reporting_month"), "encounter_id", *apart, *measures
     )
     from_measures = totalled(
         lookup_join(used, monthly_rates.drop(*counts), month, "encounter_id"),
         [priced(m, pool) for m, pool in measures.items()],
     )
     counted = encounters.select(
-        RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", "care_type"
+        RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", *apart, "care_type"
     )
     from_counts = totalled(
         lookup_join(counted, monthly_rates.select(*month, *counts), month, "encounter_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping as MappingType
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +18,12 @@ ENCOUNTER_MONTH = [RUN, "reporting_month", "encounter_id"]
 
 
 def unpivot_measures(
-    resource: DataFrame, measures: MappingType[str, str] = K.MEASURE_POOLS
+    resource: DataFrame, measures: MappingType[str, str] = K.MEASURE_POOLS, apart: Sequence[str] = ()
 ) -> DataFrame:
-    """Each resource row becomes one row per (pool, driver, units)."""
+    """Each resource row becomes one row per (pool, driver, units).
+
+    ``apart`` names columns that keep pools apart, such as the facility; rows carry them.
+    """
     rows = [
         [quoted(pool), quoted(measure), f"CAST({measure} AS DECIMAL(19,6))"]
         for measure, pool in measures.items()
@@ -28,12 +32,15 @@ def unpivot_measures(
         RUN,
         F.col("service_month").alias("reporting_month"),
         "encounter_id",
+        *apart,
         stacked(rows, ["cost_pool_code", "allocation_driver", "driver_units"]),
     )
 
 
 def count_drivers(
-    encounters: DataFrame, pools: MappingType[str, str | None] = K.COUNT_POOLS
+    encounters: DataFrame,
+    pools: MappingType[str, str | None] = K.COUNT_POOLS,
+    apart: Sequence[str] = (),
 ) -> DataFrame:
     """One unit per encounter in its episode month for each pool it qualifies for."""
     qualified = ", ".join(
@@ -44,6 +51,7 @@ def count_drivers(
         RUN,
         "episode_month AS reporting_month",
         "encounter_id",
+        *apart,
         f"explode(array({qualified})) AS cost_pool_code",
         f"{quoted(K.COUNT_DRIVER)} AS allocation_driver",
         "CAST(1 AS DECIMAL(19,6)) AS driver_units",
@@ -65,19 +73,23 @@ def encounter_drivers(
     encounters: DataFrame,
     measures: MappingType[str, str] = K.MEASURE_POOLS,
     counts: MappingType[str, str | None] = K.COUNT_POOLS,
+    apart: Sequence[str] = (),
 ) -> DataFrame:
     """All pre-overhead drivers. Two narrow passes, no shuffle."""
     return _with_status(
-        unpivot_measures(resource, measures).unionByName(count_drivers(encounters, counts)),
+        unpivot_measures(resource, measures, apart).unionByName(
+            count_drivers(encounters, counts, apart)
+        ),
         K.NOTE_ZERO_UNITS,
     )
 
 
-def pre_overhead_drivers(cost_base: DataFrame) -> DataFrame:
+def pre_overhead_drivers(cost_base: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
     """Direct plus indirect cost of each encounter as the overhead driver."""
     return _with_status(
         cost_base.select(
             *ENCOUNTER_MONTH,
+            *apart,
             F.lit(K.OVERHEAD_POOL).alias("cost_pool_code"),
             F.lit(K.OVERHEAD_DRIVER).alias("allocation_driver"),
             F.col("pre_overhead_cost").alias("driver_units"),
@@ -100,6 +112,7 @@ def source_driver_totals(
     encounters: DataFrame,
     measures: MappingType[str, str] = K.MEASURE_POOLS,
     counts: MappingType[str, str | None] = K.COUNT_POOLS,
+    apart: Sequence[str] = (),
 ) -> DataFrame:
     """``driver_totals(encounter_drivers(...))`` with the unpivot done last.
 
@@ -107,14 +120,14 @@ def source_driver_totals(
     instead of once per measure; only the monthly totals are reshaped.
     """
     names = ["cost_pool_code", "allocation_driver", "total_driver_units"]
-    month = [RUN, "reporting_month"]
+    month = [RUN, "reporting_month", *apart]
     measured = (
-        resource.groupBy(RUN, F.col("service_month").alias("reporting_month"))
+        resource.groupBy(RUN, F.col("service_month").alias("reporting_month"), *apart)
         .agg(*[F.expr(f"SUM(IF({m} > 0, {m}, NULL)) AS {m}") for m in measures])
         .select(*month, stacked([[quoted(p), quoted(m), m] for m, p in measures.items()], names))
     )
     counted = (
-        encounters.groupBy(RUN, F.col("episode_month").alias("reporting_month"))
+        encounters.groupBy(RUN, F.col("episode_month").alias("reporting_month"), *apart)
         .agg(
             *[
                 F.expr(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costweave import constants as K
 from costweave.functions.columns import zero_if_null
 from costweave.operators.allocate import driver_rates, pool_rates
-from costweave.operators.drivers import driver_totals, pre_overhead_drivers
+from costweave.operators.drivers import DRIVER_KEY, driver_totals, pre_overhead_drivers
 from costweave.operators.percentiles import group_percentile
 from costweave.schemas import MONEY, RUN, TOTAL
 from costweave.session import lookup
@@ -56,12 +58,13 @@ def cost_base(
     )
 
 
-def overhead_rates(pools: DataFrame, base: DataFrame) -> DataFrame:
+def overhead_rates(pools: DataFrame, base: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
     """Overhead pools priced per dollar of pre-overhead cost. ``base`` is stored."""
-    return pool_rates(pools, driver_totals(pre_overhead_drivers(base)), K.OVERHEAD)
+    keys = [*DRIVER_KEY, *apart]
+    return pool_rates(pools, driver_totals(pre_overhead_drivers(base, apart), keys), K.OVERHEAD, keys)
 
 
-def patient_level_cost(base: DataFrame, rates: DataFrame) -> DataFrame:
+def patient_level_cost(base: DataFrame, rates: DataFrame, apart: Sequence[str] = ()) -> DataFrame:
     """One row per encounter with direct, indirect, overhead and total cost.
 
     ``rates`` is the staged result of ``overhead_rates``. Every encounter has one
@@ -71,7 +74,7 @@ def patient_level_cost(base: DataFrame, rates: DataFrame) -> DataFrame:
     overhead_driver = (F.col("cost_pool_code") == K.OVERHEAD_POOL) & (
         F.col("allocation_driver") == K.OVERHEAD_DRIVER
     )
-    keys = [RUN, "reporting_month"]
+    keys = [RUN, "reporting_month", *apart]
     monthly = driver_rates(rates.filter(overhead_driver), keys)
     # months without overhead are kept by an outer join, months are few by nature
     priced = base.join(lookup(monthly), keys, "left")

@@ -81,6 +81,7 @@ def reconcile_pools(
     allocated: DataFrame,
     unallocated: DataFrame,
     tolerance: Decimal = K.TOLERANCE,
+    direct_keys: list[str] = DIRECT_KEY,
 ) -> DataFrame:
     """One row per pool: where its ledger amount went, and PASS within tolerance.
 
@@ -99,7 +100,7 @@ def reconcile_pools(
     open_amount = F.col("unallocated_amount")
     parts = (
         part(
-            direct_by_pool(pools, direct),
+            direct_by_pool(pools, direct, direct_keys),
             {"direct_assigned_amount": F.col("direct_assigned_amount")},
         )
         .unionByName(

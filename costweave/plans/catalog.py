@@ -891,6 +891,57 @@ def h7a(spark, sf_dir):
     return show(costing_run(spark, sf_dir, patient.ALL_MONTHS).costs, *_COST_COLUMNS)
 
 
+def _by_facility(spark, sf_dir) -> CostingRun:
+    run = costing_run(spark, sf_dir, apart=("facility",))
+    run.ledger = star.ledger_by_facility(spark, sf_dir)
+    return run
+
+
+@query("h7_facility_costs", _cost_sql("cost_apart"))
+def h7f(spark, sf_dir):
+    """Each facility spreads its own pools over its own encounters."""
+    return show(_by_facility(spark, sf_dir).costs, *_COST_COLUMNS)
+
+
+@query(
+    "h11_facility_reconciliation",
+    "SELECT facility, "
+    + ", ".join(
+        shown(f"COALESCE(SUM(amount) FILTER (part = '{part}'), 0)") + f" AS {part}" for part in recon.AMOUNTS
+    )
+    + " FROM given_apart GROUP BY facility",
+)
+def h11f(spark, sf_dir):
+    """What the pools of each facility gave away; no direct item is met by two of them."""
+    pooled = _by_facility(spark, sf_dir).reconciliation.filter(
+        "reconciliation_level = 'COST_POOL' AND facility IS NOT NULL"
+    )
+    return show(pooled.groupBy("facility").agg(*[F.sum(c).cast(TOTAL).alias(c) for c in recon.AMOUNTS]))
+
+
+@query(
+    "h4_facility_allocations",
+    f"""SELECT p.facility, p.cost_pool_code, CAST(COUNT(*) AS BIGINT) AS allocation_rows,
+               CAST(COUNT(*) FILTER (d.facility <> p.facility) AS BIGINT) AS foreign_rows,
+               {shown('SUM(rate * CAST(driver_units AS DOUBLE))', 0)} AS allocated_amount
+        FROM rate_apart p JOIN drv_apart d USING (load_run_id, reporting_month, facility, cost_pool_code, allocation_driver)
+        WHERE driver_units > 0 GROUP BY ALL""",
+)
+def h4f(spark, sf_dir):
+    """The audit listing of indirect pools, summed: pool rows and encounters of other facilities."""
+    run = _by_facility(spark, sf_dir)
+    places = run.encounters.select(RUN, "encounter_id", F.col("facility").alias("place"))
+    rows = run.pool_allocations.filter(F.col("costing_treatment") == K.INDIRECT).join(places, [RUN, "encounter_id"])
+    return show(
+        rows.groupBy("facility", "cost_pool_code").agg(
+            F.count(F.lit(1)).alias("allocation_rows"),
+            F.count(F.when(F.col("place") != F.col("facility"), 1)).alias("foreign_rows"),
+            F.sum("allocated_amount").cast(TOTAL).alias("allocated_amount"),
+        ),
+        allocated_amount=0,
+    )
+
+
 @query(
     "h7_attribution_gap",
     f"""SELECT CAST(1 AS BIGINT) AS load_run_id, {shown('a')} AS allocated_amount, {shown('c')} AS attributed_amount,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costweave.functions.columns import inline
-from costweave.operators import checks, drivers, promote, quality
+from costweave.operators import checks, promote, quality
 from costweave.operators.funding import adjustment_factors
 from costweave.operators.mapping import governed
 from costweave.operators.promote import accepted, classify, rejected
@@ -133,8 +133,12 @@ def promote_rows(wh: Warehouse, run: int) -> dict[str, DataFrame]:
     return classified
 
 
-def cost(wh: Warehouse, run: int) -> CostingRun:
-    """Build and store every costing table of the run."""
+def cost(wh: Warehouse, run: int, apart: tuple[str, ...] = (), audit: bool = False) -> CostingRun:
+    """Build and store every costing table of the run.
+
+    ``apart`` keeps pools apart, by facility for example. ``audit`` also stores what each pool
+    gave to each encounter, a table of pools times encounters that costing itself never reads.
+    """
     staged = {name: wh.read(f"stg.{name}", run) for name in ENTITIES}
     costing = CostingRun(
         encounters=accepted(staged["patient_encounter"]),
@@ -145,11 +149,12 @@ def cost(wh: Warehouse, run: int) -> CostingRun:
         rejected_direct=rejected(staged["direct_cost_detail"]),
         funding_groups=wh.read("ref.abf_activity_group"),
         factors=adjustment_factors(wh.read("ref.abf_adjustment_rule")),
+        apart=apart,
     )
     wh.replace("costing.cost_pool", costing.pools, run)
     wh.replace(
         "costing.encounter_driver",
-        costing.drivers.unionByName(drivers.pre_overhead_drivers(costing.base)),
+        costing.drivers.unionByName(costing.overhead_drivers),
         run,
     )
     wh.replace("costing.direct_cost_assignment", costing.assigned, run)
@@ -167,6 +172,8 @@ def cost(wh: Warehouse, run: int) -> CostingRun:
     stored = wh.read("costing.encounter_allocation", run)
     costing.indirect_allocations = stored.filter(F.col("costing_treatment") == "Indirect")
     costing.overhead_allocations = stored.filter(F.col("costing_treatment") == "Overhead")
+    if audit:
+        wh.replace("costing.pool_allocation", costing.pool_allocations, run)
     wh.replace("costing.unallocated_cost", costing.unallocated, run)
     costing.costs = costing.stored_costs
     wh.replace("costing.patient_level_cost", costing.flagged, run)
@@ -207,11 +214,16 @@ def refresh(
     run: int,
     financial_year: str | None = None,
     expect: checks.Expectations = checks.YEAR,
+    apart: tuple[str, ...] = (),
+    audit: bool = False,
 ) -> DataFrame:
-    """All steps in order; returns whether the run may be published."""
+    """All steps in order; returns whether the run may be published.
+
+    ``apart`` and ``audit`` are those of ``cost``.
+    """
     load(wh, source_root, expected_rows, at, run, financial_year)
     seed(wh, reference_root)
     promote_rows(wh, run)
-    ready = check(wh, run, cost(wh, run))
+    ready = check(wh, run, cost(wh, run, apart, audit))
     assure(wh, run, at, expect)
     return ready

@@ -392,6 +392,61 @@ CTE.update(
 )
 
 
+# Pools kept apart by facility: the ledger stands where its orders are.
+CTE.update(
+    {
+        "gl_apart": "SELECT gl.* REPLACE (enc.facility AS facility) FROM gl JOIN enc ON enc.k = gl.k",
+        "mapped_apart": CTE["mapped"].replace("gl", "gl_apart"),
+        "pool_apart": CTE["pool"].replace("FROM mapped", "FROM mapped_apart"),
+        "drv_apart": "SELECT drv.*, enc.facility FROM drv JOIN enc ON enc.encounter_id = drv.encounter_id",
+        "tot_apart": """
+        SELECT load_run_id, reporting_month, facility, cost_pool_code, allocation_driver, SUM(driver_units) AS total_driver_units
+        FROM drv_apart WHERE driver_units > 0 GROUP BY ALL""",
+        "rate_apart": """
+        SELECT p.*, t.total_driver_units, CAST(p.source_gl_amount AS DOUBLE) / CAST(t.total_driver_units AS DOUBLE) AS rate
+        FROM pool_apart p JOIN tot_apart t USING (load_run_id, reporting_month, facility, cost_pool_code, allocation_driver)
+        WHERE p.pool_status = 'READY' AND p.costing_treatment = 'Indirect'""",
+        "krate_apart": """
+        SELECT load_run_id, reporting_month, facility, cost_pool_code, allocation_driver, SUM(rate) AS rate
+        FROM rate_apart GROUP BY ALL""",
+        "ind_apart": f"""
+        SELECT load_run_id, reporting_month, encounter_id, SUM({money("CAST(driver_units AS DOUBLE) * rate")}) AS allocated_amount
+        FROM drv_apart JOIN krate_apart USING (load_run_id, reporting_month, facility, cost_pool_code, allocation_driver)
+        WHERE driver_units > 0 GROUP BY ALL""",
+        "base_apart": CTE["base"].replace("JOIN ind i", "JOIN ind_apart i"),
+        "otot_apart": """
+        SELECT load_run_id, reporting_month, facility, SUM(pre) AS total FROM base_apart WHERE pre > 0 GROUP BY ALL""",
+        "orate_apart": """
+        SELECT p.*, t.total AS total_driver_units, CAST(p.source_gl_amount AS DOUBLE) / CAST(t.total AS DOUBLE) AS rate
+        FROM pool_apart p JOIN otot_apart t USING (load_run_id, reporting_month, facility)
+        WHERE p.pool_status = 'READY' AND p.costing_treatment = 'Overhead'
+          AND p.cost_pool_code = 'OVERHEAD' AND p.allocation_driver = 'pre_overhead_cost'""",
+        "cost_apart": CTE["cost"]
+        .replace("FROM base ", "FROM base_apart ")
+        .replace("reporting_month, SUM(rate) AS rate FROM orate ", "reporting_month, facility, SUM(rate) AS rate FROM orate_apart ")
+        .replace("USING (load_run_id, reporting_month)", "USING (load_run_id, reporting_month, facility)"),
+        "zero_apart": """
+        SELECT p.* FROM pool_apart p
+        LEFT JOIN tot_apart t USING (load_run_id, reporting_month, facility, cost_pool_code, allocation_driver)
+        WHERE p.pool_status = 'READY' AND p.costing_treatment = 'Indirect' AND p.source_gl_amount <> 0
+          AND COALESCE(t.total_driver_units, 0) = 0""",
+        "given_apart": f"""
+        SELECT facility, 'gl_amount' AS part, SUM(source_gl_amount) AS amount FROM pool_apart GROUP BY ALL
+        UNION ALL SELECT e.facility, 'direct_assigned_amount', SUM(amount) FROM dok x
+            JOIN enc e ON e.encounter_id = x.encounter_id GROUP BY ALL
+        UNION ALL SELECT facility, 'indirect_allocated_amount', SUM({money("rate * CAST(total_driver_units AS DOUBLE)")})
+            FROM rate_apart GROUP BY ALL
+        UNION ALL SELECT facility, 'overhead_allocated_amount', SUM({money("rate * CAST(total_driver_units AS DOUBLE)")})
+            FROM orate_apart GROUP BY ALL
+        UNION ALL SELECT facility, 'unallocated_amount', SUM(source_gl_amount) FROM zero_apart GROUP BY ALL
+        UNION ALL SELECT facility, 'unallocated_amount', SUM(source_gl_amount) FROM pool_apart
+            WHERE pool_status = 'REVIEW' GROUP BY ALL
+        UNION ALL SELECT facility, 'excluded_amount', SUM(source_gl_amount) FROM pool_apart
+            WHERE pool_status = 'EXCLUDED' GROUP BY ALL""",
+    }
+)
+
+
 def _needs(sql: str) -> set[str]:
     words = set(re.findall(r"(?:FROM|JOIN)\s+([a-z_]+)", sql))
     return {w for w in words if w in CTE}

@@ -279,6 +279,14 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ledger_by_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with each transaction at the facility of its order."""
+    places = encounters(spark, sf_dir).select("encounter_id", "facility")
+    order = F.substring_index("gl_transaction_id", "-", 1)
+    rows = ledger(spark, sf_dir).drop("facility")
+    return rows.withColumn("encounter_id", order).join(places, "encounter_id").drop("encounter_id")
+
+
 def direct_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines on the direct account; line number 7 names an order that does not exist."""
     return (

@@ -18,6 +18,9 @@ COMPARED = [
     "d2_driver_totals",
     "h1_cost_pools",
     "h7_patient_level_cost",
+    "h7_facility_costs",
+    "h11_facility_reconciliation",
+    "h4_facility_allocations",
     "h14_encounter_funding",
     "i7_issue_life_cycle",
     "b6_repeated_keys",
