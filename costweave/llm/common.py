@@ -20,6 +20,18 @@ def held_out(key: str, parts: int, part: int) -> Column:
     return F.coalesce(remainder == part, F.lit(False))
 
 
+def spare(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores at the end of those that ``docs`` already has."""
+    taken = {c.lower() for c in docs.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+        taken.add(name.lower())
+    return free
+
+
 def task_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from costweave.llm.common import spare
 from costweave.llm.text import Words, column, returning, seeded, slices
 from costweave.session import stage
 
@@ -141,20 +143,20 @@ def contained(
     total = items.agg(F.sum("n_shingles")).first()[0] or 0
     schema = f"{key} {key_type}, item_id {id_type}, n_shingles long, n_found long, containment double"
     blocks = -(-total // block)
+    kind = to_arrow_type(benchmark.schema["item_id"].dataType)
     parts = []
     for number in range(blocks):
-        # a block's size is bounded, whatever the number of items
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).select("item_id", "shingles").collect()
+        # dealt by id and shingles: items without an id, or with a common one, share no block
+        rows = items.where(F.pmod(F.xxhash64("item_id", "shingles"), F.lit(blocks)) == number).select("item_id", "shingles").collect()
         if not rows:
             continue
         own = Block.of(
             [r[0] for r in rows], [np.array(r[1], np.int64).view(np.uint64) for r in rows], threshold
         )
         sent = docs.sparkSession.sparkContext.broadcast(own)
-        kind = pa.string() if id_type == "string" else pa.int64() if id_type in ("bigint", "long") else pa.int32()
         parts.append(
             docs.select(key, "text").mapInArrow(
-                lambda batches, sent=sent, kind=kind: _searched(batches, key, sent.value, kind), schema
+                lambda batches, sent=sent: _searched(batches, key, sent.value, kind), schema
             )
         )
     if not parts:
@@ -168,9 +170,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFra
     Rows are matched by a hash of key and text, so rows that share a key are judged apart.
     """
     digest = F.xxhash64(F.col(key), F.col("text"))
-    found = contained(docs.select(digest.alias("_digest"), "text"), benchmark, "_digest")
+    (name,) = spare(docs, "_digest")
+    found = contained(docs.select(digest.alias(name), "text"), benchmark, name)
     return (
-        docs.withColumn("_digest", digest)
-        .join(found.select("_digest").distinct(), "_digest", "left_anti")
+        docs.withColumn(name, digest)
+        .join(found.select(name).distinct(), name, "left_anti")
         .select(*docs.columns)
     )

@@ -12,7 +12,8 @@ shuffle, where adaptive execution splits a hot source.
 
 Defined results: a null text has size 0; a null source is a source of its own and
 sorts last; rows with the same key, null included, share one coin; an empty table
-gives no rows; a mix without words takes nothing and has target 0.
+gives no rows; a mix without words takes nothing and has target 0. Every column is kept: an
+added one whose name is taken has an underscore at its end.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costweave.llm.common import SPACES, in_order, part_heads
+from costweave.llm.common import SPACES, in_order, part_heads, spare
 from costweave.session import lookup, stage
 
 WEIGHTS = (3, 1, 2)
@@ -86,18 +87,19 @@ def targets(
 
 def with_copies(docs: DataFrame, rates: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``copies``, how often a row is taken."""
-    added = ["source_size", "target", "rate", "copies"]
-    rated = rates.withColumnRenamed("source", "_source")
-    joined = docs.drop(*added).join(lookup(rated), F.col("source").eqNullSafe(F.col("_source")))
-    whole = F.floor("rate")
-    copies = whole + (coin(key) < F.col("rate") - whole).cast("long")
-    return joined.withColumn("copies", copies).drop("_source", "rate")
+    source, rate, *added = spare(docs, "_source", "_rate", "source_size", "target", "copies")
+    rated = rates.toDF(source, *added[:2], rate)
+    joined = docs.join(lookup(rated), F.col("source").eqNullSafe(F.col(source)))
+    whole = F.floor(rate)
+    copies = whole + (coin(key) < F.col(rate) - whole).cast("long")
+    return joined.withColumn(added[2], copies).drop(source, rate)
 
 
 def mix(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     """The rows of the mix: each row of ``docs`` as often as it is taken."""
     rates = stage(targets(docs.select("source", size().alias("size")), **settings), "mix_rates")
-    taken = with_copies(docs, rates, key).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
-        *docs.columns, "copy"
+    copies, copy = spare(docs, "copies", "copy")
+    taken = with_copies(docs, rates, key).where(F.col(copies) > 0)
+    return taken.select(
+        *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(copy)
     )

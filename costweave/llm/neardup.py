@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costweave.llm.common import spare
 from costweave.llm.components import components
 from costweave.llm.text import Words, column, mix, returning, seeded, slices
 from costweave.session import stage
@@ -386,9 +387,10 @@ def representatives(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     found = classes(docs, key).where(F.col(key).eqNullSafe(F.col("class_id")))
     kept = found.groupBy("label").agg(F.min(F.struct(F.col("node"), F.col(key).alias("key"))).alias("least"))
     digest = F.xxhash64(F.col(key), F.xxhash64("text"))
+    (name,) = spare(docs, "_digest")
     return (
-        docs.withColumn("_digest", digest)
-        .join(kept.select(F.xxhash64("least.key", "least.node").alias("_digest")), "_digest", "left_semi")
-        .dropDuplicates(["_digest"])
+        docs.withColumn(name, digest)
+        .join(kept.select(F.xxhash64("least.key", "least.node").alias(name)), name, "left_semi")
+        .dropDuplicates([name])
         .select(*docs.columns)
     )

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costweave.llm.common import spare
 from costweave.llm.text import Words, _power_tables, column, mix, returning, slices
 
 LONG = 16
@@ -196,13 +197,13 @@ def _covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 @returning
-def _cut(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], names: list[str], lost_name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in slices(batch, "text", 1 << 20):
             data, offsets = column(piece.column("text"))
             s = Sentences(data, offsets)
             n = s.last.size
-            lost = piece.column("__lost")
+            lost = piece.column(lost_name)
             lost_of = np.repeat(np.arange(piece.num_rows), pc.fill_null(pc.list_value_length(lost), 0).to_numpy(zero_copy_only=False))
             lost_hash = pc.list_flatten(lost).to_numpy(zero_copy_only=False).astype(np.int64)
             span, run = s.span.view(np.int64), s.run.view(np.int64)
@@ -258,16 +259,17 @@ def dedup(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     ``key`` is an integer column.
     """
     whole = F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY))
+    owner, gone = spare(docs, "__key", "__lost")
     spans = docs.select(whole.alias("key"), "text").mapInArrow(_hashed, "key long, span long")
     owners = spans.groupBy("span").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1")
     lost = (
         spans.join(owners.select("span", "first"), "span")
         .where("key > first")
-        .groupBy(F.col("key").alias("__key"))
-        .agg(F.collect_set("span").alias("__lost"))
+        .groupBy(F.col("key").alias(owner))
+        .agg(F.collect_set("span").alias(gone))
     )
     names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    joined = docs.select(*names).join(lost, whole == F.col("__key"), "left").select(*names, "__lost")
+    joined = docs.select(*names).join(lost, whole == F.col(owner), "left").select(*names, gone)
     schema = T.StructType(
         [
             *[docs.schema[c] for c in names],
@@ -275,4 +277,4 @@ def dedup(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             T.StructField("n_removed", T.LongType()),
         ]
     )
-    return joined.mapInArrow(lambda batches: _cut(batches, names), schema)
+    return joined.mapInArrow(lambda batches: _cut(batches, names, gone), schema)

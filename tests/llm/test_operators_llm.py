@@ -418,6 +418,47 @@ def test_mix_edge_cases(awkward, empty):
     assert mix.mix(awkward.where("text IS NULL")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["smallint", "decimal(9,0)", "string"])
+def test_decontamination_in_blocks_of_any_id(spark, kind):
+    """Items that share an id, a null one too, are dealt apart and all found."""
+    rng = random.Random(6)
+    texts = [prose(rng, 12) for _ in range(30)]
+    items = spark.createDataFrame([(None if i < 20 else 7, t) for i, t in enumerate(texts)], "item_id long, text string")
+    items = items.withColumn("item_id", F.col("item_id").cast(kind))
+    docs = make(spark, [(i, f"start {t} end", None, None, None) for i, t in enumerate(texts)])
+    found = contamination.contained(docs, items, block=60)
+    assert found.schema["item_id"].dataType == items.schema["item_id"].dataType
+    rows = found.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(30))
+    assert sum(r.item_id is None for r in rows) == 20 and all(r.containment == 1 for r in rows)
+
+
+# inner names -----------------------------------------------------------------
+
+def test_no_column_of_the_input_is_lost_or_overwritten(spark):
+    """Names that the operators use inside or add themselves."""
+    rng = random.Random(12)
+    body = prose(rng, 90)
+    base = make(spark, [(1, body, "en", "a", 1), (2, body, "en", "a", 1), (3, prose(rng, 90), "en", None, 1), (4, prose(rng, 90), "de", "b", 1)])
+    names = ["rate", "_rate", "_source", "source_size", "target", "copies", "COPY", "_digest", "_digest_", "__key", "__lost"]
+    clash = base.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in names})
+    items = spark.createDataFrame([(1, "no such text " * 6)], "item_id long, text string")
+
+    def kept(df, plain):
+        rows = df.collect()
+        assert df.columns[: len(clash.columns)] == clash.columns
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect())
+        assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in names)
+        return rows
+
+    mixed = kept(mix.mix(clash), mix.mix(base))
+    assert {r["copy_"] for r in mixed} >= {1}
+    kept(contamination.clean(clash, items), contamination.clean(base, items))
+    assert {r.doc_id for r in kept(neardup.representatives(clash), neardup.representatives(base))} == {1, 3, 4}
+    cut = kept(spans.dedup(clash), spans.dedup(base))
+    assert [r.n_removed > 0 for r in sorted(cut, key=lambda r: r.doc_id)] == [False, True, False, False]
+
+
 # 8 -------------------------------------------------------------------------
 
 def brute_spans(rows):
