@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from costweave import constants as K
+from costweave.operators.mapping import governed
+from costweave.operators.promote import accepted, rejected
 from costweave.plans import reporting
+from costweave.plans.costing import CostingRun
 from costweave.plans.refresh import Warehouse, current_run, refresh
 from tests import hospital
 
@@ -49,6 +52,34 @@ def test_controls_and_run_log(hospital_run):
     assert one(lines.filter("encounter_id = 'E23'"))[0] == 25
 
 
+def test_pools_apart_by_facility_and_the_audit_listing(hospital_run, spark, tmp_path):
+    """With one facility nothing changes; the listing adds up to the stored allocations."""
+    wh, raw, ref, _ = hospital_run
+    costing = CostingRun(
+        **{
+            name: accepted(wh.read(f"stg.{table}", 1))
+            for name, table in (
+                ("encounters", "patient_encounter"),
+                ("resource", "resource_usage"),
+                ("direct", "direct_cost_detail"),
+                ("ledger", "general_ledger_transaction"),
+            )
+        },
+        mapping=governed(*[wh.read(f"ref.{n}") for n in ("cost_centre", "account_mapping", "allocation_rule")]),
+        rejected_direct=rejected(wh.read("stg.direct_cost_detail", 1)),
+        apart=("facility",),
+    )
+    parts = ("encounter_id", "direct_cost_amount", "indirect_cost_amount", "overhead_cost_amount")
+    assert rows(costing.costs, *parts) == rows(wh.read("costing.patient_level_cost", 1), *parts)
+    by = ("cost_pool_code", "encounter_id")
+    listed = costing.pool_allocations.groupBy(*by).agg(F.sum("allocated_amount").alias("amount"))
+    stored = wh.read("costing.encounter_allocation", 1).groupBy(*by).agg(F.sum("allocated_amount").alias("amount"))
+    left, right = ({tuple(r[:2]): r[2] for r in df.collect()} for df in (listed, stored))
+    assert left.keys() == right.keys() and all(abs(left[k] - right[k]) < Decimal("0.00001") for k in left)
+    total = one(costing.reconciliation.filter("reconciliation_level = 'TOTAL'"))
+    assert total.gl_amount == Decimal(hospital.GL_TOTAL) and total.reconciliation_status == "PASS"
+
+
 def test_promotion(hospital_run):
     wh, *_ = hospital_run
     assert rows(wh.read("dq.promotion_summary", 1), "source_entity", "landing_count", "staged_count") == [
