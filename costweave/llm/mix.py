@@ -2,17 +2,17 @@
 
 Tokens are summed per source, targets follow from the weights, and a source's
 repetition rate is its target over its size. A document is emitted floor(rate)
-times, and once more when a coin seeded by its key falls below the fraction.
+times, and once more when a coin seeded by its key and text falls below the fraction.
 
-Only a hash of the key decides, so reruns and other partitionings agree. The table
+Only a hash of both decides, so reruns and other partitionings agree. The table
 of sources is never assumed small: it is placed in order by range partitions, its
 water level is found by sums over the stored table, and it is broadcast only when
 counted within the limit of ``costweave.session``; a larger one is joined by
 shuffle, where adaptive execution splits a hot source.
 
 Defined results: a null text has size 0; a null source is a source of its own and
-sorts last; rows with the same key, null included, share one coin; an empty table
-gives no rows; a mix without words takes nothing and has target 0. Every column is kept: an
+sorts last; rows with the same key (or none) and other texts have coins of their own, rows
+with the same key and text share one; an empty table gives no rows; a mix without words takes nothing and has target 0. Every column is kept: an
 added one whose name is taken has an underscore at its end.
 """
 
@@ -35,9 +35,10 @@ def size(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(SPACES)), F.lit(0)).cast("long")
 
 
-def coin(key: str) -> Column:
-    """A number in [0, 1) that depends on the key and the seed alone."""
-    digest = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+def coin(key: str = "doc_id", text: str = "text") -> Column:
+    """A number in [0, 1) that depends on the key, the text and the seed alone."""
+    body = F.md5(F.coalesce(F.col(text), F.lit("")))
+    digest = F.md5(F.concat(F.lit(SEED), F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), body))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(2**52)
 
 
@@ -85,13 +86,16 @@ def targets(
     return sources.withColumn("target", target).select("source", "source_size", "target", rate.alias("rate"))
 
 
-def with_copies(docs: DataFrame, rates: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``source_size``, ``target`` and ``copies``, how often a row is taken."""
+def with_copies(docs: DataFrame, rates: DataFrame, drawn: Column) -> DataFrame:
+    """``docs`` with ``source_size``, ``target`` and ``copies``, how often a row is taken.
+
+    ``drawn`` is the ``coin`` of a row.
+    """
     source, rate, *added = spare(docs, "_source", "_rate", "source_size", "target", "copies")
     rated = rates.toDF(source, *added[:2], rate)
     joined = docs.join(lookup(rated), F.col("source").eqNullSafe(F.col(source)))
     whole = F.floor(rate)
-    copies = whole + (coin(key) < F.col(rate) - whole).cast("long")
+    copies = whole + (drawn < F.col(rate) - whole).cast("long")
     return joined.withColumn(added[2], copies).drop(source, rate)
 
 
@@ -99,7 +103,7 @@ def mix(docs: DataFrame, key: str = "doc_id", **settings) -> DataFrame:
     """The rows of the mix: each row of ``docs`` as often as it is taken."""
     rates = stage(targets(docs.select("source", size().alias("size")), **settings), "mix_rates")
     copies, copy = spare(docs, "copies", "copy")
-    taken = with_copies(docs, rates, key).where(F.col(copies) > 0)
+    taken = with_copies(docs, rates, coin(key)).where(F.col(copies) > 0)
     return taken.select(
         *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))).alias(copy)
     )

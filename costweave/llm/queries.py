@@ -43,9 +43,9 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = stage(docs.select("doc_id", "source", mix.size().alias("size")), "sized")
+    sized = stage(docs.select("doc_id", "source", mix.size().alias("size"), mix.coin().alias("coin")), "sized")
     rates = stage(mix.targets(sized), "rates")
-    return mix.with_copies(sized, rates).select(
+    return mix.with_copies(sized, rates, F.col("coin")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
 
@@ -151,7 +151,8 @@ TWINS: dict[str, str] = {
     "op7_source_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source,
-                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                   md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS coin
             FROM documents),
         sources AS (
             SELECT source, sum(size)::BIGINT AS source_size,
@@ -172,7 +173,7 @@ TWINS: dict[str, str] = {
             FROM ranked)
         SELECT doc_id, size, source_size, target,
                (floor(target / source_size)::BIGINT
-                + (('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496
+                + (('0x' || substr(coin, 1, 13))::BIGINT::DOUBLE / 4503599627370496
                    < target / source_size - floor(target / source_size))::BIGINT) * size AS taken
         FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source
     """,

@@ -418,6 +418,15 @@ def test_mix_edge_cases(awkward, empty):
     assert mix.mix(awkward.where("text IS NULL")).count() == 0
 
 
+def test_mix_tosses_a_coin_for_every_text_of_a_key(spark):
+    """A source whose rows share a key, or have none, still meets its target."""
+    rows = [(None if i % 2 else 7, f"word{i} and two", None, "ab"[i % 5 == 0], 1) for i in range(4000)]
+    docs = make(spark, rows)
+    target = {r.source: r.target for r in mix.targets(docs.select("source", mix.size().alias("size"))).collect()}
+    taken = {r.source: 3 * r["count"] for r in mix.mix(docs).groupBy("source").count().collect()}
+    assert all(abs(taken[s] - target[s]) < 0.08 * target[s] for s in "ab")
+
+
 @pytest.mark.parametrize("kind", ["smallint", "decimal(9,0)", "string"])
 def test_decontamination_in_blocks_of_any_id(spark, kind):
     """Items that share an id, a null one too, are dealt apart and all found."""
