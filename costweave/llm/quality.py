@@ -2,14 +2,15 @@
 
 Features are hashed words, pairs of words, and pairs of word shapes (the kinds of
 characters a word is made of, and whether it repeats the word before), each text's vector scaled to unit length. Learning
-reads at most about ``SAMPLE`` labelled rows, drawn by a hash of their key; the
+reads at most about ``SAMPLE`` labelled keys, drawn by their hash, with one text each; the
 sample is dealt to ``SHARDS`` tasks that each follow the regularised leader over
 their rows, and the shards' weights are averaged. Scores are sparse dot products
 in one pass that moves nothing.
 
 Defined results: a null or empty text has no features and scores by the bias alone; when
 no row has a label every score is 0.5. Labels other than 0 and 1 are not learned
-from. A key with several labels is learned once for each. Rows are kept one to one;
+from. A key with several labels is learned once for each of them, however often it is
+repeated, with the text of the smallest hash if it has several. Rows are kept one to one;
 columns named like the results are replaced.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costweave.llm.text import Words, column, mix, slices
+from costweave.session import lookup
 
 FEATURE_BITS = 18
 SAMPLE = 16_384
@@ -128,7 +130,7 @@ def _shard(rows: pd.DataFrame) -> pd.DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = SAMPLE) -> np.ndarray:
     """Weights learned from labelled texts, at most about ``sample`` of them."""
-    usable = labels.select(key, "quality").where(F.col(key).isNotNull() & F.col("quality").isin(0, 1))
+    usable = labels.select(key, "quality").where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).distinct()
     total = usable.count()
     weights = np.zeros((1 << FEATURE_BITS) + 1)
     if not total:
@@ -138,8 +140,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = S
     drawn = usable.withColumn("draw", draw).where(
         (F.pmod(F.col("draw"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))) if share < 1 else F.lit(True)
     )
-    # the sample is bounded, so it may travel to the texts
-    texts = docs.select(key, "text").join(F.broadcast(drawn), key)
+    # distinct keys: the sample is bounded, so it may travel to the texts; copies of a key end in the map tasks
+    texts = (
+        docs.select(key, "text")
+        .join(lookup(drawn), key)
+        .groupBy(key, "quality", "draw")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
     shards = max(1, min(SHARDS, total // 512))
     sums = (
         texts.withColumn("shard", F.pmod(F.hash(F.lit(5), key), F.lit(shards)))
