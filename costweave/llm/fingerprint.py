@@ -17,8 +17,9 @@ Defined results: a null text is an empty text and has the fingerprint of nothing
 likeness of two empty texts is 1; rows with the same key are each returned, and the
 next document is the one of the next larger key (of several, the one whose
 text has the smallest hash);
-a null key is the smallest; one key alone follows itself.
-A text holds at most eight million paragraphs.
+a null key is the smallest; one key alone follows itself. Texts of any length are summed,
+in blocks of paragraphs; beyond a million of them counters carry into their neighbours,
+which leaves equality as it is and makes likeness a rough figure.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ _FIELD = 20
 _MASK = 1 | 1 << _FIELD | 1 << 2 * _FIELD
 _MODULUS = 1 << 3 * _FIELD
 WORDS = SEEDS * _FIELD
+# 2**22 words of 40 bits fit into a sum
+BLOCK_BITS = 22
 _NO_KEY = -(2**63)
 LANES = 3 * WORDS
 
@@ -53,16 +56,28 @@ def _word(seed: int, shift: int) -> Column:
     return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_MASK))
 
 
-def vectors(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys`` and ``vector``: an array of the paragraph count and the summed words."""
-    pieces = texts.select(*keys, F.explode_outer(paragraphs(F.col(text))).alias("paragraph"))
+def _block_vectors(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys`` and ``vector`` for every block of paragraphs of a text."""
+    pieces = texts.select(*keys, F.posexplode_outer(paragraphs(F.col(text))).alias("pos", "paragraph"))
+    block = F.shiftright(F.coalesce("pos", F.lit(0)), BLOCK_BITS).alias("block")
     # the hashes are computed once for all shifts by common subexpressions
     sums = [
         F.coalesce(F.sum(F.when(F.col("paragraph").isNotNull(), _word(seed, shift))), F.lit(0)) % _MODULUS
         for seed in range(SEEDS)
         for shift in range(_FIELD)
     ]
-    return pieces.groupBy(*keys).agg(F.array(F.count("paragraph"), *sums).alias("vector"))
+    return pieces.groupBy(*keys, block).agg(F.array(F.count("paragraph"), *sums).alias("vector"))
+
+
+def _added(vectors: Column) -> Column:
+    """The sum of the vectors that a group has."""
+    zero = F.array_repeat(F.lit(0).cast("long"), WORDS + 1)
+    return F.aggregate(F.collect_list(vectors), zero, lambda a, b: combine(a, b))
+
+
+def vectors(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` and ``vector``: an array of the paragraph count and the summed words."""
+    return _block_vectors(texts, keys, text).groupBy(*keys).agg(_added(F.col("vector")).alias("vector"))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -159,9 +174,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         "_key", "row", "n_chars", "h", "edited_sha256", "version.which", "version.body"
     )
     keys = ["_key", "row", "n_chars", "h", "edited_sha256"]
-    vector = lambda which: F.first(F.when(F.col("which") == which, F.col("vector")), ignorenulls=True)
+    vector = lambda which: _added(F.when(F.col("which") == which, F.col("vector")))
     summed = (
-        vectors(both, [*keys, "which"], "body")
+        _block_vectors(both, [*keys, "which"], "body")
         .groupBy(*keys)
         .agg(vector(0).alias("vector"), vector(1).alias("edited_vector"))
     )
