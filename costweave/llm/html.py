@@ -15,7 +15,9 @@ Every page is one row: nothing is shuffled.
 
 Defined results: a null or empty page, or one without content, gives an empty text;
 broken markup (open tags, cut tags and references at the end) is read as far as it
-goes; repeated rows are each returned; columns named like the results are replaced.
+goes; an element in ``DEPTH`` others replaces the innermost one, as browsers do, and after
+``STRAY`` tags with a quote that is never closed quotes no longer hide the end of a tag, so
+time grows with the length of a page only; repeated rows are each returned; columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -44,6 +46,9 @@ IN_NAMED = 0.01
 # what a path loses when all its text is linked
 LINKED = 0.95
 
+DEPTH = 256
+STRAY = 64
+
 # Elements by their role.
 SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "title",
            "select", "textarea", "button", "canvas", "audio", "video", "map"}
@@ -79,9 +84,12 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 _SPACES = re.compile(r"\s+")
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?:(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>)|(?P<open>[^>]*(?:>|\Z)))",
     re.S,
 )
+_LOOSE_TAG = re.compile(
+    r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>)(?P<open>[^>]*(?:>|\Z))", re.S
+)
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?")
 _RAW_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 
@@ -144,6 +152,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[_Open] = []
     numbers = 0
     links = 0
+    stray = 0
+    known: dict[tuple[str, ...], tuple[str, ...]] = {}
     current: Block | None = None
 
     def add(raw: str) -> None:
@@ -155,9 +165,10 @@ def blocks(page: str) -> list[Block]:
             if not text.strip():
                 return
             outer = [o for o in stack if o.name not in INLINE]
+            names = tuple(o.name for o in outer)
             current = Block(
                 tuple(o.number for o in outer),
-                tuple(o.name for o in outer),
+                known.setdefault(names, names),
                 dropped=any(o.role == UNSEEN for o in stack),
                 beside=any(o.role == BESIDE for o in stack),
                 named=tuple(o.number for o in stack if o.role == NAMED),
@@ -183,7 +194,7 @@ def blocks(page: str) -> list[Block]:
 
     at = 0
     while True:
-        tag = _TAG.search(page, at)
+        tag = (_TAG if stray < STRAY else _LOOSE_TAG).search(page, at)
         if tag is None:
             add(page[at:])
             break
@@ -192,6 +203,8 @@ def blocks(page: str) -> list[Block]:
         name = (tag["name"] or "").lower()
         if not name:
             continue
+        # to know that a quote stays open, the page was read to its end
+        stray += tag["open"] is not None
         block = name not in INLINE
         if name == "br":
             if current is not None:
@@ -210,7 +223,7 @@ def blocks(page: str) -> list[Block]:
                     close(CLOSES[name], BARRIER)
             else:
                 close({"p"}, BARRIER)
-        rest = tag["rest"]
+        rest = tag["rest"] or tag["open"] or ""
         if rest.rstrip(">").endswith("/") and name not in BARRIER:
             continue
         numbers += 1
@@ -222,6 +235,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if role != PLAIN and not block:
             current = None
+        if len(stack) == DEPTH:
+            close({stack[-1].name}, set())
         if name == "a":
             links += 1
         stack.append(_Open(name, numbers, role))
