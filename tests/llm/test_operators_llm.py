@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -223,6 +224,19 @@ def test_fingerprints_add_and_take_away(spark):
     assert list(row["sum"]) == list(v["ab"]) and list(row.rest) == list(v["a"])
 
 
+def test_fingerprints_sum_texts_of_any_length(spark, monkeypatch):
+    """Nine million paragraphs pass what one sum can hold; blocks of any size give one sum."""
+    long = make(spark, [(1, "\n" * 9_000_000, None, None, None)])
+    vector = fingerprint.vectors(long, ["doc_id"]).first().vector
+    one = fingerprint.vectors(make(spark, [(1, "\n", None, None, None)]), ["doc_id"]).first().vector
+    assert list(vector) == [x * 9_000_000 % 2**60 for x in one]
+    rng = random.Random(3)
+    docs = make(spark, [(i, prose(rng, 40 * i), None, None, None) for i in range(5)])
+    whole = sorted(map(str, fingerprint.fingerprints(docs).collect()))
+    monkeypatch.setattr(fingerprint, "BLOCK_BITS", 1)
+    assert sorted(map(str, fingerprint.fingerprints(docs).collect())) == whole
+
+
 def test_fingerprint_edge_cases(spark, awkward, empty):
     assert fingerprint.fingerprints(awkward).count() == len(AWKWARD)
     assert fingerprint.fingerprints(empty).count() == 0
@@ -290,6 +304,22 @@ def test_text_of_the_article_is_kept_whole():
     assert "and more" in html.main_text(f"<article>{STORY}<p>Text <span class=ad>buy</span> and more</p></article>")
 
 
+@pytest.mark.parametrize("unit", ["<div>a", "<b>a", '<a ">" ', "<a '>' ", "<a href=\"x ", "<li><article>a", "<p"])
+def test_time_grows_with_the_length_of_a_page(unit):
+    def seconds(n):
+        started = time.process_time()
+        html.main_text(unit * n + STORY)
+        return time.process_time() - started
+
+    seconds(500)
+    assert seconds(16_000) < 12 * seconds(4_000) + 0.5
+
+
+def test_deep_elements_keep_their_text():
+    assert html.main_text("<div>" * 2000 + STORY + "</div>" * 2000) == STORY_TEXT
+    assert html.main_text("<i ' >x</i>" * 70 + STORY).endswith(STORY_TEXT)
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(i, "u", p, "mine") for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>" + "a, b. " * 50_000, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
@@ -597,6 +627,10 @@ def test_quality_of_held_out_texts(spark):
     assert all(r.predicted == int(r.score >= 0.7) for r in got.values())
     again = quality.fit(docs.repartition(9).where("doc_id % 4 != 1"), known.where("doc_id % 4 != 1"))
     assert np.allclose(weights, again)
+    # a label or a document that is repeated without end counts once
+    hot = quality.fit(docs.union(docs.where("doc_id = 3").join(spark.range(500), F.lit(True)).select(*docs.columns)).where("doc_id % 4 != 1"),
+                      known.union(known.where("doc_id = 3").join(spark.range(500), F.lit(True)).select(*known.columns)).where("doc_id % 4 != 1"))
+    assert np.allclose(weights, hot)
 
 
 def test_quality_edge_cases(spark, awkward, empty):
