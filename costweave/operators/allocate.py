@@ -61,16 +61,31 @@ def driver_rates(rates: DataFrame, keys: list[str] = DRIVER_KEY) -> DataFrame:
     return rates.groupBy(*keys).agg(F.sum("allocation_rate").alias("allocation_rate"))
 
 
-def allocate(rates: DataFrame, drivers: DataFrame, keys: list[str] = DRIVER_KEY) -> DataFrame:
+def allocate(
+    rates: DataFrame,
+    drivers: DataFrame,
+    keys: list[str] = DRIVER_KEY,
+    carried: Sequence[str] = (),
+) -> DataFrame:
     """Allocation detail, one row per pool and eligible encounter driver.
 
     This is the audit listing. Costing itself uses ``allocate_units``, whose size
-    does not depend on how many pools share a driver.
+    does not depend on how many pools share a driver. ``carried`` names columns of
+    either side that the rows keep: what is known of a driver or a pool is cheaper to
+    add before they meet.
     """
     amount = F.col("driver_units") * F.col("allocation_rate")
     valid = drivers.filter(F.col("driver_status") == K.VALID)
     return lookup_join(
-        valid.select(*keys, "encounter_id", "driver_units"), rates, keys, "encounter_id"
+        valid.select(
+            *keys,
+            "encounter_id",
+            "driver_units",
+            *[c for c in carried if c in drivers.columns],
+        ),
+        rates,
+        keys,
+        "encounter_id",
     ).select(
         *POOL_KEY,
         "allocation_driver",
@@ -81,6 +96,7 @@ def allocate(rates: DataFrame, drivers: DataFrame, keys: list[str] = DRIVER_KEY)
         F.col("allocation_rate").cast(MONEY).alias("allocation_rate"),
         amount.cast(MONEY).alias("allocated_amount"),
         F.lit(K.ALLOCATED).alias("allocation_status"),
+        *carried,
     )
 
 

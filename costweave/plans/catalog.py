@@ -928,10 +928,18 @@ def h11f(spark, sf_dir):
         WHERE driver_units > 0 GROUP BY ALL""",
 )
 def h4f(spark, sf_dir):
-    """The audit listing of indirect pools, summed: pool rows and encounters of other facilities."""
+    """The audit listing of indirect pools, summed: pool rows and encounters of other facilities.
+
+    Encounters give their place to the driver rows, before each of those meets several pools.
+    """
     run = _by_facility(spark, sf_dir)
-    places = run.encounters.select(RUN, "encounter_id", F.col("facility").alias("place"))
-    rows = run.pool_allocations.filter(F.col("costing_treatment") == K.INDIRECT).join(places, [RUN, "encounter_id"])
+    known = [RUN, "encounter_id"]
+    places = run.encounters.select(*known, F.col("facility").alias("place"))
+    run.drivers = drivers.encounter_drivers(
+        run.used.join(places, known), run.encounters.join(places, known), apart=("facility", "place")
+    )
+    run.carried = ("place",)
+    rows = run.pool_allocations.filter(F.col("costing_treatment") == K.INDIRECT)
     return show(
         rows.groupBy("facility", "cost_pool_code").agg(
             F.count(F.lit(1)).alias("allocation_rows"),

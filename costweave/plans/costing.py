@@ -28,6 +28,9 @@ class CostingRun:
     pools apart: a pool is then spread over the encounters that share its values, and
     direct items meet only the pools of their encounter. An encounter without a
     value gets its direct cost only.
+
+    ``carried`` names columns of ``drivers`` that the audit listing keeps; overhead rows
+    have none.
     """
 
     encounters: DataFrame
@@ -42,6 +45,7 @@ class CostingRun:
     factors: dict = field(default_factory=lambda: dict(K.ADJUSTMENT_FACTORS))
     zero_driver_treatments: tuple[str, ...] = (K.INDIRECT,)
     apart: tuple[str, ...] = ()
+    carried: tuple[str, ...] = ()
 
     @property
     def keys(self) -> list[str]:
@@ -134,9 +138,11 @@ class CostingRun:
     @cached_property
     def pool_allocations(self) -> DataFrame:
         """The audit listing of both stages: what each pool gave to each encounter."""
-        indirect = allocate.allocate(stage(self.rates, "pool_rate"), self.drivers, self.keys)
+        indirect = allocate.allocate(
+            stage(self.rates, "pool_rate"), self.drivers, self.keys, self.carried
+        )
         overhead = allocate.allocate(self.overhead_rates, self.overhead_drivers, self.keys)
-        return indirect.unionByName(overhead)
+        return indirect.unionByName(overhead, allowMissingColumns=bool(self.carried))
 
     @cached_property
     def allocated(self) -> DataFrame:
