@@ -72,15 +72,21 @@ def allocate(
     This is the audit listing. Costing itself uses ``allocate_units``, whose size
     does not depend on how many pools share a driver. ``carried`` names columns of
     either side that the rows keep: what is known of a driver or a pool is cheaper to
-    add before they meet.
+    add before they meet. Whole units are multiplied without their six zeros, which
+    gives the same product from smaller numbers.
     """
-    amount = F.col("driver_units") * F.col("allocation_rate")
+    units = F.col("driver_units")
+    whole = units.try_cast("decimal(18,0)")
+    amount = F.coalesce(
+        F.col("_whole_units") * F.col("allocation_rate"), units * F.col("allocation_rate")
+    )
     valid = drivers.filter(F.col("driver_status") == K.VALID)
     return lookup_join(
         valid.select(
             *keys,
             "encounter_id",
             "driver_units",
+            F.when(whole == units, whole).alias("_whole_units"),
             *[c for c in carried if c in drivers.columns],
         ),
         rates,

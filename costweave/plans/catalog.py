@@ -768,19 +768,21 @@ def h4r(spark, sf_dir):
         WHERE d.driver_units > 0""",
 )
 def h4d(spark, sf_dir):
+    """Months and units are shown on the two sides, before pools multiply the driver rows."""
     run = costing_run(spark, sf_dir)
-    detail = allocate.allocate(run.rates, run.drivers)
-    return show(
-        detail,
-        "reporting_month",
+    rates = run.rates.withColumn("month", F.col("reporting_month").cast("string"))
+    units = run.drivers.withColumn("units", F.round("driver_units", 2).cast("double"))
+    detail = allocate.allocate(rates, units, carried=("month", "units"))
+    return detail.select(
+        F.col("month").alias("reporting_month"),
         "facility",
         "cost_centre_id",
         "natural_account",
         "cost_pool_code",
         "allocation_driver",
         "encounter_id",
-        "encounter_driver_units",
-        "allocated_amount",
+        F.col("units").alias("encounter_driver_units"),
+        F.round("allocated_amount", 2).cast("double").alias("allocated_amount"),
     )
 
 

@@ -4,6 +4,7 @@ from datetime import date, datetime
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from costweave import constants as K
@@ -79,3 +80,12 @@ def test_facility_listing_is_summed_where_it_is_made(spark, star_dir):
     assert "Join" not in optimized(df).split("Union")[0]
     rows = df.collect()
     assert rows and all(r.foreign_rows == 0 for r in rows)
+
+
+def test_detail_shows_months_and_units_before_pools_multiply_rows(spark, star_dir):
+    df = queries()["h4_indirect_allocation_detail"](spark, star_dir)
+    above = optimized(df).split("Join")[0]
+    assert "reporting_month" in above and "as string)" not in above and "driver_units" in above
+    assert above.count("as double)") == 1  # the amount; units were shown below
+    assert df.schema["reporting_month"].dataType.simpleString() == "string"
+    assert df.filter(F.col("reporting_month") == "1996-03-01").count() > 0
