@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from costweave import constants as K
 from costweave.functions.columns import quoted, stacked
@@ -243,11 +244,18 @@ def indirect_by_encounter(
     of being unpivoted first. ``monthly_rates`` is a staged ``rates_by_month``.
     """
 
-    def priced(units: str, pool: str) -> str:
+    def priced(units: str, pool: str, kind: str = "decimal(10,0)") -> str:
         """Null without a valid unit or without a rate."""
-        valid = f"CAST(IF({units} > 0, {units}, NULL) AS DECIMAL(19,6))"
+        valid = f"CAST(IF({units} > 0, {units}, NULL) AS {kind})"
         return f"CAST({valid} * {pool} AS DECIMAL(19,6))"
 
+    # whole units give the same product without six zeros, from smaller numbers
+    whole = (T.ByteType, T.ShortType, T.IntegerType)
+    kinds = {
+        m: "decimal(10,0)" if isinstance(resource.schema[m].dataType, whole) else "decimal(19,6)"
+        for m in measures
+    }
+
     def totalled(df: DataFrame, parts: list[str]) -> DataFrame:
         amount = " + ".join(f"COALESCE({part}, 0)" for part in parts)
         return df.filter(f"COALESCE({', '.join(parts)}) IS NOT NULL").selectExpr(
@@ -260,7 +268,7 @@ def indirect_by_encounter(
     )
     from_measures = totalled(
         lookup_join(used, monthly_rates.drop(*counts), month, "encounter_id"),
-        [priced(m, pool) for m, pool in measures.items()],
+        [priced(m, pool, kinds[m]) for m, pool in measures.items()],
     )
     counted = encounters.select(
         RUN, F.col("episode_month").alias("reporting_month"), "encounter_id", *apart, "care_type"

@@ -959,7 +959,9 @@ def h4f(spark, sf_dir):
         FROM (SELECT (SELECT SUM(allocated_amount) FROM ind) AS a, (SELECT SUM(indirect_cost_amount) FROM base) AS c) t""",
 )
 def h7g(spark, sf_dir):
+    """Indirect cost is priced and summed once; the cost base and the gap read the stored sums."""
     run = costing_run(spark, sf_dir)
+    run.indirect = stage(run.indirect, "indirect_cost")
     return show(patient.attribution_gap(run.indirect, run.base))
 
 

@@ -89,3 +89,10 @@ def test_detail_shows_months_and_units_before_pools_multiply_rows(spark, star_di
     assert above.count("as double)") == 1  # the amount; units were shown below
     assert df.schema["reporting_month"].dataType.simpleString() == "string"
     assert df.filter(F.col("reporting_month") == "1996-03-01").count() > 0
+
+
+def test_gap_prices_indirect_cost_once(spark, star_dir):
+    df = queries()["h7_attribution_gap"](spark, star_dir)
+    assert optimized(df).count("Join") == 1  # allocated with carried; both are sums of stored rows
+    row = df.collect()[0]
+    assert row.allocated_amount > 0 and round(row.allocated_amount - row.attributed_amount, 2) == row.unattributed_amount
