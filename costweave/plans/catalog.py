@@ -111,7 +111,9 @@ class StarRun(CostingRun):
 
     @cached_property
     def resource(self) -> DataFrame:
-        return stage(star.resource_usage(self.spark, self.sf_dir), "resource_usage")
+        """Without the text key of each row, which no step of a run reads."""
+        used = star.resource_usage(self.spark, self.sf_dir).drop("resource_usage_id")
+        return stage(used, "resource_usage")
 
     @cached_property
     def mapping(self) -> mapped.Mapping:

@@ -10,6 +10,7 @@ from __spark_entry__ import queries
 from costweave import constants as K
 from costweave.functions.columns import inline
 from costweave.operators import allocate
+from costweave.plans.catalog import costing_run
 from costweave.sources import star
 
 JAN = date(2025, 1, 1)
@@ -96,3 +97,8 @@ def test_gap_prices_indirect_cost_once(spark, star_dir):
     assert optimized(df).count("Join") == 1  # allocated with carried; both are sums of stored rows
     row = df.collect()[0]
     assert row.allocated_amount > 0 and round(row.allocated_amount - row.attributed_amount, 2) == row.unattributed_amount
+
+
+def test_run_stores_no_row_keys_that_it_never_reads(spark, star_dir):
+    used = costing_run(spark, star_dir).resource
+    assert "resource_usage_id" not in used.columns and used.count() == 8  # two months of four orders
